@@ -37,6 +37,15 @@ def pct(part: Column, total: Column, digits: int) -> Column:
     return F.round(part.cast("double") * 100.0 / F.nullif(total, F.lit(0)).cast("double"), digits)
 
 
+def steady_round(column: Column, digits: int) -> Column:
+    """Rounding for sums of doubles.
+
+    Sums differ in the last bits with the order of the tasks; rounding those away
+    first keeps a value on the edge from flipping between runs.
+    """
+    return F.round(F.round(column, digits + 6), digits)
+
+
 def trunc_ts(unit: str, column: Column | str) -> Column:
     return F.date_trunc(unit, column).cast("timestamp_ntz")
 

@@ -4,13 +4,13 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, functions as F
 
-from ..functions import bound, day_of, n_distinct, since, span, trunc_ts
+from ..functions import bound, day_of, n_distinct, since, span, steady_round, trunc_ts
 
 PERIODS = ("Today", "This Week", "This Month")
 
 
 def _cost():
-    return F.coalesce(F.round(F.sum("revenue_impact") * 1000, 2), F.lit(0.0))
+    return F.coalesce(steady_round(F.sum("revenue_impact") * 1000, 2), F.lit(0.0))
 
 
 def _midnight(as_of):

@@ -9,7 +9,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window, functions as F
 
 from .. import vocab
-from ..functions import bound, day_of, like_prefix, n_distinct, payload_of, pct, since, span, trunc_ts, ts_diff
+from ..functions import bound, day_of, like_prefix, n_distinct, payload_of, pct, since, span, steady_round, trunc_ts, ts_diff
 
 
 def _of(activity: str):
@@ -34,8 +34,8 @@ def executive_summary(stream: DataFrame, as_of=None, approx: bool = False) -> Da
         _of(vocab.TOOL_CALL).alias("tool_executions"),
         _of(vocab.FILE_OPERATION).alias("file_operations"),
         _of(vocab.ERROR).alias("errors_encountered"),
-        F.round(F.sum("revenue_impact"), 6).alias("total_cost_usd"),
-        F.round(F.avg("revenue_impact"), 8).alias("avg_cost_per_activity"),
+        steady_round(F.sum("revenue_impact"), 6).alias("total_cost_usd"),
+        steady_round(F.avg("revenue_impact"), 8).alias("avg_cost_per_activity"),
         n_distinct("day", approx).alias("days_active"),
         n_distinct("project", approx).alias("projects_touched"),
         n_distinct("branch", approx).alias("git_branches_worked"),

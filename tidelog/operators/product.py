@@ -7,7 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, functions as F
 
 from .. import vocab
-from ..functions import bound, n_distinct, payload_of, pct, since, span, trunc_ts, ts_diff
+from ..functions import bound, n_distinct, payload_of, pct, since, span, steady_round, trunc_ts, ts_diff
 from ..plans.percentiles import exact_percentiles
 
 LATENCY_POINTS = {"p50_latency_ms": 0.5, "p95_latency_ms": 0.95, "p99_latency_ms": 0.99}
@@ -61,7 +61,7 @@ def _shape(hours: DataFrame, keys: Sequence[str]) -> DataFrame:
         "success_rate_pct", "total_tokens", "prompt_tokens", "completion_tokens",
         F.round(F.col("total_tokens") / F.nullif("total_activities", F.lit(0)), 2).alias("avg_tokens_per_activity"),
         "total_cost_credits",
-        F.round(F.col("total_cost_credits") * vocab.USD_PER_CREDIT_REPORTED, 4).alias("total_cost_usd"),
+        steady_round(F.col("total_cost_credits") * vocab.USD_PER_CREDIT_REPORTED, 4).alias("total_cost_usd"),
         "unique_artifacts", "provenance_coverage_pct",
         health_score(F.col("p95_latency_ms"), F.col("success_rate_pct"), F.col("provenance_coverage_pct"))
         .alias("health_score"),

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, functions as F
 
 from .. import vocab
-from ..functions import day_of, like_prefix, n_distinct, payload_of
+from ..functions import day_of, like_prefix, n_distinct, payload_of, steady_round
 
 
 def system_evolution(stream: DataFrame, approx: bool = False) -> DataFrame:
@@ -61,7 +61,7 @@ def cost_by_day(stream: DataFrame) -> DataFrame:
         )
         .select(
             "*",
-            F.round(cost * 1_000_000, 2).alias("cost_in_microdollars"),
+            steady_round(cost * 1_000_000, 2).alias("cost_in_microdollars"),
             F.when(cost == 0, "none").when(cost < 0.01, "efficient").when(cost < 0.10, "normal").otherwise("heavy")
             .alias("cost_assessment"),
         )
@@ -91,7 +91,7 @@ def usage_by_day(stream: DataFrame, approx: bool = False) -> DataFrame:
         .select(
             "date", "user_machine", F.split_part("user_machine", F.lit("."), F.lit(1)).alias("user"), "sessions",
             "tokens_used", "lines_written", "tools_used",
-            F.round(F.col("tokens_used") * vocab.USD_PER_SESSION_TOKEN, 4).alias("estimated_cost_usd"),
+            steady_round(F.col("tokens_used") * vocab.USD_PER_SESSION_TOKEN, 4).alias("estimated_cost_usd"),
         )
     )
 
@@ -135,7 +135,7 @@ def daily_user_metrics(stream: DataFrame, approx: bool = False) -> DataFrame:
             F.coalesce(F.sum("tokens"), F.lit(0)).alias("tokens_used"),
             F.coalesce(F.sum("lines"), F.lit(0)).alias("lines_of_code_written"),
         )
-        .withColumn("estimated_cost_usd", F.round(F.col("tokens_used") * vocab.USD_PER_SESSION_TOKEN, 4))
+        .withColumn("estimated_cost_usd", steady_round(F.col("tokens_used") * vocab.USD_PER_SESSION_TOKEN, 4))
     )
 
 

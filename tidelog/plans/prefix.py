@@ -53,7 +53,7 @@ def running_peers(df: DataFrame, keys: Sequence[str], ts: str, unit: str, count:
         .select(
             *keys, "_b",
             F.coalesce(F.sum("_n").over(edge.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)).alias("_before"),
-            F.lead("_first").over(edge).alias("_next"),
+            F.lead("_first").over(edge).alias("_bucket_next"),
         )
     )
     inside = Window.partitionBy(*keys, "_b").orderBy(ts)
@@ -69,6 +69,6 @@ def running_peers(df: DataFrame, keys: Sequence[str], ts: str, unit: str, count:
         .withColumn("_later", later)
         .join(buckets, [*keys, "_b"], "left")
         .withColumn(count, F.when(known, F.col("_before") + F.col("_upto")).otherwise(F.lit(0)))
-        .withColumn(following, F.when(known, F.coalesce("_later", "_next")))
-        .drop("_b", "_upto", "_later", "_before", "_next")
+        .withColumn(following, F.when(known, F.coalesce("_later", "_bucket_next")))
+        .drop("_b", "_upto", "_later", "_before", "_bucket_next")
     )
