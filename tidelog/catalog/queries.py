@@ -7,7 +7,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
-from .. import vocab
+from ..functions import payload_of
 from ..operators import (
     artifacts, dashboard, executive, knowledge, product, quality, sessions, state, text, trends, typed, views, windows,
 )
@@ -281,14 +281,12 @@ query("s7_detect_tools_in_text")(lambda t: text.detect_tools_in_text(t.output_li
 
 @query("s8_build_events")
 def _(t):
-    calls = t.stream_v2.select(
+    p = payload_of(t.stream_v2, "tool_name", "prompt_tokens", "operation", "file_path", "total_tokens")
+    calls = p.df.select(
         "activity_id", "ts", "customer", F.col("anonymous_customer_id").alias("host"),
-        F.get_json_object("feature_json", "$.tool_name").alias("tool_name"),
-        F.get_json_object("feature_json", "$.prompt_tokens").cast("bigint").alias("tokens_used"),
-        F.get_json_object("feature_json", "$.operation").alias("operation"),
-        F.get_json_object("feature_json", "$.file_path").alias("file_path"),
-        F.get_json_object("feature_json", "$.total_tokens").cast("bigint").alias("total_tokens"),
-        F.col("customer").alias("session_id"),
+        p.text("tool_name").alias("tool_name"), p.whole("prompt_tokens").alias("tokens_used"),
+        p.text("operation").alias("operation"), p.text("file_path").alias("file_path"),
+        p.whole("total_tokens").alias("total_tokens"), F.col("customer").alias("session_id"),
     )
     rows = None
     for kind in builders.PAYLOADS:

@@ -92,7 +92,8 @@ def tool_usage(stream: DataFrame, approx: bool = False) -> DataFrame:
         p.text("tool_name").alias("tool_name"), "customer", "anonymous_customer_id", "ts", "revenue_impact",
         p.whole("duration_ms").alias("ms"), p.whole("tokens_used").alias("tokens"),
         p.text("result_type").alias("result"),
-    ).where(F.col("tool_name").isNotNull())
+    )
+    # NULL names are dropped as a group: a filter on rows would parse every payload twice.
     return (
         typed.groupBy("tool_name")
         .agg(
@@ -111,6 +112,7 @@ def tool_usage(stream: DataFrame, approx: bool = False) -> DataFrame:
             F.min("ts").alias("first_used"),
             F.max("ts").alias("last_used"),
         )
+        .where(F.col("tool_name").isNotNull())
         .select(
             "*",
             pct(F.col("successful_calls"), F.col("usage_count"), 2).alias("success_rate_percentage"),
@@ -146,7 +148,7 @@ def project_activity(stream: DataFrame, approx: bool = False) -> DataFrame:
         p.text("project_path").alias("project_path"), p.text("git_branch").alias("git_branch"), "customer",
         "anonymous_customer_id", "activity", "ts", "revenue_impact", p.text("file_path").alias("file"),
         p.whole("lines_affected").alias("lines"),
-    ).where(F.col("project_path").isNotNull())
+    )
     return (
         typed.groupBy("project_path", "git_branch")
         .agg(
@@ -161,6 +163,7 @@ def project_activity(stream: DataFrame, approx: bool = False) -> DataFrame:
             F.max("ts").alias("last_activity"),
             F.sum("revenue_impact").alias("project_cost"),
         )
+        .where(F.col("project_path").isNotNull())
         .withColumn("project_age_days", ts_diff("day", F.col("first_activity"), F.col("last_activity")))
     )
 

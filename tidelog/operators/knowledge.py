@@ -36,16 +36,31 @@ def executive_templates(kb: DataFrame) -> DataFrame:
     )
 
 
-def successful_patterns(kb: DataFrame, examples: bool = True) -> DataFrame:
-    """Patterns of successful questions with distinct prompts and queries.
+def pattern_examples(kb: DataFrame) -> DataFrame:
+    """Distinct (pattern, kind, text) rows: the prompts and queries of each pattern."""
+    texts = F.array(
+        F.struct(F.lit("prompt").alias("kind"), F.col("user_prompt").alias("text")),
+        F.struct(F.lit("query").alias("kind"), F.col("generated_query").alias("text")),
+    )
+    return (
+        kb.where("query_success").select("common_pattern", F.explode(texts).alias("e"))
+        .select("common_pattern", "e.kind", "e.text").where(F.col("text").isNotNull()).distinct()
+    )
+
+
+def successful_patterns(kb: DataFrame, examples: bool = False) -> DataFrame:
+    """Patterns of successful questions.
 
-    Examples are made distinct per pattern before the lists are built; with very
-    many distinct texts pass ``examples=False``.
+    ``examples=True`` adds all distinct prompts and queries of a pattern as arrays.
+    An array is one cell in one task, so this is for knowledge bases whose texts
+    fit one; ``pattern_examples`` gives them as rows at any size.
     """
     good = kb.where("query_success")
     stats = good.groupBy("common_pattern").agg(
         F.count("*").alias("usage_count"), F.avg("execution_time_ms").alias("avg_execution_ms"),
         (F.count_if("query_success") / F.count("*")).alias("success_rate"),
+        F.countDistinct("user_prompt").alias("distinct_prompts"),
+        F.countDistinct("generated_query").alias("distinct_queries"),
     )
     if not examples:
         return stats

@@ -8,7 +8,6 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from .. import vocab
 from ..functions import bound, n_distinct, payload_of, pct, since, span, steady_round, trunc_ts, ts_diff
-from ..plans.percentiles import exact_percentiles
 
 LATENCY_POINTS = {"p50_latency_ms": 0.5, "p95_latency_ms": 0.95, "p99_latency_ms": 0.99}
 
@@ -35,17 +34,17 @@ def _hourly_rows(stream: DataFrame) -> DataFrame:
     )
 
 
-def _measures(approx: bool) -> list[Column]:
+def _measures() -> list[Column]:
     return [
         F.count("*").alias("total_activities"),
-        n_distinct("activity", approx).alias("unique_activity_types"),
+        # A set of activity names is as small as the vocabulary.
+        F.size(F.collect_set("activity")).cast("bigint").alias("unique_activity_types"),
         F.count_if("success").alias("_good"),
         F.count_if(~F.col("success")).alias("_bad"),
         F.sum("total_tokens").alias("total_tokens"),
         F.sum("prompt_tokens").alias("prompt_tokens"),
         F.sum("completion_tokens").alias("completion_tokens"),
         F.sum("revenue_impact").alias("total_cost_credits"),
-        n_distinct("link", approx).alias("unique_artifacts"),
         F.count("link").alias("_linked"),
     ]
 
@@ -71,21 +70,33 @@ def _shape(hours: DataFrame, keys: Sequence[str]) -> DataFrame:
 def product_metrics(stream: DataFrame, as_of=None, days: int = 7, approx: bool = False) -> DataFrame:
     """Activity, latency, success, token, cost and provenance measures by hour and customer.
 
-    Exact: percentiles come from per-value counts, distinct counts from Spark's
-    distinct plan; both spread a hot customer.  ``approx=True`` is a single pass
-    with mergeable sketches.
+    The payload is parsed in one aggregation, combined map side, whose state per
+    group is a count per distinct whole millisecond and per activity name, however
+    many rows the group has.  Distinct links have no such bound: they are made
+    distinct in a shuffle of their own, from columns that need no parsing, and
+    joined on the same keys.  ``approx=True`` keeps sketches of fixed size instead
+    and needs one shuffle.
     """
-    rows = _hourly_rows(since(stream, bound(as_of) - span(days=days), strict=True))
-    keys = ["hour", "customer"]
+    recent = since(stream, bound(as_of) - span(days=days), strict=True)
+    keys, points = ["hour", "customer"], F.array(*[F.lit(p) for p in LATENCY_POINTS.values()])
+    rows = _hourly_rows(recent)
     if approx:
-        points = list(LATENCY_POINTS.values())
         hours = rows.groupBy(*keys).agg(
-            *_measures(True), F.percentile_approx("latency", points, 10_000).alias("_p")
-        ).select("*", *[F.col("_p")[i].cast("double").alias(n) for i, n in enumerate(LATENCY_POINTS)])
+            *_measures(), F.approx_count_distinct("link").alias("unique_artifacts"),
+            F.percentile_approx("latency", points, 10_000).alias("_p"),
+        )
     else:
-        latency = exact_percentiles(rows, keys, F.col("latency"), LATENCY_POINTS)
-        hours = rows.groupBy(*keys).agg(*_measures(False)).join(latency, keys, "left")
-    return _shape(hours, keys)
+        links = (
+            recent.where(F.col("link").isNotNull())
+            .select(trunc_ts("hour", "ts").alias("hour"), "customer", "link").distinct()
+            .groupBy(*keys).agg(F.count("*").alias("unique_artifacts"))
+        )
+        hours = (
+            rows.groupBy(*keys).agg(*_measures(), F.percentile("latency", points).alias("_p"))
+            .join(links, keys, "left").fillna(0, ["unique_artifacts"])
+        )
+    named = [F.col("_p")[i].cast("double").alias(n) for i, n in enumerate(LATENCY_POINTS)]
+    return _shape(hours.select("*", *named), keys)
 
 
 def customer_health(metrics: DataFrame, customer: str, as_of=None) -> DataFrame:
@@ -107,7 +118,10 @@ def hourly_latency_p95(stream: DataFrame, as_of=None, activity: str = "mcp_call"
     """Insight rows: latency p95 of the last hour per customer."""
     rows = since(stream.where(F.col("activity") == activity), bound(as_of) - span(hours=1), strict=True)
     p = payload_of(rows, "latency_ms")
-    found = exact_percentiles(p.df, ["customer"], p.whole("latency_ms"), {"p95": 0.95})
+    found = (
+        p.df.groupBy("customer").agg(F.percentile(p.whole("latency_ms"), F.lit(0.95)).alias("p95"))
+        .where(F.col("p95").isNotNull())
+    )
     return _insight(found, "system_performance", "hourly_latency_p95", F.col("p95"), "hourly", 1.0)
 
 

@@ -6,7 +6,6 @@ from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from .. import vocab
 from ..functions import bound, opt, payload_of, since, span, trunc_ts, ts_diff
-from ..plans.percentiles import exact_percentiles
 from ..plans.upsert import insert_if_absent, new_rows
 from .sessions import latest_per_customer
 
@@ -100,11 +99,10 @@ def context_entries(
     calls = t.df.select("customer", t.text("tool_name").alias("key"), t.whole("latency_ms").alias("ms")).where(
         F.col("key").isNotNull()
     )
-    stats = calls.groupBy("customer", "key").agg(F.count("*").alias("n"), F.avg("ms").alias("avg_latency_ms"))
-    tails = exact_percentiles(calls, ["customer", "key"], F.col("ms"), {"p95_latency_ms": 0.95})
-    tools = stats.join(tails, ["customer", "key"], "left").select(
-        "customer", F.lit("tool_usage").alias("section"), "key", "n", "avg_latency_ms", "p95_latency_ms"
-    )
+    tools = calls.groupBy("customer", "key").agg(
+        F.count("*").alias("n"), F.avg("ms").alias("avg_latency_ms"),
+        F.percentile("ms", F.lit(0.95)).alias("p95_latency_ms"),
+    ).withColumn("section", F.lit("tool_usage"))
     rows = activities
     for part in (facts, queries, tools):
         rows = rows.unionByName(part, allowMissingColumns=True)

@@ -67,7 +67,7 @@ def self_study_sessions(stream: DataFrame, project_like: str, unit: str = "hour"
         "earlier", F.coalesce(F.sum("n").over(inside.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
     ).select("b", "ts", "earlier", *[F.col(c).alias(f"in_{c}") for c in _STATE])
 
-    carried = _carry(starts, ticks)
+    carried = _carry(starts, firsts.groupBy(F.date_trunc(unit, "first_ts").alias("b")).agg(F.count("*").alias("n")))
     other = F.coalesce(_foreign("in"), _foreign("pre"))
     return (
         study.join(local, ["b", "ts"])
@@ -108,10 +108,9 @@ def _foreign(side: str):
     return F.when(only_self, F.col(f"{side}_prev_change")).otherwise(F.col(f"{side}_prev_ts"))
 
 
-def _carry(starts: DataFrame, ticks: DataFrame) -> DataFrame:
+def _carry(starts: DataFrame, first_counts: DataFrame) -> DataFrame:
     """State before each bucket: number of first starts, and the newest instants of
     two different customers, which is all a later row can need."""
-    per_bucket = ticks.groupBy("b").agg(F.sum("n").alias("n"))
     latest = starts.groupBy("b", "customer").agg(F.max("ts").alias("ts"))
     place = Window.partitionBy("b").orderBy(F.desc("ts"), F.asc("customer"))
     two = (
@@ -125,7 +124,7 @@ def _carry(starts: DataFrame, ticks: DataFrame) -> DataFrame:
         F.max_by("_change", "ts").alias("change"),
     )
     by_bucket = Window.orderBy("b")
-    return per_bucket.join(ends, "b", "left").select(
+    return ends.join(first_counts, "b", "left").select(
         "b",
         F.coalesce(F.sum("n").over(by_bucket.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)).alias("before"),
         F.lag("ts").over(by_bucket).alias("pre_prev_ts"), F.lag("lo").over(by_bucket).alias("pre_prev_lo"),

@@ -32,7 +32,7 @@ def new_rows(target: DataFrame, source: DataFrame, key: str, order: Sequence[str
     target is never shuffled.
     """
     fresh = keep_first(source, key, order or ["ts"])
-    wanted = source.select(F.col(key).alias("_k"))
+    wanted = source.select(F.col(key).alias("_k")).distinct()  # copies end map side
     known = target.select(F.col(key).alias("_k")).join(wanted, "_k", "left_semi").distinct()
     return fresh.join(known, F.col(key) == F.col("_k"), "left_anti")
 

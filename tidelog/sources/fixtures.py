@@ -211,12 +211,19 @@ _BASE = {"job_runs": "orders", "agent_lines": "conversations", "output_lines": "
          "model_answers": "conversations", "insight_atoms_later": "insight_atoms"}
 
 
+def _spread(table: DataFrame) -> DataFrame:
+    """A table of fewer files than cores is spread over the cores by its first
+    column, since one small file is one task; a table of many files is left alone."""
+    cores = table.sparkSession.sparkContext.defaultParallelism
+    return table.repartition(cores, table.columns[0]) if len(table.inputFiles()) < cores else table
+
+
 def load(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     """The stream table ``name`` over the Parquet files in ``sf_dir``."""
     base = _BASE.get(name, "events")
     if base in TABLES:
         source = load(spark, sf_dir, base)
     else:
-        source = spark.read.parquet(f"{sf_dir}/{base}.parquet")
+        source = _spread(spark.read.parquet(f"{sf_dir}/{base}.parquet"))
     source.createOrReplaceTempView(base)
     return spark.sql(TABLES[name])
