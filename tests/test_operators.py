@@ -177,6 +177,15 @@ def test_seed_knowledge_base(spark):
     assert seeded.count() == len(vocab.SEED_PROMPTS) == knowledge.seed_knowledge_base(seeded).count()
 
 
+def test_pattern_examples_as_arrays(spark):
+    kb = spark.createDataFrame([("a", "p2", "q", True, 1), ("a", "p1", "q", True, 3), (None, "p3", "q3", True, 5), ("b", "x", "y", False, 1)],
+                               "common_pattern string, user_prompt string, generated_query string, query_success boolean, execution_time_ms int")
+    got = {r.common_pattern: r for r in knowledge.successful_patterns(kb, examples=True).collect()}
+    assert set(got) == {"a", None}
+    assert (got["a"].example_prompts, got["a"].example_queries, got["a"].avg_execution_ms) == (["p1", "p2"], ["q"], 2.0)
+    assert knowledge.pattern_examples(kb).count() == 5
+
+
 def test_changes_between(spark):
     old = spark.createDataFrame([("a", 1), ("b", 2), ("c", None)], "id string, v int")
     new = spark.createDataFrame([("a", 1), ("b", 3), ("d", 4), ("c", None)], "id string, v int")

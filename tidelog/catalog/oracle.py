@@ -390,9 +390,11 @@ CLASSED = f", kb AS (SELECT *, {PATTERN} AS common_pattern FROM knowledge_base)"
 add("a26_successful_patterns", "knowledge_base", CLASSED + """
 SELECT common_pattern, COUNT(*) AS usage_count, ROUND(AVG(execution_time_ms), 6) AS avg_execution_ms,
  CAST(COUNT(*) FILTER (query_success) AS DOUBLE) / COUNT(*) AS success_rate,
- string_agg(DISTINCT user_prompt, '|' ORDER BY user_prompt) AS example_prompts,
- string_agg(DISTINCT generated_query, '|' ORDER BY generated_query) AS example_queries
+ COUNT(DISTINCT user_prompt) AS distinct_prompts, COUNT(DISTINCT generated_query) AS distinct_queries
 FROM kb WHERE query_success GROUP BY 1""")
+add("a26b_pattern_examples", "knowledge_base", CLASSED + """
+SELECT common_pattern, 'prompt' AS kind, user_prompt AS text FROM kb WHERE query_success
+UNION SELECT common_pattern, 'query', generated_query FROM kb WHERE query_success""")
 INTELLIGENCE = CLASSED + """
 , days AS (SELECT CAST(created_ts AS DATE) AS query_date, COUNT(*) AS total_queries, COUNT(*) FILTER (query_success) AS good,
  AVG(execution_time_ms) AS avg_ms, COUNT(DISTINCT common_pattern) AS pattern_diversity FROM kb GROUP BY 1),
@@ -505,10 +507,10 @@ NUMBERED = """
 add("a33b_page_sizes", "result_rows", NUMBERED + "SELECT * FROM pages")
 add("a33_artifact_profile", "result_rows", NUMBERED + f"""
 , tot AS (SELECT artifact_id, CAST(SUM(page_rows) AS BIGINT) AS row_count, CAST(SUM(page_bytes) - COUNT(*) + 1 AS BIGINT) AS total_bytes,
- COUNT(*) AS page_count, string_agg(CAST(page_bytes AS VARCHAR), ',' ORDER BY page) AS row_group_bytes FROM pages GROUP BY 1),
+ COUNT(*) AS page_count FROM pages GROUP BY 1),
  smp AS (SELECT artifact_id, string_agg(row_json, ',' ORDER BY i) AS sample_rows FROM num WHERE i < 10 GROUP BY 1)
 SELECT artifact_id, row_count, CAST(1 AS BIGINT) AS column_count, sample_rows, length('[' || sample_rows || ']') AS sample_chars,
- '[{{"name":"k","type":"long","nullable":true}}]' AS content_schema, row_group_bytes, page_count, total_bytes,
+ '[{{"name":"k","type":"long","nullable":true}}]' AS content_schema, page_count, total_bytes,
  row_count > 100 OR total_bytes > 1048576 AS is_external, {when(DAY)} + INTERVAL 24 HOUR AS expires_at FROM tot JOIN smp USING (artifact_id)""")
 
 

@@ -129,13 +129,10 @@ query("a25_session_gap_counts")(lambda t: sessions.session_gap_counts(t.activity
 query("a25b_active_sessions")(lambda t: sessions.active_sessions(t.activity_stream))
 
 
-@query("a26_successful_patterns")
-def _(t):
-    out = knowledge.successful_patterns(knowledge.classify_prompts(t.knowledge_base))
-    return out.withColumn("example_prompts", F.array_join("example_prompts", "|")).withColumn(
-        "example_queries", F.array_join("example_queries", "|"))
-
-
+query("a26_successful_patterns")(
+    lambda t: knowledge.successful_patterns(knowledge.classify_prompts(t.knowledge_base)))
+query("a26b_pattern_examples")(
+    lambda t: knowledge.pattern_examples(knowledge.classify_prompts(t.knowledge_base)))
 query("a27_intelligence_metrics")(
     lambda t: knowledge.intelligence_metrics(knowledge.classify_prompts(t.knowledge_base)))
 query("a28_hourly_latency_p95")(lambda t: product.hourly_latency_p95(t.stream_v2, HOUR))
@@ -170,15 +167,14 @@ _PROPS = T.StructType([T.StructField("k", T.LongType())])
 @query("a33_artifact_profile")
 def _(t):
     profile = artifacts.artifact_profile(
-        t.result_rows, ["ts", "event_id"], F.date_trunc("day", "ts"), DAY, schema=_PROPS)
-    return profile.withColumn("sample_rows", F.array_join("sample_rows", ",")).withColumn(
-        "row_group_bytes", F.array_join(F.transform("row_group_bytes", lambda b: b.cast("string")), ","))
+        t.result_rows, ["ts", "event_id"], F.date_trunc("hour", "ts"), DAY, schema=_PROPS, page_list=False)
+    return profile.withColumn("sample_rows", F.array_join("sample_rows", ","))
 
 
 @query("a33b_page_sizes")
 def _(t):
     return artifacts.page_sizes(
-        artifacts.numbered_rows(t.result_rows, ["ts", "event_id"], F.date_trunc("day", "ts")))
+        artifacts.numbered_rows(t.result_rows, ["ts", "event_id"], F.date_trunc("hour", "ts")))
 
 
 query("a34_migration_validation")(lambda t: quality.migration_validation(t.activity_stream, t.stream_v2))
