@@ -79,6 +79,8 @@ def test_hourly_metrics_over_several_batches(spark, tmp_path):
         metrics.hourly_metrics_stream(rows, str(tmp_path / "out"), str(tmp_path / "m")).awaitTermination()
     got = {r.hour: r.total_activities for r in metrics.read_hourly_metrics(spark, str(tmp_path / "out")).collect()}
     assert got == {T0: 3, T0 + dt.timedelta(hours=1): 3}
+    metrics.compact_hourly_metrics(spark, str(tmp_path / "out"), str(tmp_path / "compact"))
+    assert read_stream(spark, str(tmp_path / "compact")).count() == 2
 
 
 def test_abandoned_sessions_stream(spark, tmp_path):

@@ -530,7 +530,7 @@ FROM o JOIN w USING (check_name)"""
 
 
 add("a34_migration_validation", "activity_stream stream_v2", validation("activity_stream", "stream_v2"))
-add("o1_period_union", "stream_v2 meta_stream", validation("stream_v2", "meta_stream"))
+add("o1_union_of_checks", "stream_v2 meta_stream", validation("stream_v2", "meta_stream"))
 add("a35_study_sessions_by_day", "activity_stream", f"""
 SELECT CAST(ts AS DATE) AS day, COUNT(*) AS study_sessions FROM activity_stream
 WHERE activity = 'claude_session_start' AND {t('project_path')} LIKE '{STUDY}' GROUP BY 1""")
@@ -605,6 +605,10 @@ UNION ALL SELECT {ENVELOPE}, {NO_LEGACY}, 'new' FROM {MIGRATED}
 UNION ALL SELECT {ENVELOPE}, {LEGACY}, 'new' FROM stream_v2""")
 add("s10_dual_sink", "stream_v2", f"SELECT {ENVELOPE}, {LEGACY} FROM stream_v2")
 add("s9_write_and_read", "activity_stream", f"SELECT {ENVELOPE}, CAST(ts AS DATE) AS dt FROM activity_stream")
+add("s12_result_formats", "activity_stream", """
+SELECT CAST(ts AS DATE) AS day, COUNT(DISTINCT customer) AS sessions, COUNT(DISTINCT anonymous_customer_id) AS users, COUNT(*) AS activities,
+ unnest(['csv', 'json', 'parquet']) AS format
+FROM activity_stream WHERE ts >= DATE '2024-01-31' - INTERVAL 30 DAY GROUP BY 1""")
 add("d3_backfill", "activity_stream", f"""
 SELECT {ENVELOPE} FROM {MIGRATED} UNION ALL SELECT {ENVELOPE} FROM activity_stream
 WHERE CAST(ts AS DATE) BETWEEN DATE '2024-01-08' AND DATE '2024-01-20' AND activity_id NOT IN (SELECT activity_id FROM {MIGRATED})""")

@@ -14,7 +14,7 @@ from ..operators import (
 from ..session import pin, work_dir
 from ..sources import builders, ndjson
 from ..sources.fixtures import load
-from ..sources.tables import read_stream, write_stream
+from ..sources.tables import read_stream, write_result, write_stream
 from ..streaming import context, ingest, metrics
 
 DAY = "2024-01-31 00:00:00"
@@ -209,7 +209,7 @@ query("w8_dedup_keep_first")(lambda t: windows.dedup_keep_first(
     ndjson.parse_lines(t.ndjson_lines, DAY), order=("ts", "feature_json")))
 
 # ---------------------------------------------------------------- set ops (O)
-query("o1_period_union")(lambda t: quality.migration_validation(t.stream_v2, t.meta_stream))
+query("o1_union_of_checks")(lambda t: quality.migration_validation(t.stream_v2, t.meta_stream))
 query("o2_orphaned_today")(lambda t: sessions.orphaned_today(t.activity_stream, HOUR))
 query("o3_distinct_activities")(lambda t: trends.distinct_activities(t.activity_stream))
 query("o4_learning_opportunities")(lambda t: knowledge.learning_opportunities(t.knowledge_base))
@@ -298,6 +298,18 @@ def _(t):
     return read_stream(t.spark, path)
 
 
+@query("s12_result_formats")
+def _(t):
+    """Written and read back in each format, with the format as a column."""
+    trend, base, rows = dashboard.daily_trend(t.activity_stream, DAY), t.work("formats"), None
+    for kind in ("csv", "json", "parquet"):
+        write_result(trend, f"{base}/{kind}", kind)
+        reader = t.spark.read.schema(trend.schema).option("header", True)
+        part = getattr(reader, kind)(f"{base}/{kind}").withColumn("format", F.lit(kind))
+        rows = part if rows is None else rows.unionByName(part)
+    return rows
+
+
 @query("s10_dual_sink")
 def _(t):
     base = t.work("dual")

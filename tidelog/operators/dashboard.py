@@ -20,26 +20,33 @@ def _midnight(as_of):
 def period_metrics(stream: DataFrame, as_of=None, approx: bool = False) -> DataFrame:
     """Today, this week, this month: always three rows, one scan.
 
-    Each row is flagged with the periods it belongs to and counted in each.
+    Rows are first reduced, map side, to one per session and user with a count for
+    each period; only these few are then copied to the periods they belong to.
     """
     start = _midnight(as_of)
-    week = start - span(days=7)
     month = F.add_months(F.to_date(bound(as_of)), -1).cast("timestamp_ntz")
     ts = F.col("ts")
-    flags = F.array_compact(F.array(
-        F.when((ts >= start) & (ts < start + span(days=1)), PERIODS[0]),
-        F.when(ts >= week, PERIODS[1]),
-        F.when(ts >= month, PERIODS[2]),
-    ))
+    inside = dict(zip(PERIODS, (
+        (ts >= start) & (ts < start + span(days=1)), ts >= start - span(days=7), ts >= month,
+    )))
+    pairs = (
+        since(stream, F.least(start - span(days=7), month))
+        .groupBy("customer", "anonymous_customer_id")
+        .agg(*[
+            F.struct(F.lit(name).alias("period"), F.count_if(rows).alias("n"),
+                     F.sum(F.when(rows, F.col("revenue_impact"))).alias("cost")).alias(name)
+            for name, rows in inside.items()
+        ])
+    )
     counted = (
-        since(stream, F.least(week, month))
-        .select(F.explode(flags).alias("period"), "customer", "anonymous_customer_id", "revenue_impact")
-        .groupBy("period")
+        pairs.select("customer", "anonymous_customer_id", F.explode(F.array(*[F.col(f"`{n}`") for n in PERIODS])).alias("p"))
+        .where("p.n > 0")
+        .groupBy("p.period")
         .agg(
             n_distinct("customer", approx).alias("sessions"),
             n_distinct("anonymous_customer_id", approx).alias("users"),
-            F.count("*").alias("activities"),
-            _cost().alias("cost_dollars"),
+            F.sum("p.n").alias("activities"),
+            F.coalesce(steady_round(F.sum("p.cost") * 1000, 2), F.lit(0.0)).alias("cost_dollars"),
         )
     )
     periods = stream.sparkSession.createDataFrame([(p, i) for i, p in enumerate(PERIODS)], "period string, place int")

@@ -54,6 +54,15 @@ def read_hourly_metrics(spark: SparkSession, out: str) -> DataFrame:
     return keep_first(rows, ["hour", "customer"], [F.desc("version")]).drop("version")
 
 
+def compact_hourly_metrics(spark: SparkSession, out: str, target: str) -> None:
+    """Writes the newest measures, one row per hour and customer, to another folder.
+
+    For serving, and for beginning a new stream folder when one has many versions.
+    """
+    rows = read_hourly_metrics(spark, out).withColumn("dt", F.to_date("hour"))
+    rows.hint("rebalance", "dt").write.mode("overwrite").partitionBy("dt").parquet(target)
+
+
 def abandoned_sessions(stream: DataFrame, timeout: str = "2 hours", watermark: str = "24 hours") -> DataFrame:
     """Session activity that began, fell silent for ``timeout`` and has no end event.
 
