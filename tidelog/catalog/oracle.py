@@ -31,6 +31,23 @@ def when(text: str) -> str:
     return f"TIMESTAMP '{text}'"
 
 
+def averages(sql: str) -> str:
+    """``ROUND(AVG(x), d)`` by decimal arithmetic: a double on the edge, such as
+    0.0635695, is rounded alike on both engines."""
+    head, mark, tail = sql.partition("ROUND(AVG(")
+    if not mark:
+        return sql
+    depth, end = 1, 0
+    while depth:
+        depth += {"(": 1, ")": -1}.get(tail[end], 0)
+        end += 1
+    inner, rest = tail[: end - 1], tail[end:]
+    if not rest.startswith(", "):  # a window follows the aggregate
+        return head + mark + averages(tail)
+    digits, _, rest = rest[2:].partition(")")
+    return f"{head}{money(f'AVG({inner})', int(digits))}{averages(rest)}"
+
+
 def add(name: str, tables: str, body: str) -> None:
     """Registers ``body`` below the CTEs of the named stream tables.
 
@@ -41,6 +58,7 @@ def add(name: str, tables: str, body: str) -> None:
         for need in (*_NEEDS.get(table, ()), table):
             if need not in names:
                 names.append(need)
+    body = averages(body)
     ctes = ",\n".join(f"{table} AS ({TABLES[table]})" for table in names)
     ORACLE[name] = f"WITH {ctes}\n{body}" if not body.lstrip().startswith(",") else f"WITH {ctes}{body}"
 

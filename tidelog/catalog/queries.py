@@ -7,7 +7,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
-from ..functions import payload_of
+from ..functions import payload_of, steady_round
 from ..operators import (
     artifacts, dashboard, executive, knowledge, product, quality, sessions, state, text, trends, typed, views, windows,
 )
@@ -33,7 +33,7 @@ def settle(df: DataFrame, digits: int = 6) -> DataFrame:
     for field in df.schema.fields:
         column = F.col(f"`{field.name}`")
         if isinstance(field.dataType, T.DoubleType):
-            column = F.round(column, digits)
+            column = steady_round(column, digits)
         elif isinstance(field.dataType, T.IntegerType):
             column = column.cast("bigint")
         out.append(column.alias(field.name))

@@ -39,7 +39,7 @@ def executive_summary(stream: DataFrame, as_of=None, approx: bool = False) -> Da
         n_distinct("day", approx).alias("days_active"),
         n_distinct("project", approx).alias("projects_touched"),
         n_distinct("branch", approx).alias("git_branches_worked"),
-        F.round(F.avg("ms"), 2).alias("avg_response_time_ms"),
+        steady_round(F.avg("ms"), 2).alias("avg_response_time_ms"),
         F.max("ms").alias("max_response_time_ms"),
         F.sum("tokens").alias("total_tokens_consumed"),
     ).select(today.alias("report_date"), "*")
@@ -100,12 +100,12 @@ def tool_usage(stream: DataFrame, approx: bool = False) -> DataFrame:
             F.count("*").alias("usage_count"),
             n_distinct("customer", approx).alias("unique_sessions"),
             n_distinct("anonymous_customer_id", approx).alias("unique_users"),
-            F.round(F.avg("ms"), 2).alias("avg_duration_ms"),
+            steady_round(F.avg("ms"), 2).alias("avg_duration_ms"),
             F.min("ms").alias("min_duration_ms"),
             F.max("ms").alias("max_duration_ms"),
             F.round(F.stddev("ms"), 2).alias("stddev_duration_ms"),
             F.sum("tokens").alias("total_tokens"),
-            F.round(F.avg("tokens"), 2).alias("avg_tokens_per_call"),
+            steady_round(F.avg("tokens"), 2).alias("avg_tokens_per_call"),
             F.count_if(F.col("result") == "success").alias("successful_calls"),
             F.sum("revenue_impact").alias("total_cost"),
             F.avg("revenue_impact").alias("avg_cost_per_call"),

@@ -104,8 +104,8 @@ def usage_summary(by_day: DataFrame) -> DataFrame:
         F.sum("tokens_used").alias("total_tokens"),
         F.sum("lines_written").alias("total_lines_written"),
         F.sum("tools_used").alias("total_tools_used"),
-        F.round(F.avg("tokens_used"), 0).alias("avg_tokens_per_day"),
-        F.round(F.avg("lines_written"), 0).alias("avg_lines_per_day"),
+        steady_round(F.avg("tokens_used"), 0).alias("avg_tokens_per_day"),
+        steady_round(F.avg("lines_written"), 0).alias("avg_lines_per_day"),
         F.sum("estimated_cost_usd").alias("total_cost_usd"),
     )
 
