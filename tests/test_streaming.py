@@ -1,8 +1,6 @@
 import datetime as dt
 import json
 
-from pyspark.sql import functions as F
-
 from tidelog.operators.state import context_blobs
 from tidelog.sources.fixtures import load
 from tidelog.sources.ndjson import stream_ndjson

@@ -7,7 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, functions as F
 
 from .. import vocab
-from ..functions import bound, n_distinct, payload_of, pct, since, span, steady_round, trunc_ts, ts_diff
+from ..functions import bound, payload_of, pct, since, span, steady_round, trunc_ts, ts_diff
 
 LATENCY_POINTS = {"p50_latency_ms": 0.5, "p95_latency_ms": 0.95, "p99_latency_ms": 0.99}
 

@@ -58,17 +58,16 @@ def running_peers(df: DataFrame, keys: Sequence[str], ts: str, unit: str, count:
     )
     inside = Window.partitionBy(*keys, "_b").orderBy(ts)
     upto = inside.rangeBetween(Window.unboundedPreceding, Window.currentRow)
-    # Interval frame bounds can only be written in SQL.
-    named = ", ".join(f"`{key}`" for key in keys)
-    later = F.expr(
-        f"min(`{ts}`) OVER (PARTITION BY {named}, `_b` ORDER BY `{ts}` "
-        "RANGE BETWEEN INTERVAL '0.000001' SECOND FOLLOWING AND UNBOUNDED FOLLOWING)"
-    )
+    peers = inside.rangeBetween(Window.currentRow, Window.currentRow)
+    # The next row's time, or for ties that of the row after them: frames that only
+    # grow or slide, so a bucket takes time linear in its rows.
+    coming = F.lead(ts).over(inside)
     return (
         rows.withColumn("_upto", F.count("*").over(upto))
-        .withColumn("_later", later)
+        .withColumn("_coming", coming)
+        .withColumn("_later", F.max(F.when(F.col("_coming") > F.col(ts), F.col("_coming"))).over(peers))
         .join(buckets, [*keys, "_b"], "left")
         .withColumn(count, F.when(known, F.col("_before") + F.col("_upto")).otherwise(F.lit(0)))
         .withColumn(following, F.when(known, F.coalesce("_later", "_bucket_next")))
-        .drop("_b", "_upto", "_later", "_before", "_bucket_next")
+        .drop("_b", "_upto", "_coming", "_later", "_before", "_bucket_next")
     )
