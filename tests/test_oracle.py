@@ -3,10 +3,12 @@
 import pytest
 
 from __spark_entry__ import entry, oracle_sql, queries
+from tidelog.catalog.oracle import ORACLE
+from tidelog.catalog.queries import QUERIES
 
 from .check import compare, duck
 
-QUERIES, ORACLE = queries(), oracle_sql()
+
 
 
 @pytest.fixture(scope="module")
@@ -25,4 +27,4 @@ def test_entry(spark):
 
 
 def test_no_oracle_without_query():
-    assert set(ORACLE) <= set(QUERIES)
+    assert set(oracle_sql()) <= set(queries())
