@@ -148,6 +148,13 @@ def _agree(similarity: Fraction):
 
     def run(it: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         a, b = [], []
+        above: dict[int, int] = {}  # a forest of the sets that the task has connected: an edge inside a tree says nothing new
+
+        def top(x: int) -> int:
+            while (up := above.setdefault(x, x)) != x:
+                above[x] = x = above[up]
+            return x
+
         for group in _groups(it, 3):
             rid = [x[4] for x in group]
             tokens = np.frombuffer(b"".join(x[5] for x in group), "<u4").reshape(-1, TOKENS)
@@ -158,7 +165,8 @@ def _agree(similarity: Fraction):
                     same += tokens[low:low + 64, c, None] == tokens[None, :, c]
                 linked[low:low + 64] = same >= least
             for x, y in enumerate(_stars(linked)):
-                if x != y:
+                if x != y and (one := top(rid[y])) != (other := top(rid[x])):
+                    above[other] = one
                     a.append(rid[y])
                     b.append(rid[x])
             if len(a) > 10_000:
