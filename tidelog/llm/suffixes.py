@@ -86,11 +86,18 @@ def _anchor_counts(it: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def _anchor_rows(it: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """A row for each text and hash: a text that repeats a short string has the same anchor over and over."""
     for batch in it:
         h, text, place, first, last = anchors(*text_buffer(batch.column("text")))
-        k1, k2 = (batch.column(c).to_numpy(zero_copy_only=False)[text] for c in ("k1", "k2"))
         packed = place << 16 | (place - first) << 8 | (last - first)  # the last two are below 256
-        yield pa.RecordBatch.from_arrays([pa.array(x) for x in (h, k1, k2, packed)], ["h", "k1", "k2", "packed"])
+        order = np.lexsort((packed, h, text))
+        h, text, packed = h[order], text[order], packed[order]
+        new = np.concatenate(([True], (np.diff(text) != 0) | (np.diff(h) != 0)))[:len(h)]
+        begin = np.flatnonzero(new)
+        rest = np.concatenate(([0], np.cumsum(np.diff(np.concatenate((begin, [len(h)]))) - 1))).astype(np.int32)
+        more = pa.ListArray.from_arrays(pa.array(rest), pa.array(packed[~new]), mask=pa.array(np.diff(rest) == 0))
+        k1, k2 = (batch.column(c).to_numpy(zero_copy_only=False)[text[begin]] for c in ("k1", "k2"))
+        yield pa.RecordBatch.from_arrays([pa.array(h[begin]), pa.array(k1), pa.array(k2), pa.array(packed[begin]), more], ["h", "k1", "k2", "packed", "more"])
 
 
 def common(a: bytes, b: bytes, skip: int = 0) -> int:
@@ -167,7 +174,7 @@ def _runs(parts: int, hot: int):
             local = defaultdict(list)
             for i, found in enumerate(batch.column("found").to_pylist()):
                 raw = data[at[i]:at[i + 1]].tobytes()
-                for packed, n in ((x["packed"], x["n"]) for x in found):
+                for packed, n in ((p, x["n"]) for x in found for p in (x["packed"], *(x["more"] or ()))):
                     place, left, windows = packed >> 16, packed >> 8 & 255, packed & 255
                     first = place - left
                     pieces = [(0, place, first, first + windows)] if n <= hot else [(1, s, s, s) for s in range(first, first + windows + 1)]
@@ -309,8 +316,8 @@ def remove_repeats(docs: DataFrame, carry: tuple[str, ...] = (), texts: bool = F
     keyed = docs.select(*row_key(), F.col("doc_id").cast("long").alias("doc_id"), "text", *(F.col(c).alias(n) for n, c in names.items()))
     slim = keyed.select("k1", "k2", "text")
     counts = slim.select("text").mapInArrow(_anchor_counts, "h long, n long").groupBy("h").agg(F.sum("n").alias("n")).filter("n > 1")
-    rows = slim.mapInArrow(_anchor_rows, "h long, k1 long, k2 long, packed long").join(counts, "h")
-    found = rows.groupBy("k1", "k2").agg(F.collect_list(F.struct("packed", "n")).alias("found"))
+    rows = slim.mapInArrow(_anchor_rows, "h long, k1 long, k2 long, packed long, more array<long>").join(counts, "h")
+    found = rows.groupBy("k1", "k2").agg(F.collect_list(F.struct("packed", "more", "n")).alias("found"))
     # both joins take all columns of ``keyed``, so that its texts are shuffled once
     runs = keyed.join(found, ["k1", "k2"]).mapInArrow(_runs(parts, hot), _FIELDS)
     spans = runs.repartition("part").sortWithinPartitions("part").mapInArrow(_merge, "k1 long, k2 long, spans array<int>")
