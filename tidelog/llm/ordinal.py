@@ -73,12 +73,12 @@ def fit(grades: np.ndarray, lists: list[np.ndarray], levels: int = GRADES, round
     """
     if len(np.unique(grades)) < 2:
         return None
-    row = np.repeat(np.arange(len(lists)), [len(x) for x in lists])
+    row = np.repeat(np.arange(len(lists), dtype=np.int32), [len(x) for x in lists])
     feature = np.concatenate(lists)
-    seen = np.bincount(feature * levels + grades[row], minlength=WIDTH * levels).reshape(WIDTH, levels)
+    seen = np.stack([np.bincount(feature[grades[row] == k], minlength=WIDTH) for k in range(levels)], 1)
     due = seen.sum(1, keepdims=True) * (np.bincount(grades, minlength=levels) / len(grades))
     telling = ((seen - due) ** 2 / np.maximum(due, 1e-9)).sum(1) >= least
-    telling &= seen @ np.arange(levels) < grades.mean() * seen.sum(1)
+    telling &= seen[:, -1] < due[:, -1]
     row, feature = row[telling[feature]], feature[telling[feature]]
     rows, cuts = len(grades), levels - 1
     share = np.clip(np.array([(grades <= k).mean() for k in range(cuts)]), 1e-3, 1 - 1e-3)
@@ -124,7 +124,7 @@ def train(docs: DataFrame, ratings: DataFrame, sample: int = SAMPLE, levels: int
     found = rows.mapInArrow(_lists, "grade int, features array<int>").toArrow()
     if not found.num_rows:
         return None
-    lists = [np.asarray(x, np.int64) for x in found["features"].to_pylist()]
+    lists = [part.values.to_numpy()[a:b] for part in found["features"].chunks for a, b in zip(part.offsets.to_numpy(), part.offsets.to_numpy()[1:])]
     return fit(found["grade"].to_numpy().astype(np.int64), lists, levels)
 
 

@@ -68,12 +68,12 @@ def verdict(thresholds: Sequence[tuple[str, float | None, float | None]] = THRES
     """The table as one condition on the counts."""
     words = F.col("n_words").cast("double")
     measures = {
-        "mean_word_length": F.col("word_chars") / words,
-        "symbol_ratio": F.col("n_symbols") / words,
-        "stop_word_ratio": F.col("n_stop_words") / words,
-        "duplicate_line_ratio": F.col("n_dup_lines") / F.col("n_lines").cast("double"),
-        "mean_line_words": words / F.col("n_lines"),
-        "repeated_word_ratio": F.col("n_repeat_words") / words,
+        "mean_word_length": F.try_divide("word_chars", words),
+        "symbol_ratio": F.try_divide("n_symbols", words),
+        "stop_word_ratio": F.try_divide("n_stop_words", words),
+        "duplicate_line_ratio": F.try_divide("n_dup_lines", F.col("n_lines").cast("double")),
+        "mean_line_words": F.try_divide(words, "n_lines"),
+        "repeated_word_ratio": F.try_divide("n_repeat_words", words),
     }
     out = F.lit(True)
     for name, least, most in thresholds:
