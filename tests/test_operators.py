@@ -220,10 +220,43 @@ def test_screen_generated_sql(spark, answer, sql, unsafe):
     assert (row.generated_sql, row.is_unsafe) == (sql, unsafe)
 
 
-def test_generated_sql_line_limit(spark):
-    body = "\n".join(["SELECT 1"] + [f", {i}" for i in range(80)])
-    row = text.screen_generated_sql(spark.createDataFrame([(body + ";",)], "answer string")).first()
-    assert len(row.generated_sql.split("\n")) == vocab.SQL_MAX_LINES
+@pytest.mark.parametrize("answer", [
+    "```sql\nSELECT 1\n```\ntext\n```sql\nDROP TABLE t\n```",
+    "SELECT 1;\ntext\nDELETE FROM t;",
+    "```sql\n" + "\n".join(["SELECT 1"] * 60) + "\nDROP TABLE t\n```",
+])
+def test_generated_sql_is_screened_as_a_whole(spark, answer):
+    row = text.screen_generated_sql(spark.createDataFrame([(answer,)], "answer string")).first()
+    assert row.is_unsafe and ("DROP TABLE t" in row.generated_sql or "DELETE FROM t;" in row.generated_sql)
+
+
+def test_validation_covers_every_id(spark):
+    def table(ids):
+        return spark.createDataFrame([(i, dt.datetime(2024, 1, 1)) for i in ids], "activity_id string, ts timestamp_ntz")
+
+    def status(a, b):
+        return {r.check_name: r.match_status for r in quality.migration_validation(table(a), table(b)).collect()}
+
+    ids = [f"id{i}" for i in range(300)]
+    assert set(status(ids, ids[::-1]).values()) == {"MATCH"}
+    assert status(ids, [*ids[:-1], "other"])["id_digest"] == "MISMATCH"
+
+
+def test_windows_end_at_as_of(spark):
+    from tidelog.functions import bound, since, span
+
+    now = "2024-01-31 12:00:00"
+    rows = spark.sql("SELECT timestamp_ntz'2024-01-31 11:30:00' AS ts, date'2024-01-31' AS dt UNION ALL SELECT timestamp_ntz'2024-01-31 12:00:01', date'2024-01-31' "
+                     "UNION ALL SELECT timestamp_ntz'2024-02-01 00:00:00', date'2024-02-01'")
+    assert since(rows, bound(now) - span(hours=1), to=bound(now)).count() == 1
+
+
+def test_numbering_keeps_null_buckets(spark):
+    from tidelog.plans.prefix import running_number
+
+    rows = spark.createDataFrame([("a", 1), ("a", None), (None, 2), ("a", 2)], "k string, t int")
+    got = running_number(rows, ["k"], ["t"], F.col("t"), "n").collect()
+    assert sorted((r.k or "", r.t or 0, r.n) for r in got) == [("", 2, 1), ("a", 0, 1), ("a", 1, 2), ("a", 2, 3)]
 
 
 @pytest.mark.parametrize("tokens,cost", [(50, 0.000002), (30, 0.000001), (0, 0.0), (1_000_000, 0.04)])

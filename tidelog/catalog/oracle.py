@@ -90,7 +90,7 @@ FROM activity_stream WHERE activity LIKE 'claude_%' OR activity LIKE 'ccode_%'""
 add("p2_recent_activities", "activity_stream", f"""
 SELECT activity_id, ts, activity, customer, anonymous_customer_id, feature_json, ROUND(revenue_impact, 6) AS revenue_impact, link,
  date_diff('second', ts, {when(DAY)}) AS seconds_ago, date_diff('minute', ts, {when(DAY)}) AS minutes_ago
-FROM activity_stream WHERE ts >= {when(DAY)} - INTERVAL 24 HOUR""")
+FROM activity_stream WHERE ts >= {when(DAY)} - INTERVAL 24 HOUR AND ts <= {when(DAY)}""")
 add("p3_sql_events", "stream_v2 query_history", f"""
 SELECT cs.activity_id, cs.ts, cs.customer, cs.anonymous_customer_id, {t('query_id')} AS query_id, {t('sql')} AS sql_text,
  {t('warehouse')} AS warehouse, {t('role')} AS role, {t('database')} AS database, {t('schema')} AS schema,
@@ -164,7 +164,7 @@ add("p10_activity_log", "activity_stream", f"""
 SELECT ts AS time, activity, customer AS session_id, anonymous_customer_id AS "user",
  CASE activity WHEN 'claude_meta_query' THEN {t('prompt')} WHEN 'claude_tool_call' THEN {t('tool_name')}
   WHEN 'claude_file_operation' THEN {t('file_path')} END AS details
-FROM (SELECT * FROM activity_stream WHERE ts >= {when(DAY)} - INTERVAL 24 HOUR ORDER BY ts DESC, activity_id LIMIT 100)""")
+FROM (SELECT * FROM activity_stream WHERE ts >= {when(DAY)} - INTERVAL 24 HOUR AND ts <= {when(DAY)} ORDER BY ts DESC, activity_id LIMIT 100)""")
 add("p11_executive_templates", "knowledge_base", """
 SELECT user_prompt, generated_query, result_count, execution_time_ms, created_ts FROM knowledge_base
 WHERE query_success AND (lower(user_prompt) LIKE '%executive%' OR lower(user_prompt) LIKE '%cost%' OR lower(user_prompt) LIKE '%metric%'
@@ -178,16 +178,15 @@ META = f"SELECT ts, customer AS session_id, {t('prompt')} AS question, "
 add("p13_meta_queries", "meta_stream",
     f"{META} left({t('query_generated')}, 100) AS sql_text FROM meta_stream WHERE activity = 'claude_meta_query'")
 add("p13b_recent_meta_queries", "meta_stream", f"""{META} {t('query_generated')} AS sql_text FROM meta_stream
-WHERE activity = 'claude_meta_query' AND ts > {when(DAY)} - INTERVAL 24 HOUR""")
+WHERE activity = 'claude_meta_query' AND ts > {when(DAY)} - INTERVAL 24 HOUR AND ts <= {when(DAY)}""")
 add("p13c_query_questions", "meta_stream", f"""{META} left({t('query_generated')}, 100) AS sql_text FROM meta_stream
 WHERE activity = 'claude_meta_query' AND {t('prompt')} LIKE '%query%'""")
 add("p14_todays_activities", "activity_stream", f"""
 SELECT * REPLACE (ROUND(revenue_impact, 6) AS revenue_impact) FROM activity_stream WHERE CAST(ts AS DATE) = CAST({when(HOUR)} AS DATE)""")
 add("p15_screen_generated_sql", "model_answers", r"""
-, found AS (SELECT answer_id, answer, CASE
-  WHEN regexp_extract(answer, '(?s)```sql[^\n]*\n(.*?)\n?```', 1) <> '' THEN regexp_extract(answer, '(?s)```sql[^\n]*\n(.*?)\n?```', 1)
-  ELSE regexp_extract(answer, '(?sm)^((?:SELECT|WITH|CREATE|INSERT|UPDATE|DELETE).*?)(?:;[ \t]*$|\z)', 0) END AS block FROM model_answers),
- cut AS (SELECT answer_id, answer, NULLIF(trim(array_to_string(list_slice(string_split(block, chr(10)), 1, 50), chr(10))), '') AS generated_sql FROM found)
+, found AS (SELECT answer_id, answer, regexp_extract_all(answer, '(?s)```sql[^\n]*\n(.*?)\n?```', 1) AS fenced,
+  regexp_extract_all(answer, '(?sm)^((?:SELECT|WITH|CREATE|INSERT|UPDATE|DELETE).*?)(?:;[ \t]*$|\z)', 0) AS bare FROM model_answers),
+ cut AS (SELECT answer_id, answer, NULLIF(trim(array_to_string(CASE WHEN len(list_filter(fenced, lambda x: x <> '')) > 0 THEN list_filter(fenced, lambda x: x <> '') ELSE bare END, chr(10))), '') AS generated_sql FROM found)
 SELECT answer_id, answer, generated_sql,
  COALESCE(regexp_matches(generated_sql, '(?i)DROP|TRUNCATE|DELETE.*FROM|UPDATE.*SET'), FALSE) AS is_unsafe FROM cut""")
 add("p16_active_contexts", "context_cache", """
@@ -218,7 +217,7 @@ SELECT CAST({when(DAY)} AS DATE) AS report_date, COUNT(DISTINCT customer) AS tot
  COUNT(DISTINCT {t('project_path')}) AS projects_touched, COUNT(DISTINCT {t('git_branch')}) AS git_branches_worked,
  ROUND(AVG({n('duration_ms')}), 2) AS avg_response_time_ms, MAX({n('duration_ms')}) AS max_response_time_ms,
  CAST(SUM({n('tokens_used')}) AS BIGINT) AS total_tokens_consumed
-FROM activity_stream WHERE {IN_STREAM} AND ts >= CAST({when(DAY)} AS DATE) - INTERVAL 30 DAY""")
+FROM activity_stream WHERE {IN_STREAM} AND ts >= CAST({when(DAY)} AS DATE) - INTERVAL 30 DAY AND ts <= {when(DAY)}""")
 ADOPTION = f"""
 , days AS (SELECT date_trunc('day', ts) AS activity_date, COUNT(DISTINCT anonymous_customer_id) AS daily_active_users,
  COUNT(DISTINCT customer) AS daily_sessions, COUNT(*) AS daily_activities, COUNT(DISTINCT {t('tool_name')}) AS unique_tools_used,
@@ -294,17 +293,17 @@ def period(label: str, condition: str) -> str:
 
 add("a13_period_metrics", "activity_stream", " UNION ALL ".join([
     period("Today", "CAST(ts AS DATE) = DATE '2024-01-30'"),
-    period("This Week", "ts >= DATE '2024-01-30' - INTERVAL 7 DAY"),
-    period("This Month", "ts >= DATE '2024-01-30' - INTERVAL 1 MONTH")]))
+    period("This Week", "ts >= DATE '2024-01-30' - INTERVAL 7 DAY AND ts <= TIMESTAMP '2024-01-30 12:00:00'"),
+    period("This Month", "ts >= DATE '2024-01-30' - INTERVAL 1 MONTH AND ts <= TIMESTAMP '2024-01-30 12:00:00'")]))
 add("a14_daily_trend", "activity_stream", """
 SELECT CAST(ts AS DATE) AS day, COUNT(DISTINCT customer) AS sessions, COUNT(DISTINCT anonymous_customer_id) AS users, COUNT(*) AS activities
-FROM activity_stream WHERE ts >= DATE '2024-01-31' - INTERVAL 30 DAY GROUP BY 1""")
+FROM activity_stream WHERE ts >= DATE '2024-01-31' - INTERVAL 30 DAY AND ts <= TIMESTAMP '2024-01-31 00:00:00' GROUP BY 1""")
 add("a15_top_users", "activity_stream", f"""
 SELECT anonymous_customer_id AS user_name, COUNT(DISTINCT customer) AS sessions_this_week, COUNT(*) AS activities_this_week,
  COALESCE({money('SUM(revenue_impact) * 1000', 2)}, 0) AS cost_this_week
-FROM activity_stream WHERE ts >= DATE '2024-01-31' - INTERVAL 7 DAY GROUP BY 1 ORDER BY sessions_this_week DESC, user_name LIMIT 10""")
+FROM activity_stream WHERE ts >= DATE '2024-01-31' - INTERVAL 7 DAY AND ts <= TIMESTAMP '2024-01-31 00:00:00' GROUP BY 1 ORDER BY sessions_this_week DESC, user_name LIMIT 10""")
 add("a16_health_check", "activity_stream", f"""
-, c AS (SELECT COUNT(DISTINCT customer) AS current_sessions, 12 AS h FROM activity_stream WHERE ts >= date_trunc('hour', {when(HOUR)})),
+, c AS (SELECT COUNT(DISTINCT customer) AS current_sessions, 12 AS h FROM activity_stream WHERE ts >= TIMESTAMP '2024-01-30 12:00:00' AND ts <= TIMESTAMP '2024-01-30 12:40:00'),
  hours AS (SELECT date_trunc('hour', ts) AS hour, COUNT(DISTINCT customer) AS k FROM activity_stream
   WHERE ts >= CAST({when(HOUR)} AS DATE) - INTERVAL 7 DAY AND ts < date_trunc('hour', {when(HOUR)}) GROUP BY 1),
  base AS (SELECT extract(hour FROM hour) AS h, AVG(k) AS mean, STDDEV(k) AS spread FROM hours GROUP BY 1)
@@ -345,7 +344,7 @@ def product_metrics(as_of: str, days: int) -> str:
  COUNT(*) FILTER ({b('success')}) AS good, COUNT(*) FILTER (NOT {b('success')}) AS bad,
  CAST(SUM({n('total_tokens')}) AS BIGINT) AS total_tokens, CAST(SUM({n('prompt_tokens')}) AS BIGINT) AS prompt_tokens,
  CAST(SUM({n('completion_tokens')}) AS BIGINT) AS completion_tokens, SUM(revenue_impact) AS cost, COUNT(DISTINCT link) AS unique_artifacts,
- COUNT(link) AS linked FROM stream_v2 WHERE ts > {when(as_of)} - INTERVAL {days} DAY GROUP BY 1, 2),
+ COUNT(link) AS linked FROM stream_v2 WHERE ts > {when(as_of)} - INTERVAL {days} DAY AND ts <= {when(as_of)} GROUP BY 1, 2),
  p AS (SELECT *, {pct('good', '(good + bad)', 2)} AS success_rate_pct, {pct('linked', 'total_activities', 2)} AS provenance_coverage_pct FROM h),
  s AS (SELECT *, (CASE WHEN p95_latency_ms <= 25 THEN 25 ELSE 0 END) + (CASE WHEN success_rate_pct >= 95 THEN 25 ELSE success_rate_pct * 0.25 END)
   + (CASE WHEN provenance_coverage_pct >= 98 THEN 25 ELSE provenance_coverage_pct * 0.25 END) + 25 AS total FROM p),
@@ -361,7 +360,7 @@ def product_metrics(as_of: str, days: int) -> str:
 add("a20_product_metrics", "stream_v2", product_metrics(DAY, 30) + "SELECT * FROM product_metrics")
 add("a41_customer_health", "stream_v2", product_metrics(DAY, 7) + """
 SELECT customer, total_activities, p50_latency_ms, p95_latency_ms, success_rate_pct, health_score FROM product_metrics
-WHERE customer = 'c3' AND hour >= TIMESTAMP '2024-01-30 00:00:00' - INTERVAL 1 HOUR""")
+WHERE customer = 'c3' AND hour >= TIMESTAMP '2024-01-30 00:00:00' - INTERVAL 1 HOUR AND hour <= TIMESTAMP '2024-01-30 00:00:00'""")
 add("a21_session_day_summary", "activity_stream", """
 SELECT CAST(ts AS DATE) AS date, COUNT(DISTINCT customer) AS unique_sessions, COUNT(*) AS total_activities,
  COUNT(*) FILTER (activity = 'claude_session_start') AS sessions_started, COUNT(*) FILTER (activity = 'claude_session_end') AS sessions_ended
@@ -394,7 +393,7 @@ SELECT *, CASE WHEN study_events > 10 THEN 'expert' WHEN study_events > 5 THEN '
 add("a25_session_gap_counts", "activity_stream", """
 SELECT 'active' AS metric, COUNT(*) AS value FROM activity_stream WHERE activity = 'claude_session_start'
  AND customer NOT IN (SELECT customer FROM activity_stream WHERE activity = 'claude_session_end' AND customer IS NOT NULL)
- AND ts > TIMESTAMP '2024-01-30 19:00:00'
+ AND ts > TIMESTAMP '2024-01-30 19:00:00' AND ts <= TIMESTAMP '2024-01-30 20:00:00'
 UNION ALL SELECT 'orphaned_today', COUNT(*) FROM (
  SELECT customer FROM activity_stream WHERE activity = 'claude_session_start' AND CAST(ts AS DATE) = DATE '2024-01-30'
  EXCEPT SELECT customer FROM activity_stream WHERE activity = 'claude_session_end' AND CAST(ts AS DATE) = DATE '2024-01-30')""")
@@ -427,14 +426,14 @@ add("w5_rolling_rate", "knowledge_base", INTELLIGENCE + "SELECT query_date, roll
 P95 = f"""SELECT customer, 'system_performance' AS subject, 'hourly_latency_p95' AS metric,
  ROUND(quantile_cont(CAST({n('latency_ms')} AS DOUBLE), 0.95), 6) AS value, 'hourly' AS grain, 1.0::DOUBLE AS confidence,
  'aggregate_calculation' AS derivation_method FROM stream_v2
-WHERE activity = 'mcp_call' AND ts > {when(HOUR)} - INTERVAL 1 HOUR AND {n('latency_ms')} IS NOT NULL GROUP BY 1"""
+WHERE activity = 'mcp_call' AND ts > {when(HOUR)} - INTERVAL 1 HOUR AND ts <= {when(HOUR)} AND {n('latency_ms')} IS NOT NULL GROUP BY 1"""
 
 
 def rate(more_than: int) -> str:
     return f"""SELECT customer, 'query_performance' AS subject, 'success_rate' AS metric,
  ROUND(COUNT(*) FILTER ({b('success')}) * 100.0::DOUBLE / COUNT(*), 6) AS value, 'daily' AS grain, 0.95::DOUBLE AS confidence,
  'aggregate_calculation' AS derivation_method FROM stream_v2
-WHERE activity IN ('query_complete', 'query_error') AND ts > {when(HOUR)} - INTERVAL 1 DAY GROUP BY 1 HAVING COUNT(*) > {more_than}"""
+WHERE activity IN ('query_complete', 'query_error') AND ts > {when(HOUR)} - INTERVAL 1 DAY AND ts <= {when(HOUR)} GROUP BY 1 HAVING COUNT(*) > {more_than}"""
 
 
 add("a28_hourly_latency_p95", "stream_v2", P95)
@@ -465,7 +464,7 @@ def kinds(condition: str) -> str:
 """
 
 
-DRIFT = kinds(f"ts > {when(DAY)} - INTERVAL 24 HOUR") + """
+DRIFT = kinds(f"ts > {when(DAY)} - INTERVAL 24 HOUR AND ts <= {when(DAY)}") + """
 , e(column_name, expected_type) AS (VALUES ('tool_name', 'STRING'), ('parameters', 'OBJECT'), ('latency_ms', 'NUMBER'), ('success', 'BOOLEAN'),
  ('error', 'STRING'), ('warehouse', 'STRING'), ('role', 'STRING'), ('bytes_scanned', 'NUMBER'), ('rows', 'NUMBER'), ('model', 'STRING'),
  ('prompt_tokens', 'NUMBER'), ('completion_tokens', 'NUMBER')),
@@ -482,13 +481,13 @@ SELECT {when(DAY)} AS ts, 'schema_drift_detected' AS activity, 'SYSTEM' AS custo
  || ',"actual_type":"' || actual_type || '","action":"quarantine_insights","event_type":"schema_drift","severity":"warning"}}' AS feature_json FROM drift""")
 ENTRIES = f"""
 , act AS (SELECT customer, activity || ':' || strftime(date_trunc('hour', ts), '%Y-%m-%d %H:%M:%S') AS key, COUNT(*) AS n FROM stream_v2
-  WHERE ts > {when(HOUR)} - INTERVAL 24 HOUR GROUP BY 1, 2),
+  WHERE ts > {when(HOUR)} - INTERVAL 24 HOUR AND ts <= {when(HOUR)} GROUP BY 1, 2),
  ins AS (SELECT * FROM (SELECT *, ROW_NUMBER() OVER (PARTITION BY customer, subject, metric ORDER BY confidence DESC, ts DESC, id) AS r FROM insight_atoms
   WHERE valid_until > {when(HOUR)} AND NOT is_stale AND NOT is_quarantined) WHERE r = 1),
  qry AS (SELECT *, ROW_NUMBER() OVER (PARTITION BY customer ORDER BY ts DESC, activity_id) AS r FROM stream_v2
-  WHERE activity = 'query_complete' AND {b('success')} AND ts > {when(HOUR)} - INTERVAL 2 HOUR),
+  WHERE activity = 'query_complete' AND {b('success')} AND ts > {when(HOUR)} - INTERVAL 2 HOUR AND ts <= {when(HOUR)}),
  tool AS (SELECT customer, {t('tool_name')} AS key, COUNT(*) AS n, AVG({n('latency_ms')}) AS a, quantile_cont(CAST({n('latency_ms')} AS DOUBLE), 0.95) AS q
-  FROM stream_v2 WHERE activity = 'tool_call' AND ts > {when(HOUR)} - INTERVAL 6 HOUR AND {t('tool_name')} IS NOT NULL GROUP BY 1, 2)
+  FROM stream_v2 WHERE activity = 'tool_call' AND ts > {when(HOUR)} - INTERVAL 6 HOUR AND ts <= {when(HOUR)} AND {t('tool_name')} IS NOT NULL GROUP BY 1, 2)
 """
 add("a32_context_entries", "stream_v2 insight_atoms", ENTRIES + f"""
 SELECT customer, 'activities' AS section, key, n, NULL::VARCHAR AS text, NULL::DOUBLE AS confidence, NULL::VARCHAR AS artifact_id,
@@ -537,8 +536,7 @@ def validation(old: str, new: str) -> str:
         return f"""SELECT 'row_count' AS check_name, CAST(COUNT(*) AS VARCHAR) AS v FROM {table}
   UNION ALL SELECT 'min_timestamp', strftime(MIN(ts), '%Y-%m-%d %H:%M:%S.%f') FROM {table}
   UNION ALL SELECT 'max_timestamp', strftime(MAX(ts), '%Y-%m-%d %H:%M:%S.%f') FROM {table}
-  UNION ALL SELECT 'sample_hash', md5(string_agg(activity_id, ',' ORDER BY activity_id)) FROM
-   (SELECT activity_id FROM {table} WHERE substr(md5(activity_id), 1, 2) < '03' ORDER BY activity_id LIMIT 100)"""
+  UNION ALL SELECT 'id_digest', CAST(SUM(CAST(('0x' || substr(md5(activity_id), 1, 15)) AS BIGINT)) AS VARCHAR) FROM {table}"""
 
     return f"""
 , o AS ({facts(old)}), w AS ({facts(new)})
@@ -557,13 +555,13 @@ SELECT COUNT(*) AS stream_rows, MAX(ts) AS last_insert, CASE WHEN COUNT(*) > 500
 add("a37_quick_stats", "activity_stream", f"""
 SELECT (SELECT COUNT(DISTINCT anonymous_customer_id) FROM activity_stream WHERE {IN_STREAM}) AS total_users,
  (SELECT COUNT(DISTINCT customer) FROM activity_stream WHERE CAST(ts AS DATE) = DATE '2024-01-30') AS sessions_today,
- (SELECT COUNT(*) FROM activity_stream WHERE ts >= TIMESTAMP '2024-01-30 19:00:00') AS activities_last_hour""")
+ (SELECT COUNT(*) FROM activity_stream WHERE ts >= TIMESTAMP '2024-01-30 19:00:00' AND ts <= TIMESTAMP '2024-01-30 20:00:00') AS activities_last_hour""")
 add("a37b_successful_payloads", "meta_stream", f"""
 SELECT DISTINCT feature_json FROM (SELECT feature_json FROM meta_stream WHERE activity = 'claude_sql_execution'
- AND ts > {when(DAY)} - INTERVAL 7 DAY AND {b('success')} ORDER BY ts DESC, activity_id LIMIT 10)""")
+ AND ts > {when(DAY)} - INTERVAL 7 DAY AND ts <= {when(DAY)} AND {b('success')} ORDER BY ts DESC, activity_id LIMIT 10)""")
 add("a38_stream_window_summary", "stream_v2", f"""
 SELECT COUNT(*) AS total_events, COUNT(DISTINCT activity) AS activity_types, MIN(ts) AS first_event, MAX(ts) AS last_event,
- ROUND(SUM(revenue_impact), 6) AS total_cost FROM stream_v2 WHERE customer = 'c3' AND ts > {when(HOUR)} - INTERVAL 7 DAY""")
+ ROUND(SUM(revenue_impact), 6) AS total_cost FROM stream_v2 WHERE customer = 'c3' AND ts > {when(HOUR)} - INTERVAL 7 DAY AND ts <= {when(HOUR)}""")
 add("a39_quarantine_counts", "insight_atoms", "SELECT COUNT(*) AS quarantined_count FROM insight_atoms WHERE is_quarantined")
 add("a40_longest_sessions", "activity_stream", f"""
 SELECT customer, date_diff('minute', MIN(ts), MAX(ts)) AS duration_minutes FROM activity_stream WHERE anonymous_customer_id = '{HOST}'
@@ -626,7 +624,7 @@ add("s9_write_and_read", "activity_stream", f"SELECT {ENVELOPE}, CAST(ts AS DATE
 add("s12_result_formats", "activity_stream", """
 SELECT CAST(ts AS DATE) AS day, COUNT(DISTINCT customer) AS sessions, COUNT(DISTINCT anonymous_customer_id) AS users, COUNT(*) AS activities,
  unnest(['csv', 'json', 'parquet']) AS format
-FROM activity_stream WHERE ts >= DATE '2024-01-31' - INTERVAL 30 DAY GROUP BY 1""")
+FROM activity_stream WHERE ts >= DATE '2024-01-31' - INTERVAL 30 DAY AND ts <= TIMESTAMP '2024-01-31 00:00:00' GROUP BY 1""")
 add("d3_backfill", "activity_stream", f"""
 SELECT {ENVELOPE} FROM {MIGRATED} UNION ALL SELECT {ENVELOPE} FROM activity_stream
 WHERE CAST(ts AS DATE) BETWEEN DATE '2024-01-08' AND DATE '2024-01-20' AND activity_id NOT IN (SELECT activity_id FROM {MIGRATED})""")
@@ -636,7 +634,7 @@ add("d5c_expired_count", "artifacts", f"SELECT COUNT(*) AS deleted_count FROM ar
 ATOM = "id, ts, customer, subject, metric, ROUND(value, 6) AS value, ROUND(confidence, 6) AS confidence, artifact_id, valid_until"
 add("d5b_stale_insights", "insight_atoms",
     f"SELECT {ATOM}, is_stale OR valid_until < {when(HOUR)} AS is_stale, is_quarantined FROM insight_atoms")
-HIT = f"""artifact_id IN (SELECT DISTINCT link FROM stream_v2 WHERE ts > {when(DAY)} - INTERVAL 24 HOUR AND feature_json IS NOT NULL
+HIT = f"""artifact_id IN (SELECT DISTINCT link FROM stream_v2 WHERE ts > {when(DAY)} - INTERVAL 24 HOUR AND ts <= {when(DAY)} AND feature_json IS NOT NULL
  AND link IS NOT NULL)"""
 QUARANTINE = f"""SELECT {ATOM}, is_stale, is_quarantined OR COALESCE({HIT}, FALSE) AS is_quarantined,
  CASE WHEN NOT is_quarantined AND {HIT} THEN 'Schema drift detected' END AS quarantine_reason FROM insight_atoms"""
@@ -760,7 +758,7 @@ SELECT date_trunc('hour', ts) AS hour, customer, COUNT(*) AS total_activities, C
 add("t8_run_health", "job_runs", f"""
 SELECT job_name, state, scheduled_time, completed_time, date_diff('second', scheduled_time, completed_time) AS duration_seconds, error_message,
  CASE state WHEN 'SUCCEEDED' THEN 'healthy' WHEN 'FAILED' THEN 'critical' WHEN 'SKIPPED' THEN 'warning' ELSE 'unknown' END AS health_status
-FROM job_runs WHERE scheduled_time >= {when(JOBS_AS_OF)} - INTERVAL {24 * 365 * 5} HOUR""")
+FROM job_runs WHERE scheduled_time >= {when(JOBS_AS_OF)} - INTERVAL {24 * 365 * 5} HOUR AND scheduled_time <= {when(JOBS_AS_OF)}""")
 add("t9_abandoned_sessions", "activity_stream", """
 , g AS (SELECT *, CASE WHEN ts < LAG(ts) OVER w + INTERVAL 2 HOUR THEN 0 ELSE 1 END AS new FROM activity_stream
   WINDOW w AS (PARTITION BY customer ORDER BY ts)),

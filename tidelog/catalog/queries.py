@@ -113,7 +113,7 @@ query("a12_cost_by_day")(lambda t: trends.cost_by_day(t.activity_stream))
 query("a13_period_metrics")(lambda t: dashboard.period_metrics(t.activity_stream, HOUR))
 query("a14_daily_trend")(lambda t: dashboard.daily_trend(t.activity_stream, DAY))
 query("a15_top_users")(lambda t: dashboard.top_users(t.activity_stream, DAY))
-query("a16_health_check")(lambda t: dashboard.health_check(t.activity_stream, HOUR))
+query("a16_health_check")(lambda t: dashboard.health_check(t.activity_stream, "2024-01-30 12:40:00"))
 query("a17_usage_by_day")(lambda t: trends.usage_by_day(t.activity_stream))
 query("a18_usage_summary")(lambda t: trends.usage_summary(trends.usage_by_day(t.activity_stream)))
 query("a19_daily_user_metrics")(lambda t: trends.daily_user_metrics(t.activity_stream))

@@ -27,11 +27,18 @@ def span(**units: int) -> Column:
     return F.lit(total)
 
 
-def since(df: DataFrame, low: Column, *, strict: bool = False, ts: str = "ts") -> DataFrame:
-    """Rows with ``ts`` at or (strict) after ``low``, with partition pruning."""
+def since(df: DataFrame, low: Column, *, strict: bool = False, ts: str = "ts", to: Column | None = None) -> DataFrame:
+    """Rows with ``ts`` at or (strict) after ``low`` and not after ``to``, with partition pruning.
+
+    What depends on the clock gives its ``as_of`` as ``to``: a later run then counts, and reads, nothing that came after.
+    """
     keep = F.col(ts) > low if strict else F.col(ts) >= low
+    if to is not None:
+        keep = keep & (F.col(ts) <= to)
     if ts == "ts" and "dt" in df.columns:
         keep = keep & (F.col("dt") >= F.to_date(low))
+        if to is not None:
+            keep = keep & (F.col("dt") <= F.to_date(to))
     return df.where(keep)
 
 

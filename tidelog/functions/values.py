@@ -52,3 +52,8 @@ def trunc_ts(unit: str, column: Column | str) -> Column:
 
 def day_of(column: str = "ts") -> Column:
     return F.to_date(column)
+
+
+def stable_id(*parts: Column) -> Column:
+    """An id made from the row's own values: a repeated or retried job gives a row the same id again."""
+    return F.md5(F.to_json(F.struct(*(p.alias(f"p{i}") for i, p in enumerate(parts)))))

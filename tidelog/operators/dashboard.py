@@ -27,10 +27,10 @@ def period_metrics(stream: DataFrame, as_of=None, approx: bool = False) -> DataF
     month = F.add_months(F.to_date(bound(as_of)), -1).cast("timestamp_ntz")
     ts = F.col("ts")
     inside = dict(zip(PERIODS, (
-        (ts >= start) & (ts < start + span(days=1)), ts >= start - span(days=7), ts >= month,
+        (ts >= start) & (ts < start + span(days=1)), (ts >= start - span(days=7)) & (ts <= bound(as_of)), (ts >= month) & (ts <= bound(as_of)),
     )))
     pairs = (
-        since(stream, F.least(start - span(days=7), month))
+        since(stream, F.least(start - span(days=7), month), to=start + span(days=1))
         .groupBy("customer", "anonymous_customer_id")
         .agg(*[
             F.struct(F.lit(name).alias("period"), F.count_if(rows).alias("n"),
@@ -56,7 +56,7 @@ def period_metrics(stream: DataFrame, as_of=None, approx: bool = False) -> DataF
 
 def daily_trend(stream: DataFrame, as_of=None, approx: bool = False) -> DataFrame:
     return (
-        since(stream, _midnight(as_of) - span(days=30))
+        since(stream, _midnight(as_of) - span(days=30), to=bound(as_of))
         .groupBy(day_of().alias("day"))
         .agg(
             n_distinct("customer", approx).alias("sessions"),
@@ -68,7 +68,7 @@ def daily_trend(stream: DataFrame, as_of=None, approx: bool = False) -> DataFram
 
 def top_users(stream: DataFrame, as_of=None, n: int = 10, approx: bool = False) -> DataFrame:
     return (
-        since(stream, _midnight(as_of) - span(days=7))
+        since(stream, _midnight(as_of) - span(days=7), to=bound(as_of))
         .groupBy(F.col("anonymous_customer_id").alias("user_name"))
         .agg(
             n_distinct("customer", approx).alias("sessions_this_week"),
@@ -84,10 +84,10 @@ def health_check(stream: DataFrame, as_of=None, approx: bool = False) -> DataFra
     """Sessions since the full hour against the same hour of the last 7 days."""
     now = bound(as_of)
     hour = F.date_trunc("hour", now).cast("timestamp_ntz")
-    current = since(stream, hour).agg(n_distinct("customer", approx).alias("current_sessions")).select(
+    current = since(stream, hour, to=now).agg(n_distinct("customer", approx).alias("current_sessions")).select(
         "*", F.hour(now).alias("hour_of_day")
     )
-    history = since(stream, _midnight(as_of) - span(days=7)).where(
+    history = since(stream, _midnight(as_of) - span(days=7), to=bound(as_of)).where(
         (F.col("ts") < hour) & (F.hour("ts") == F.hour(now))
     )
     baseline = (

@@ -20,7 +20,7 @@ def executive_summary(stream: DataFrame, as_of=None, approx: bool = False) -> Da
     """One row for the 30 days before ``as_of``."""
     today = F.to_date(bound(as_of))
     rows = since(stream.where(like_prefix("activity", vocab.STREAM_PREFIX)),
-                 today.cast("timestamp_ntz") - span(days=30))
+                 today.cast("timestamp_ntz") - span(days=30), to=bound(as_of))
     p = payload_of(rows, "project_path", "git_branch", "duration_ms", "tokens_used")
     typed = p.df.select(
         "customer", "anonymous_customer_id", "activity", "revenue_impact", day_of().alias("day"),
@@ -176,7 +176,7 @@ def quick_stats(stream: DataFrame, as_of=None, approx: bool = False) -> DataFram
     user = F.when(like_prefix("activity", vocab.STREAM_PREFIX), F.col("anonymous_customer_id"))
     return stream.select(
         user.alias("user"), F.when(today, F.col("customer")).alias("session"),
-        (F.col("ts") >= now - span(hours=1)).alias("fresh"),
+        F.col("ts").between(now - span(hours=1), now).alias("fresh"),
     ).agg(
         n_distinct("user", approx).alias("total_users"), n_distinct("session", approx).alias("sessions_today"),
         F.count_if("fresh").alias("activities_last_hour"),

@@ -100,10 +100,10 @@ def intelligence_metrics(kb: DataFrame) -> DataFrame:
 
 def log_queries(df: DataFrame, as_of=None) -> DataFrame:
     """Knowledge-base rows for a batch of questions (prompt, query, success, row_count, exec_time)."""
-    from ..functions import bound
+    from ..functions import bound, stable_id
 
     return df.select(
-        F.expr("uuid()").alias("kb_id"), bound(as_of).alias("created_ts"), F.col("prompt").alias("user_prompt"),
+        stable_id(bound(as_of), *(F.col(c) for c in ("prompt", "query", "success", "row_count", "exec_time"))).alias("kb_id"), bound(as_of).alias("created_ts"), F.col("prompt").alias("user_prompt"),
         F.col("query").alias("generated_query"), F.col("success").alias("query_success"),
         F.col("row_count").alias("result_count"), F.col("exec_time").alias("execution_time_ms"),
         F.lit(None).cast("string").alias("user_rating"), prompt_pattern(F.col("prompt")).alias("common_pattern"),

@@ -77,7 +77,7 @@ def product_metrics(stream: DataFrame, as_of=None, days: int = 7, approx: bool =
     joined on the same keys.  ``approx=True`` keeps sketches of fixed size instead
     and needs one shuffle.
     """
-    recent = since(stream, bound(as_of) - span(days=days), strict=True)
+    recent = since(stream, bound(as_of) - span(days=days), strict=True, to=bound(as_of))
     keys, points = ["hour", "customer"], F.array(*[F.lit(p) for p in LATENCY_POINTS.values()])
     rows = _hourly_rows(recent)
     if approx:
@@ -102,7 +102,7 @@ def product_metrics(stream: DataFrame, as_of=None, days: int = 7, approx: bool =
 def customer_health(metrics: DataFrame, customer: str, as_of=None) -> DataFrame:
     """Recent hours of one customer from ``product_metrics``."""
     return metrics.where(
-        (F.col("customer") == customer) & (F.col("hour") >= bound(as_of) - span(hours=1))
+        (F.col("customer") == customer) & F.col("hour").between(bound(as_of) - span(hours=1), bound(as_of))
     ).select("customer", "total_activities", "p50_latency_ms", "p95_latency_ms", "success_rate_pct", "health_score")
 
 
@@ -116,7 +116,7 @@ def _insight(df: DataFrame, subject: str, metric: str, value: Column, grain: str
 
 def hourly_latency_p95(stream: DataFrame, as_of=None, activity: str = "mcp_call") -> DataFrame:
     """Insight rows: latency p95 of the last hour per customer."""
-    rows = since(stream.where(F.col("activity") == activity), bound(as_of) - span(hours=1), strict=True)
+    rows = since(stream.where(F.col("activity") == activity), bound(as_of) - span(hours=1), strict=True, to=bound(as_of))
     p = payload_of(rows, "latency_ms")
     found = (
         p.df.groupBy("customer").agg(F.percentile(p.whole("latency_ms"), F.lit(0.95)).alias("p95"))
@@ -129,7 +129,7 @@ def success_rate(
     stream: DataFrame, as_of=None, activities: Sequence[str] = ("query_complete", "query_error"), more_than: int = 10
 ) -> DataFrame:
     """Insight rows: query success of the last day for customers with enough queries."""
-    rows = since(stream.where(F.col("activity").isin(*activities)), bound(as_of) - span(days=1), strict=True)
+    rows = since(stream.where(F.col("activity").isin(*activities)), bound(as_of) - span(days=1), strict=True, to=bound(as_of))
     p = payload_of(rows, "success")
     found = (
         p.df.groupBy("customer")
@@ -161,7 +161,7 @@ def pending_lag(stream: DataFrame, processed_ts, as_of=None, name: str = "stream
 
 
 def stream_window_summary(stream: DataFrame, customer: str, as_of=None, minutes: int = 5) -> DataFrame:
-    rows = since(stream.where(F.col("customer") == customer), bound(as_of) - span(minutes=minutes), strict=True)
+    rows = since(stream.where(F.col("customer") == customer), bound(as_of) - span(minutes=minutes), strict=True, to=bound(as_of))
     return rows.agg(
         F.count("*").alias("total_events"), F.countDistinct("activity").alias("activity_types"),
         F.min("ts").alias("first_event"), F.max("ts").alias("last_event"), F.sum("revenue_impact").alias("total_cost"),
@@ -171,7 +171,7 @@ def stream_window_summary(stream: DataFrame, customer: str, as_of=None, minutes:
 def run_health(job_runs: DataFrame, as_of=None, hours: int = 24) -> DataFrame:
     """State and duration of the job runs scheduled in the last ``hours``."""
     state = F.col("state")
-    return since(job_runs, bound(as_of) - span(hours=hours), ts="scheduled_time").select(
+    return since(job_runs, bound(as_of) - span(hours=hours), ts="scheduled_time", to=bound(as_of)).select(
         "job_name", "state", "scheduled_time", "completed_time",
         ts_diff("second", F.col("scheduled_time"), F.col("completed_time")).alias("duration_seconds"),
         "error_message",

@@ -7,7 +7,7 @@ from collections.abc import Mapping
 from pyspark.sql import Column, DataFrame, functions as F, types as T
 
 from .. import vocab
-from ..functions import bound, since, span
+from ..functions import bound, since, span, stable_id
 
 
 def json_kind(value: Column) -> Column:
@@ -42,7 +42,7 @@ def payload_kinds(stream: DataFrame) -> DataFrame:
 def schema_drift(stream: DataFrame, as_of=None, expected: Mapping[str, str] = vocab.EXPECTED_TYPES,
                  hours: int = 24) -> DataFrame:
     """Payload keys of the last hours that are new, changed or mixed in type."""
-    kinds = payload_kinds(since(stream, bound(as_of) - span(hours=hours), strict=True))
+    kinds = payload_kinds(since(stream, bound(as_of) - span(hours=hours), strict=True, to=bound(as_of)))
     by_key = kinds.groupBy("column_name").agg(
         F.count("kind").alias("type_variations"),
         F.min_by("kind", F.struct(-F.col("n"), F.col("kind"))).alias("actual_type"),
@@ -70,7 +70,7 @@ def drift_events(drift: DataFrame, as_of=None) -> DataFrame:
         F.lit("warning").alias("severity"),
     ))
     return drift.select(
-        F.expr("uuid()").alias("activity_id"), bound(as_of).alias("ts"), F.lit(vocab.SCHEMA_DRIFT).alias("activity"),
+        stable_id(bound(as_of), body).alias("activity_id"), bound(as_of).alias("ts"), F.lit(vocab.SCHEMA_DRIFT).alias("activity"),
         F.lit(vocab.SYSTEM_CUSTOMER).alias("customer"), body.alias("feature_json"),
     )
 
@@ -83,7 +83,7 @@ def quarantine_insights(
     This does not depend on drift; pass ``drift`` to do it only where drift was found.
     """
     linked = (
-        since(stream, bound(as_of) - span(hours=hours), strict=True)
+        since(stream, bound(as_of) - span(hours=hours), strict=True, to=bound(as_of))
         .where(F.col("feature_json").isNotNull() & F.col("link").isNotNull())
         .select(F.col("link").alias("_link"))
         .distinct()
@@ -104,30 +104,25 @@ def quarantine_counts(insights: DataFrame) -> DataFrame:
     return insights.where("is_quarantined").agg(F.count("*").alias("quarantined_count"))
 
 
-def migration_validation(old: DataFrame, new: DataFrame, sample_hex: str = "03", n: int = 100) -> DataFrame:
-    """Row count, time bounds and sample hash of two stream tables.
+def migration_validation(old: DataFrame, new: DataFrame) -> DataFrame:
+    """Row count, time bounds and id digest of two stream tables, each in one scan.
 
-    The sample (about one percent, first ``n`` ids) is chosen by a hash of the id,
-    so both tables draw the same ids and a re-run gives the same result.
+    The digest adds a number made from each id's hash, so it covers every id, does
+    not depend on order, and is combined map side.
     """
 
     def facts(df: DataFrame, side: str) -> DataFrame:
-        bounds = df.agg(F.count("*").alias("rows"), F.min("ts").alias("low"), F.max("ts").alias("high"))
-        sample = (
-            df.where(F.substring(F.md5("activity_id"), 1, 2) < sample_hex)
-            .select("activity_id").orderBy("activity_id").limit(n)
-            .agg(F.md5(F.expr("listagg(activity_id, ',') WITHIN GROUP (ORDER BY activity_id)")).alias("ids"))
-        )
+        number = F.conv(F.substring(F.md5("activity_id"), 1, 15), 16, 10).cast("decimal(38,0)")
+        bounds = df.agg(F.count("*").alias("rows"), F.min("ts").alias("low"), F.max("ts").alias("high"), F.sum(number).alias("ids"))
 
         def text(ts: str) -> Column:
             return F.date_format(ts, "yyyy-MM-dd HH:mm:ss.SSSSSS")
 
-        one = F.lit(1).alias("_one")
         row = bounds.select(
-            one, F.col("rows").cast("string").alias("rows"), text("low").alias("low"), text("high").alias("high")
-        ).join(sample.select(one, "ids"), "_one")
+            F.col("rows").cast("string").alias("rows"), text("low").alias("low"), text("high").alias("high"), F.col("ids").cast("string").alias("ids")
+        )
         return row.select(F.expr(
-            "stack(4, 'row_count', rows, 'min_timestamp', low, 'max_timestamp', high, 'sample_hash', ids) "
+            "stack(4, 'row_count', rows, 'min_timestamp', low, 'max_timestamp', high, 'id_digest', ids) "
             f"AS (check_name, {side})"
         ))
 

@@ -129,7 +129,7 @@ def active_sessions(stream: DataFrame, as_of=None, hours: int | None = None) ->
     """
     starts = stream.where(_is(vocab.SESSION_START) & F.col("customer").isNotNull())
     if hours is not None:
-        starts = since(starts, bound(as_of) - span(hours=hours), strict=True)
+        starts = since(starts, bound(as_of) - span(hours=hours), strict=True, to=bound(as_of))
     ends = stream.where(_is(vocab.SESSION_END)).select("customer").distinct()
     return starts.join(ends, "customer", "left_anti")
 

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from .. import vocab
-from ..functions import bound, opt, payload_of, since, span, trunc_ts, ts_diff
+from ..functions import bound, opt, payload_of, since, span, stable_id, trunc_ts, ts_diff
 from ..plans.upsert import insert_if_absent, new_rows
 from .sessions import latest_per_customer
 
@@ -63,7 +63,7 @@ def context_entries(
     newest successful queries (2 h), tool statistics (6 h).
     """
     now = bound(as_of)
-    recent = since(changes, now - span(hours=24), strict=True)
+    recent = since(changes, now - span(hours=24), strict=True, to=now)
     hour_text = F.date_format(trunc_ts("hour", "ts"), "yyyy-MM-dd HH:mm:ss")
     activities = (
         recent.groupBy("customer", F.concat("activity", F.lit(":"), hour_text).alias("key"))
@@ -81,7 +81,7 @@ def context_entries(
         )
     )
     p = payload_of(
-        since(stream.where(F.col("activity") == "query_complete"), now - span(hours=2), strict=True),
+        since(stream.where(F.col("activity") == "query_complete"), now - span(hours=2), strict=True, to=now),
         "success", "sql", "row_count", "warehouse",
     )
     good = p.df.where(p.flag("success")).select(
@@ -93,7 +93,7 @@ def context_entries(
         "artifact_id", "warehouse", "ts", "place",
     )
     t = payload_of(
-        since(stream.where(F.col("activity") == "tool_call"), now - span(hours=6), strict=True),
+        since(stream.where(F.col("activity") == "tool_call"), now - span(hours=6), strict=True, to=now),
         "tool_name", "latency_ms",
     )
     calls = t.df.select("customer", t.text("tool_name").alias("key"), t.whole("latency_ms").alias("ms")).where(
@@ -197,7 +197,7 @@ def record_insights(df: DataFrame, as_of=None) -> DataFrame:
     """Insight rows for measured values (customer, subject, metric, value, ...)."""
     now = bound(as_of)
     return df.select(
-        F.expr("uuid()").alias("id"), now.alias("ts"), "customer", "subject", "metric", "value",
+        stable_id(now, F.col("customer"), F.col("subject"), F.col("metric"), opt(df, "grain")).alias("id"), now.alias("ts"), "customer", "subject", "metric", "value",
         opt(df, "grain").alias("grain"), F.coalesce(opt(df, "confidence", "double"), F.lit(1.0)).alias("confidence"),
         opt(df, "artifact_id").alias("artifact_id"), opt(df, "derivation_method").alias("derivation_method"),
         now.alias("valid_from"), (now + span(days=1)).alias("valid_until"), F.lit(False).alias("is_stale"),

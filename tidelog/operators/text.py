@@ -78,17 +78,16 @@ def detect_tools_in_text(lines: DataFrame) -> DataFrame:
 def screen_generated_sql(df: DataFrame, column: str = "answer") -> DataFrame:
     """SQL in a model answer, and whether it is safe to run.
 
-    The SQL is the fenced block, else the lines from one that opens a statement to
-    the one that ends it with a semicolon; at most 50 lines.  It is unsafe if any
-    line has a dangerous operation, in any case.
+    The SQL is all fenced blocks, else all stretches of lines from one that opens a
+    statement to the one that ends it with a semicolon, whole and one after the
+    other.  It is unsafe if any of it has a dangerous operation, in any case.
     """
     openers = "|".join(vocab.SQL_OPENERS)
     text = F.col(column)
-    fenced = F.regexp_extract(text, r"(?s)```sql[^\n]*\n(.*?)\n?```", 1)
-    bare = F.regexp_extract(text, rf"(?sm)^((?:{openers}).*?)(?:;[ \t]*$|\z)", 0)
-    found = F.when(fenced != "", fenced).otherwise(bare)
-    block = F.array_join(F.slice(F.split(found, "\n"), 1, vocab.SQL_MAX_LINES), "\n")
-    sql = F.nullif(F.trim(block), F.lit(""))
+    fenced = F.filter(F.regexp_extract_all(text, F.lit(r"(?s)```sql[^\n]*\n(.*?)\n?```"), 1), lambda x: x != "")
+    bare = F.regexp_extract_all(text, F.lit(rf"(?sm)^((?:{openers}).*?)(?:;[ \t]*$|\z)"), 0)
+    found = F.array_join(F.when(F.size(fenced) > 0, fenced).otherwise(bare), "\n")
+    sql = F.nullif(F.trim(found), F.lit(""))
     return df.withColumn("generated_sql", sql).withColumn(
         "is_unsafe", F.coalesce(F.col("generated_sql").rlike(f"(?i){vocab.UNSAFE_SQL}"), F.lit(False))
     )

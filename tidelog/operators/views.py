@@ -32,7 +32,7 @@ def recent_activities(stream: DataFrame, as_of=None) -> DataFrame:
     """Rows of the 24 hours before ``as_of`` with their age, newest first."""
     now = bound(as_of)
     return (
-        since(stream, now - span(hours=24))
+        since(stream, now - span(hours=24), to=now)
         .select(
             "activity_id", "ts", "activity", "customer", "anonymous_customer_id", "feature_json", "revenue_impact",
             "link",
@@ -51,7 +51,7 @@ def activity_log(stream: DataFrame, as_of=None, n: int = 100) -> DataFrame:
     """Newest ``n`` rows since 24 hours before midnight of ``as_of``, with one detail text."""
     midnight = F.to_date(bound(as_of)).cast("timestamp_ntz")
     newest = (
-        since(stream, midnight - span(hours=24))
+        since(stream, midnight - span(hours=24), to=bound(as_of))
         .orderBy(F.desc("ts"), F.asc("activity_id"))
         .limit(n)
     )
@@ -75,7 +75,7 @@ def meta_queries(stream: DataFrame, as_of=None, *, recent: bool = False, contain
     """
     rows = stream.where(F.col("activity") == vocab.META_QUERY)
     if recent:
-        rows = since(rows, bound(as_of) - span(hours=24), strict=True)
+        rows = since(rows, bound(as_of) - span(hours=24), strict=True, to=bound(as_of))
     p = payload_of(rows, "prompt", "query_generated")
     sql: Column = p.text("query_generated")
     out = p.df.select(
@@ -89,7 +89,7 @@ def meta_queries(stream: DataFrame, as_of=None, *, recent: bool = False, contain
 
 def successful_payloads(stream: DataFrame, as_of=None, n: int = 10) -> DataFrame:
     """Distinct payloads of the newest ``n`` successful SQL executions of 7 days."""
-    rows = since(stream.where(F.col("activity") == vocab.SQL_EXECUTION), bound(as_of) - span(days=7), strict=True)
+    rows = since(stream.where(F.col("activity") == vocab.SQL_EXECUTION), bound(as_of) - span(days=7), strict=True, to=bound(as_of))
     p = payload_of(rows, "success")
     return (
         p.df.where(p.flag("success"))

@@ -17,7 +17,8 @@ def running_number(
 ) -> DataFrame:
     """1-based position of each row in its key by (bucket, *order).
 
-    ``bucket`` must not decrease along ``order``.  Keys must not be NULL.
+    ``bucket`` must not decrease along ``order``.  A NULL key is a key, and rows of a
+    NULL bucket come first, as NULL does in an order.
     """
     rows = df.withColumn("_b", bucket)
     before = Window.partitionBy(*keys).orderBy("_b").rowsBetween(Window.unboundedPreceding, -1)
@@ -27,11 +28,15 @@ def running_number(
         .select(*keys, "_b", F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_before"))
     )
     inside = Window.partitionBy(*keys, "_b").orderBy(*order)
+    offsets = offsets.withColumnsRenamed({k: f"_k_{k}" for k in (*keys, "_b")})
+    same = F.lit(True)
+    for key in (*keys, "_b"):
+        same = same & F.col(key).eqNullSafe(F.col(f"_k_{key}"))
     return (
         rows.withColumn(out, F.row_number().over(inside))
-        .join(offsets, [*keys, "_b"])
+        .join(offsets, same)
         .withColumn(out, F.col(out) + F.col("_before"))
-        .drop("_b", "_before")
+        .drop("_b", "_before", *(f"_k_{k}" for k in (*keys, "_b")))
     )
 
 
@@ -56,6 +61,8 @@ def running_peers(df: DataFrame, keys: Sequence[str], ts: str, unit: str, count:
             F.lead("_first").over(edge).alias("_bucket_next"),
         )
     )
+    # rows without a key have a fixed result and stay out of the window, where all would meet in one task
+    rows, rest = rows.where(known), df.where(~known)
     inside = Window.partitionBy(*keys, "_b").orderBy(ts)
     upto = inside.rangeBetween(Window.unboundedPreceding, Window.currentRow)
     peers = inside.rangeBetween(Window.currentRow, Window.currentRow)
@@ -67,7 +74,8 @@ def running_peers(df: DataFrame, keys: Sequence[str], ts: str, unit: str, count:
         .withColumn("_coming", coming)
         .withColumn("_later", F.max(F.when(F.col("_coming") > F.col(ts), F.col("_coming"))).over(peers))
         .join(buckets, [*keys, "_b"], "left")
-        .withColumn(count, F.when(known, F.col("_before") + F.col("_upto")).otherwise(F.lit(0)))
-        .withColumn(following, F.when(known, F.coalesce("_later", "_bucket_next")))
+        .withColumn(count, F.coalesce(F.col("_before") + F.col("_upto"), F.lit(0)))
+        .withColumn(following, F.coalesce("_later", "_bucket_next"))
         .drop("_b", "_upto", "_coming", "_later", "_before", "_bucket_next")
+        .unionByName(rest.withColumn(count, F.lit(0).cast("long")).withColumn(following, F.lit(None).cast(df.schema[ts].dataType)))
     )

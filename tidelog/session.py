@@ -44,11 +44,13 @@ def pin(spark: SparkSession) -> SparkSession:
 def work_dir(spark: SparkSession, label: str) -> str:
     """A fresh folder below the shared folder named by ``spark.checkpoint.dir``.
 
-    Only where the cluster names none (a bare local session) is a local
-    temporary folder made and remembered in the session.
+    Only a local session may do without the setting: it gets a temporary folder,
+    which is remembered.  On a cluster executors would not share one.
     """
     base = spark.conf.get("spark.checkpoint.dir", None)
     if not base:
+        if not spark.sparkContext.master.split("[")[0] == "local":
+            raise ValueError("spark.checkpoint.dir must name a folder that the driver and all executors share")
         base = tempfile.mkdtemp(prefix="run-")
         spark.conf.set("spark.checkpoint.dir", base)
     return f"{base.rstrip('/')}/tidelog/{label}-{uuid.uuid4().hex}"

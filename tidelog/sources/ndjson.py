@@ -7,7 +7,7 @@ import datetime as dt
 from pyspark.sql import DataFrame, SparkSession, Window, functions as F, types as T
 
 from .. import vocab
-from ..functions import bound, opt
+from ..functions import bound, opt, stable_id
 
 LINE = T.StructType([
     T.StructField("activity_id", T.StringType()),
@@ -52,9 +52,9 @@ def stream_ndjson(spark: SparkSession, path: str, max_files: int | None = None)
 
 
 def enrich_events(events: DataFrame, as_of=None) -> DataFrame:
-    """Fills a missing id, stamps queue time and version."""
+    """Fills a missing id by a hash of the event, stamps queue time and version."""
     return (
-        events.withColumn("activity_id", F.coalesce(opt(events, "activity_id"), F.expr("uuid()")))
+        events.withColumn("activity_id", F.coalesce(opt(events, "activity_id"), stable_id(*(F.col(c) for c in events.columns if c != "activity_id"))))
         .withColumn("queued_at", bound(as_of))
         .withColumn("queue_version", F.lit(2))
     )

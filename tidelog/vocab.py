@@ -194,7 +194,6 @@ DETECTED_TOOL_MS = 100
 DETECTED_TOOL_TOKENS = 50
 SQL_OPENERS = ("SELECT", "WITH", "CREATE", "INSERT", "UPDATE", "DELETE")
 UNSAFE_SQL = "DROP|TRUNCATE|DELETE.*FROM|UPDATE.*SET"
-SQL_MAX_LINES = 50
 
 # Thresholds and horizons.
 BACKPRESSURE_MS = 120_000
