@@ -33,7 +33,7 @@ _WHITE = r"\t-\r \x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000"
 PATTERN = rf" ?[^{_WHITE}]+|[{_WHITE}]+(?![^{_WHITE}])|[{_WHITE}]+"
 BATCH_BYTES = 32 << 20
 _WORDS = pa.schema([("block", pa.int64()), ("part", pa.int32()), ("words", pa.list_(pa.string()))])
-_IDS = pa.schema([("block", pa.int64()), ("part", pa.int32()), ("ids", pa.list_(pa.binary()))])
+_IDS = pa.schema([("block", pa.int64()), ("part", pa.int32()), ("size", pa.int64()), ("ids", pa.binary())])
 
 
 class Vocabulary:
@@ -135,9 +135,11 @@ def _encode(path: str):
                     part, table = row["part"], {}
                 new = [w for w in row["words"] if w not in table]
                 table.update(zip(new, vocabulary.encode(new)))
+                found = [table[w] for w in row["words"]]
+                sent = np.array([len(found), *map(len, found)], "<u4").tobytes() + b"".join(found)
                 yield pa.RecordBatch.from_arrays([
-                    pa.array([row["block"]], pa.int64()), pa.array([part], pa.int32()),
-                    pa.array([[table[w] for w in row["words"]]], pa.list_(pa.binary()))], schema=_IDS)
+                    pa.array([row["block"]], pa.int64()), pa.array([part], pa.int32()), pa.array([len(sent)], pa.int64()),
+                    pa.array([pa.Codec("zstd").compress(sent, asbytes=True)], pa.binary())], schema=_IDS)
 
     return run
 
@@ -165,10 +167,17 @@ def _pack(path: str, parts: int, carry: list[str]):
     return run
 
 
+def _unpacked(sent: bytes) -> list[bytes]:
+    """Ids of each word: their number of words, the lengths, and the ids."""
+    lengths = np.frombuffer(sent, "<u4", int.from_bytes(sent[:4], "little"), 4)
+    ends = np.cumsum(lengths) + 4 + 4 * len(lengths)
+    return [sent[a:b] for a, b in zip((ends - lengths).tolist(), ends.tolist())]
+
+
 def _join(path: str, names: list[str], texts: bool):
     def run(left: pa.Table, right: pa.Table) -> pa.Table:
         pieces = np.array(_vocabulary(path).pieces, object)
-        ids = dict(zip(right["part"].to_pylist(), right["ids"].to_pylist()))
+        ids = {p: _unpacked(pa.Codec("zstd").decompress(x, n, asbytes=True)) for p, n, x in zip(*(right[c].to_pylist() for c in ("part", "size", "ids")))}
         # blocks with equal rows have one number: several rows on the left, and as many equal ones on the right
         return pa.concat_tables(_placed(left.slice(i, 1), ids, pieces, names, texts) for i in range(left.num_rows))
 
@@ -214,7 +223,7 @@ def bpe_round_trip(docs: DataFrame, path: str, carry: tuple[str, ...] = ("doc_id
     rows = docs.select(*(docs[c].alias(n) for c, n in zip(carry, names)), "text")
     kinds = dict(rows.dtypes)
     words = rows.mapInArrow(_split(path, parts), "block long, part int, words array<string>")
-    ids = words.repartition("part").sortWithinPartitions("part").mapInArrow(_encode(path), "block long, part int, ids array<binary>")
+    ids = words.repartition("part").sortWithinPartitions("part").mapInArrow(_encode(path), "block long, part int, size long, ids binary")
     packed = rows.mapInArrow(_pack(path, parts, names), "block long, " + "".join(f"{k}_n long, " for k in ("rest", "lengths", "numbers", "parts"))
                              + "rest binary, lengths binary, numbers binary, parts binary")
     out = "".join(f"{n} {kinds[n]}, " for n in names) + "n_tokens long, ids_sha256 string, decoded_sha256 string" + ", ids array<int>, decoded string" * texts
