@@ -4,7 +4,7 @@ import json
 from tidelog.operators.state import context_blobs
 from tidelog.sources.fixtures import load
 from tidelog.sources.ndjson import stream_ndjson
-from tidelog.sources.tables import read_stream
+from tidelog.sources.tables import append_new, days_of, on_days, read_stream, write_stream
 from tidelog.streaming import context, ingest, metrics
 
 T0 = dt.datetime(2024, 1, 1)
@@ -92,3 +92,40 @@ def test_abandoned_sessions_stream(spark, tmp_path):
              .option("checkpointLocation", str(tmp_path / "m")).trigger(availableNow=True).start())
     query.awaitTermination()
     assert [r.customer for r in spark.read.parquet(str(tmp_path / "o")).collect()] == ["gone"]
+
+
+def test_late_rows_count_in_recomputed_hours(spark, tmp_path):
+    schema = "ts timestamp_ntz, customer string, activity string, revenue_impact double, feature_json string"
+    table, out, mark = str(tmp_path / "t"), str(tmp_path / "out"), str(tmp_path / "m")
+    for day in (20, 21, 18, 20):
+        spark.createDataFrame([(T0 + dt.timedelta(days=day), c, "x", 1.0, '{"latency_ms":10}') for c in ("c", None)], schema).createOrReplaceTempView("rows")
+        write_stream(spark.table("rows"), table)
+        rows = spark.readStream.schema(read_stream(spark, table).schema).parquet(table)
+        metrics.hourly_metrics_stream(rows, out, mark, lambda: read_stream(spark, table)).awaitTermination()
+    want = {(T0 + dt.timedelta(days=d), c): n for d, n in ((18, 1), (20, 2), (21, 1)) for c in ("c", None)}
+
+    def counts(df):
+        return {(r.hour, r.customer): r.total_activities for r in df.collect()}
+
+    assert counts(metrics.read_hourly_metrics(spark, out)) == want
+    (tmp_path / "out" / "version=000000000099").mkdir()
+    (tmp_path / "out" / "version=000000000099" / "part.parquet").write_text("cut off")
+    metrics.compact_hourly_metrics(spark, out, str(tmp_path / "c1"))
+    assert counts(metrics.read_hourly_metrics(spark, out, str(tmp_path / "c1"))) == want
+    metrics.compact_hourly_metrics(spark, out, str(tmp_path / "c2"), str(tmp_path / "c1"))
+    assert counts(metrics.read_hourly_metrics(spark, str(tmp_path / "none"), str(tmp_path / "c2"))) == want
+
+
+def test_same_day_insert_reads_only_the_days_of_the_batch(spark, tmp_path):
+    schema = "activity_id string, ts timestamp_ntz, customer string"
+    table = str(tmp_path / "t")
+    write_stream(spark.createDataFrame([(f"a{d}", T0 + dt.timedelta(days=d), "c") for d in range(5)], schema), table)
+    batch = spark.createDataFrame([("a2", T0 + dt.timedelta(days=2), "c"), ("new", T0 + dt.timedelta(days=3), "c"), ("none", None, "c")], schema)
+    known = on_days(read_stream(spark, table), days_of(batch))
+    plan = known._jdf.queryExecution().explainString(spark._jvm.org.apache.spark.sql.execution.ExplainMode.fromString("formatted"))
+    line = next(x for x in plan.splitlines() if "PartitionFilters" in x)
+    assert "2024-01-03" in line.split("PartitionFilters", 1)[1]
+    assert {r.activity_id for r in known.collect()} == {"a2", "a3"}
+    append_new(batch, table, same_day=True)
+    append_new(batch, table, same_day=True)
+    assert ids(spark, table) == ["a0", "a1", "a2", "a3", "a4", "new", "none"]

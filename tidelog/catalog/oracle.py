@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 from ..sources.fixtures import TABLES
-from .queries import DAY, HOST, HOUR, JOBS_AS_OF, STUDY
+from .queries import DAY, HALF, HOST, HOUR, JOBS_AS_OF, STUDY
 
 _NEEDS = {"insight_atoms_later": ("insight_atoms",)}
 ORACLE: dict[str, str] = {}
@@ -189,10 +189,10 @@ add("p15_screen_generated_sql", "model_answers", r"""
  cut AS (SELECT answer_id, answer, NULLIF(trim(array_to_string(CASE WHEN len(list_filter(fenced, lambda x: x <> '')) > 0 THEN list_filter(fenced, lambda x: x <> '') ELSE bare END, chr(10))), '') AS generated_sql FROM found)
 SELECT answer_id, answer, generated_sql,
  COALESCE(regexp_matches(generated_sql, '(?i)DROP|TRUNCATE|DELETE.*FROM|UPDATE.*SET'), FALSE) AS is_unsafe FROM cut""")
-add("p16_active_contexts", "context_cache", """
+add("p16_active_contexts", "context_cache", f"""
 SELECT customer, context_type, context_blob, updated_at,
- CASE WHEN is_stale OR updated_at < TIMESTAMP '2024-01-01 07:59:40' THEN 'stale' ELSE 'fresh' END AS served_as,
- date_diff('second', updated_at, TIMESTAMP '2024-01-01 08:00:10') AS age_seconds FROM context_cache""")
+ CASE WHEN is_stale OR updated_at < {when(HOUR)} - INTERVAL 30 SECOND THEN 'stale' ELSE 'fresh' END AS served_as,
+ date_diff('second', updated_at, {when(HOUR)}) AS age_seconds FROM context_cache""")
 
 # ------------------------------------------------------------ aggregations (A)
 add("a1_session_summary", "activity_stream", f"""
@@ -438,11 +438,13 @@ WHERE activity IN ('query_complete', 'query_error') AND ts > {when(HOUR)} - INTE
 
 add("a28_hourly_latency_p95", "stream_v2", P95)
 add("a29_success_rate", "stream_v2", rate(2))
-add("t6_run_rollups", "stream_v2", f"{P95} UNION ALL {rate(10)}")
+TEAMS = "(SELECT * REPLACE (substr(customer, 1, 2) AS customer) FROM stream_v2)"
+BY_TEAM = f"{P95} UNION ALL {rate(10)}".replace("FROM stream_v2", f"FROM {TEAMS}")
+add("t6_run_rollups", "stream_v2", BY_TEAM)
 add("d8_record_insights", "stream_v2", f"""
 SELECT {when(HOUR)} AS ts, customer, subject, metric, value, grain, confidence, CAST(NULL AS VARCHAR) AS artifact_id, derivation_method,
  {when(HOUR)} AS valid_from, {when(HOUR)} + INTERVAL 1 DAY AS valid_until, FALSE AS is_stale, FALSE AS is_quarantined,
- CAST(NULL AS VARCHAR) AS quarantine_reason FROM ({P95} UNION ALL {rate(10)})""")
+ CAST(NULL AS VARCHAR) AS quarantine_reason FROM ({BY_TEAM})""")
 
 
 def lag(name: str, table: str, condition: str = "TRUE") -> str:
@@ -508,11 +510,11 @@ SELECT customer, 'default' AS context_type,
  (SELECT activity_id FROM qry WHERE qry.customer = who.customer AND r = 1) AS newest_query,
  date_diff('millisecond', (SELECT MAX(ts) FROM stream_v2), {when(HOUR)}) AS refresh_lag_ms, 'false' AS is_stale FROM who""")
 add("d4_refresh_context", "stream_v2 insight_atoms context_cache", ENTRIES + BLOB_SIZES + f"""
-SELECT COALESCE(who.customer, c.customer) AS customer, 'default' AS context_type,
+SELECT COALESCE(who.customer, c.customer) AS customer, COALESCE(c.context_type, 'default') AS context_type,
  CASE WHEN who.customer IS NOT NULL THEN {when(HOUR)} ELSE c.updated_at END AS updated_at,
  CASE WHEN c.customer IS NULL THEN 0 WHEN who.customer IS NOT NULL THEN c.access_count + 1 ELSE c.access_count END AS access_count,
  CASE WHEN who.customer IS NOT NULL THEN FALSE ELSE c.is_stale OR c.updated_at < {when(HOUR)} - INTERVAL 30 SECOND END AS is_stale,
- who.customer IS NOT NULL AS has_blob FROM who FULL JOIN context_cache c ON who.customer = c.customer""")
+ who.customer IS NOT NULL AS has_blob FROM who FULL JOIN context_cache c ON who.customer = c.customer AND c.context_type = 'default'""")
 add("t2_context_stream", "stream_v2 insight_atoms", ENTRIES + BLOB_SIZES + f"""
 SELECT customer, 'default' AS context_type, {when(HOUR)} AS updated_at, CAST(0 AS BIGINT) AS access_count, FALSE AS is_stale, TRUE AS has_blob FROM who""")
 add("d4b_refresh_log", "stream_v2", """
@@ -597,8 +599,7 @@ LINES = f"""
 FIRST = "(SELECT *, ROW_NUMBER() OVER (PARTITION BY activity_id ORDER BY ts, feature_json) AS r FROM lines)"
 add("w8_dedup_keep_first", "ndjson_lines", LINES + f"SELECT * EXCLUDE (r) FROM {FIRST} WHERE r = 1")
 add("s1_parse_lines", "ndjson_lines", LINES + "SELECT * FROM lines")
-add("t1_ingest_stream", "ndjson_lines", LINES + """
-SELECT activity_id, MIN(ts) AS ts, first(revenue_impact ORDER BY ts) AS revenue_impact FROM lines GROUP BY 1""")
+add("t1_ingest_stream", "ndjson_lines", LINES + f"SELECT * EXCLUDE (r) FROM {FIRST} WHERE r = 1")
 add("o3_distinct_activities", "activity_stream", f"SELECT DISTINCT activity FROM activity_stream WHERE {IN_STREAM}")
 add("o4_learning_opportunities", "knowledge_base", """
 SELECT user_prompt, generated_query, created_ts, 'Query Failed' AS issue_type FROM knowledge_base WHERE NOT query_success
@@ -606,20 +607,20 @@ UNION ALL SELECT user_prompt, generated_query, created_ts, 'No Results' FROM kno
 
 # ------------------------------------------------------- table-changing jobs (D)
 add("d1_insert_if_absent", "ndjson_lines", LINES + f"""
-, old AS (SELECT DISTINCT activity_id FROM lines WHERE ts < TIMESTAMP '2024-01-05 00:00:00')
+, old AS (SELECT DISTINCT activity_id FROM lines WHERE {HALF})
 SELECT activity_id, NULL::TIMESTAMP AS ts, NULL::VARCHAR AS feature_json FROM old
 UNION ALL SELECT activity_id, ts, feature_json FROM {FIRST} WHERE r = 1 AND activity_id NOT IN (SELECT activity_id FROM old)""")
 ENVELOPE = "activity_id, ts, activity, customer, anonymous_customer_id, feature_json, ROUND(revenue_impact, 6) AS revenue_impact, link"
 LEGACY = f"""COALESCE({t('feature_1')}, {t('tool_name')}, '') AS feature_1, COALESCE({t('feature_2')}, {t('parameters')}, '') AS feature_2,
  COALESCE({t('feature_3')}, {t('result_type')}, '') AS feature_3"""
 NO_LEGACY = "NULL::VARCHAR AS feature_1, NULL::VARCHAR AS feature_2, NULL::VARCHAR AS feature_3"
-MIGRATED = "activity_stream WHERE ts < TIMESTAMP '2024-01-10 00:00:00'"
+MIGRATED = f"activity_stream WHERE {HALF}"
 add("d2_dual_write", "activity_stream stream_v2", f"""
 SELECT {ENVELOPE}, {NO_LEGACY}, 'old' AS generation FROM activity_stream
 UNION ALL SELECT {ENVELOPE}, {LEGACY}, 'old' FROM stream_v2
 UNION ALL SELECT {ENVELOPE}, {NO_LEGACY}, 'new' FROM {MIGRATED}
 UNION ALL SELECT {ENVELOPE}, {LEGACY}, 'new' FROM stream_v2""")
-add("s10_dual_sink", "stream_v2", f"SELECT {ENVELOPE}, {LEGACY} FROM stream_v2")
+add("s10_dual_sink", "stream_v2", f"SELECT {ENVELOPE}, {LEGACY}, unnest(['old', 'new']) AS generation FROM stream_v2")
 add("s9_write_and_read", "activity_stream", f"SELECT {ENVELOPE}, CAST(ts AS DATE) AS dt FROM activity_stream")
 add("s12_result_formats", "activity_stream", """
 SELECT CAST(ts AS DATE) AS day, COUNT(DISTINCT customer) AS sessions, COUNT(DISTINCT anonymous_customer_id) AS users, COUNT(*) AS activities,

@@ -18,6 +18,8 @@ from ..streaming import context, ingest, metrics
 
 DAY = "2024-01-31 00:00:00"
 HOUR = "2024-01-30 12:00:00"
+#: Half of the ids of every day, by a hash: what a keyed insert finds in its target.
+HALF = "md5(activity_id) < '8'"
 HOST = "host3.local"
 STUDY = "%proj3%"
 JOBS_AS_OF = "2001-07-20 00:00:00"
@@ -89,7 +91,7 @@ query("p13b_recent_meta_queries")(lambda t: views.meta_queries(t.meta_stream, DA
 query("p13c_query_questions")(lambda t: views.meta_queries(t.meta_stream, containing="query"))
 query("p14_todays_activities")(lambda t: views.todays_activities(t.activity_stream, HOUR))
 query("p15_screen_generated_sql")(lambda t: text.screen_generated_sql(t.model_answers))
-query("p16_active_contexts")(lambda t: state.active_contexts(t.context_cache, "2024-01-01 08:00:10"))
+query("p16_active_contexts")(lambda t: state.active_contexts(t.context_cache, HOUR))
 
 
 # ------------------------------------------------------------ aggregations (A)
@@ -216,14 +218,19 @@ query("o4_learning_opportunities")(lambda t: knowledge.learning_opportunities(t.
 
 # ------------------------------------------------------- table-changing jobs (D)
 def _migrated(t):
-    """The part of the first-generation stream that was migrated before the 10th."""
-    return t.activity_stream.where("ts < TIMESTAMP_NTZ '2024-01-10 00:00:00'")
+    """A first-generation stream of which half of the ids, on every day, are migrated."""
+    return t.activity_stream.where(HALF)
+
+
+def _teams(t):
+    """The stream by groups of customers, each with more than ten queries a day."""
+    return t.stream_v2.withColumn("customer", F.substring("customer", 1, 2))
 
 
 @query("d1_insert_if_absent")
 def _(t):
     lines = ndjson.parse_lines(t.ndjson_lines, DAY)
-    old = lines.where("ts < TIMESTAMP_NTZ '2024-01-05 00:00:00'").dropDuplicates(["activity_id"]).select("activity_id")
+    old = lines.where(HALF).select("activity_id").distinct()
     return state.insert_if_absent(old, lines.select("activity_id", "ts", "feature_json"), order=["ts", "feature_json"])
 
 
@@ -254,7 +261,7 @@ query("d6b_quarantine_on_drift")(lambda t: quality.quarantine_insights(
     t.insight_atoms, t.stream_v2, DAY, drift=quality.schema_drift(t.stream_v2, DAY)))
 query("d7_drift_events")(
     lambda t: quality.drift_events(quality.schema_drift(t.stream_v2, DAY), DAY).drop("activity_id"))
-query("d8_record_insights")(lambda t: state.record_insights(product.run_rollups(t.stream_v2, HOUR), HOUR).drop("id"))
+query("d8_record_insights")(lambda t: state.record_insights(product.run_rollups(_teams(t), HOUR), HOUR).drop("id"))
 query("d9_log_queries")(lambda t: knowledge.log_queries(t.knowledge_base.selectExpr(
     "user_prompt AS prompt", "generated_query AS query", "query_success AS success", "result_count AS row_count",
     "execution_time_ms AS exec_time"), DAY).drop("kb_id"))
@@ -314,7 +321,8 @@ def _(t):
     base = t.work("dual")
     run = ingest.ingest_dual(t.event_stream("stream_v2"), f"{base}/old", f"{base}/new", f"{base}/checkpoint")
     run.awaitTermination()
-    return read_stream(t.spark, f"{base}/new").drop("dt")
+    old, new = read_stream(t.spark, f"{base}/old").drop("dt", "batch"), read_stream(t.spark, f"{base}/new").drop("dt")
+    return old.withColumn("generation", F.lit("old")).unionByName(new.withColumn("generation", F.lit("new")))
 
 
 # ------------------------------------------------------------- streaming (T)
@@ -323,7 +331,7 @@ def _(t):
     base = t.work("ingest")
     rows = ndjson.parse_lines(t.event_stream("ndjson_lines"), DAY)
     ingest.ingest_stream(rows, f"{base}/table", f"{base}/checkpoint").awaitTermination()
-    return read_stream(t.spark, f"{base}/table").select("activity_id", "ts", "revenue_impact")
+    return read_stream(t.spark, f"{base}/table").drop("dt")
 
 
 @query("t2_context_stream")
@@ -340,12 +348,15 @@ def _(t):
 @query("t5_hourly_metrics_stream")
 def _(t):
     base = t.work("hourly")
+    table = f"{base}/table"
+    write_stream(t.stream_v2, table)
+    rows = t.spark.readStream.schema(read_stream(t.spark, table).schema).parquet(table)
     metrics.hourly_metrics_stream(
-        t.event_stream("stream_v2"), f"{base}/hours", f"{base}/checkpoint", watermark="40 days").awaitTermination()
+        rows, f"{base}/hours", f"{base}/checkpoint", lambda: read_stream(t.spark, table)).awaitTermination()
     return metrics.read_hourly_metrics(t.spark, f"{base}/hours")
 
 
-query("t6_run_rollups")(lambda t: product.run_rollups(t.stream_v2, HOUR))
+query("t6_run_rollups")(lambda t: product.run_rollups(_teams(t), HOUR))
 query("t7_pending_lag")(lambda t: product.pending_lag(t.stream_v2, "2024-01-30 00:00:00", DAY))
 query("t8_run_health")(lambda t: product.run_health(t.job_runs, JOBS_AS_OF, hours=24 * 365 * 5))
 query("t9_abandoned_sessions")(lambda t: metrics.abandoned_sessions(t.activity_stream, timeout="2 hours"))

@@ -22,15 +22,17 @@ def activity_occurrences(stream: DataFrame, activity: str | None = None, unit: s
     The first is the number of rows of the same customer and activity up to this
     instant, the second the next later instant of the same.  A customer is cut
     into ``unit`` buckets, so that one very busy customer is many tasks.  With
-    ``activity`` given, only its rows are filled; others pass unchanged.
+    ``activity`` given, only its rows are windowed and filled; others pass unchanged.
     """
-    done = running_peers(stream, ["customer", "activity"], "ts", unit, "_count", "_next")
-    chosen = F.lit(True) if activity is None else F.col("activity") == activity
+    chosen = F.lit(True) if activity is None else F.col("activity").eqNullSafe(activity)
+    done = running_peers(stream.where(chosen), ["customer", "activity"], "ts", unit, "_count", "_next")
+    if activity is not None:
+        done = done.unionByName(stream.where(~chosen), allowMissingColumns=True)
     old_count = opt(stream, "activity_occurrence", "bigint")
     old_next = opt(stream, "activity_repeated_at", "timestamp_ntz")
     return (
-        done.withColumn("activity_occurrence", F.coalesce(old_count, F.when(chosen, F.col("_count"))))
-        .withColumn("activity_repeated_at", F.coalesce(old_next, F.when(chosen, F.col("_next"))))
+        done.withColumn("activity_occurrence", F.coalesce(old_count, "_count"))
+        .withColumn("activity_repeated_at", F.coalesce(old_next, "_next"))
         .drop("_count", "_next")
     )
 

@@ -51,12 +51,16 @@ def write_version(df: DataFrame, base: str, version: int) -> str:
     return path
 
 
+def complete_versions(spark: SparkSession, base: str) -> list[str]:
+    """Folders of the completely written versions, oldest first."""
+    pattern = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(f"{base}/version=*/_SUCCESS")
+    found = pattern.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).globStatus(pattern)
+    return sorted(status.getPath().getParent().toString() for status in found or [])
+
+
 def latest_version(spark: SparkSession, base: str, below: int | None = None) -> str | None:
     """Folder of the newest completely written version (before ``below``), if any."""
-    jvm = spark.sparkContext._jvm
-    pattern = jvm.org.apache.hadoop.fs.Path(f"{base}/version=*/_SUCCESS")
-    found = pattern.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).globStatus(pattern)
-    names = sorted(status.getPath().getParent().toString() for status in found or [])
+    names = complete_versions(spark, base)
     if below is not None:
         names = [n for n in names if int(n.rsplit("=", 1)[1]) < below]
     return names[-1] if names else None

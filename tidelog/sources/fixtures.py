@@ -80,6 +80,10 @@ SELECT id, ts, customer, subject, metric, value,
  CASE WHEN subject = 'subj1' THEN confidence / 2 ELSE confidence END AS confidence,
  artifact_id, valid_until, is_stale, is_quarantined
 FROM insight_atoms WHERE valid_until > TIMESTAMP '2024-01-03 00:00:00'
+UNION ALL
+SELECT id || 'b' AS id, ts + INTERVAL '1' DAY AS ts, customer, subject, metric, value * 2 AS value, confidence,
+ artifact_id, valid_until + INTERVAL '1' DAY AS valid_until, FALSE AS is_stale, FALSE AS is_quarantined
+FROM insight_atoms WHERE subject = 'subj2'
 """
 
 ARTIFACTS = """
@@ -98,11 +102,11 @@ SELECT 'k' || CAST(event_id AS STRING) AS kb_id, ts AS created_ts,
 FROM events
 """
 
-# Contexts of the customers that were active in the first eight hours.
+# A context of every customer, of one of two types; some were last refreshed at the first event, some at the last.
 CONTEXT_CACHE = """
-SELECT 'c' || CAST(user_id AS STRING) AS customer, 'default' AS context_type, '{}' AS context_blob, MAX(ts) AS updated_at,
- COUNT(*) AS access_count, FALSE AS is_stale
-FROM events WHERE ts < TIMESTAMP '2024-01-01 08:00:00' GROUP BY user_id
+SELECT 'c' || CAST(user_id AS STRING) AS customer, CASE WHEN user_id % 4 = 0 THEN 'brief' ELSE 'default' END AS context_type, '{}' AS context_blob,
+ CASE WHEN user_id % 3 = 0 THEN MIN(ts) ELSE MAX(ts) END AS updated_at, COUNT(*) AS access_count, user_id % 11 = 0 AS is_stale
+FROM events GROUP BY user_id
 """
 
 # A stream of question-to-SQL and SQL-execution events.

@@ -31,11 +31,23 @@ def table_exists(spark: SparkSession, path: str) -> bool:
     return target.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(target)
 
 
+def days_of(df: DataFrame) -> list:
+    """The days of the rows: as few as the calendar has."""
+    return [row[0] for row in df.select(F.to_date("ts")).distinct().collect()]
+
+
+def on_days(table: DataFrame, days: list) -> DataFrame:
+    """The partitions of these days; None is the folder of rows without a time."""
+    known = F.col("dt").isin([d for d in days if d is not None])
+    return table.where(known | F.col("dt").isNull() if None in days else known)
+
+
 def append_new(df: DataFrame, path: str, key: str = "activity_id", same_day: bool = False) -> None:
     """Append one row per key for the keys the table does not have yet.
 
-    ``same_day=True`` looks for a key only on the days of the batch, which prunes
-    the table's partitions; it is right where copies of an event carry its time.
+    ``same_day=True`` looks for a key only on the days of the batch, which are written into the
+    plan and prune the table's partitions; it is right where copies of an event carry its time.
+    Otherwise a copy may lie on any day, and the keys of all days are looked through.
     """
     spark = df.sparkSession
     if not table_exists(spark, path):
@@ -43,8 +55,7 @@ def append_new(df: DataFrame, path: str, key: str = "activity_id", same_day: boo
         return
     table = read_stream(spark, path)
     if same_day:
-        days = df.select(F.to_date("ts").alias("dt")).distinct()
-        table = table.join(days, "dt", "left_semi")
+        table = on_days(table, days_of(df))
     write_stream(new_rows(table, df, key), path)
 
 

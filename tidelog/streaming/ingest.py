@@ -25,13 +25,18 @@ def ingest_stream(rows: DataFrame, out: str, checkpoint: str, *, available_now:
     """
 
     def sink(batch: DataFrame, _: int) -> None:
-        if not batch.isEmpty():
-            append_new(batch, out, same_day=same_day)
+        batch = batch.persist()  # parsed once, though read for its days, its keys and its rows
+        try:
+            if not batch.isEmpty():
+                append_new(batch, out, same_day=same_day)
+        finally:
+            batch.unpersist()
 
     return _start(rows, sink, checkpoint, available_now)
 
 
-def ingest_dual(rows: DataFrame, old: str, new: str, checkpoint: str, *, available_now: bool = True) -> StreamingQuery:
+def ingest_dual(rows: DataFrame, old: str, new: str, checkpoint: str, *, available_now: bool = True,
+                same_day: bool = False) -> StreamingQuery:
     """Write events to both generations.
 
     The old table is append-only; its part of a repeated batch replaces itself, as
@@ -39,10 +44,12 @@ def ingest_dual(rows: DataFrame, old: str, new: str, checkpoint: str, *, availab
     """
 
     def sink(batch: DataFrame, batch_id: int) -> None:
-        if batch.isEmpty():
-            return
-        events = with_legacy_fields(batch)
-        write_stream(events, f"{old}/batch={batch_id:012d}", mode="overwrite")
-        append_new(events, new)
+        events = with_legacy_fields(batch).persist()
+        try:
+            if not events.isEmpty():
+                write_stream(events, f"{old}/batch={batch_id:012d}", mode="overwrite")
+                append_new(events, new, same_day=same_day)
+        finally:
+            events.unpersist()
 
     return _start(rows, sink, checkpoint, available_now)
