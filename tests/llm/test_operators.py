@@ -312,7 +312,7 @@ def test_ordinal_held_out(spark):
     shown = F.pmod(F.xxhash64("doc_id", F.lit(3)), F.lit(4)) > 0
     got = classify(docs, labels.filter(shown)).join(labels.filter(~shown), "doc_id").groupBy("grade").agg(F.avg(F.col("kept").cast("int")).alias("kept")).collect()
     kept = {x.grade: x.kept for x in got}
-    assert kept[2] > 0.97 and kept[1] < 0.35 and kept[0] < 0.05
+    assert kept[2] > 0.97 and kept[1] < 0.25 and kept[0] < 0.05, kept
 
 
 def test_ordinal_odd_rows(spark, texts):

@@ -27,7 +27,7 @@ from .common import batches, mix, span_hashes, text_buffer, words
 
 SAMPLE, BITS, REPEATS, HEADS = 6000, 18, 16, (4, 5)
 WIDTH = (1 << BITS) + REPEATS
-GRADES, SELECT, TAIL, EVIDENCE = 3, 2, 0.5, 25.0
+GRADES, SELECT, TAIL, EVIDENCE = 3, 2, 0.8, 35.0
 
 
 def grade(quality: Column, toxic: Column) -> Column:
@@ -65,7 +65,7 @@ class Model:
         return 1 / (1 + np.exp(np.clip(self.thresholds[None, :] - score[:, None], -50, 50)))
 
 
-def fit(grades: np.ndarray, lists: list[np.ndarray], levels: int = GRADES, rounds: int = 400, rate: float = 0.1, decay: float = 2e-6, least: float = EVIDENCE) -> Model | None:
+def fit(grades: np.ndarray, lists: list[np.ndarray], levels: int = GRADES, rounds: int = 1500, rate: float = 0.3, decay: float = 2e-6, least: float = EVIDENCE) -> Model | None:
     """Maximum likelihood with weight decay, by Adam on all rows at once.
 
     Only features whose presence tells of a lower grade (chi-square of ``least`` or more) get a weight.  Long texts have
