@@ -4,6 +4,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from tidelog import vocab
+from tidelog.catalog.queries import QUERIES
 from tidelog.operators import artifacts, dashboard, executive, knowledge, product, quality, sessions, state, text, trends, typed, views, windows
 from tidelog.plans.upsert import insert_if_absent, latest_version, write_version
 from tidelog.sources import ndjson
@@ -340,3 +341,9 @@ def test_contract_violations(spark):
 
 def test_every_fixture_loads(spark, sf_dir):
     assert all(load(spark, sf_dir, name).limit(1).count() == 1 for name in TABLES)
+
+
+@pytest.mark.parametrize("name", ["a5_tool_usage", "a6_error_analysis", "a7_project_activity", "a19_daily_user_metrics", "p13c_query_questions"])
+def test_payload_is_parsed_once(spark, sf_dir, name):
+    plan = QUERIES[name](spark, sf_dir)._jdf.queryExecution().optimizedPlan().toString().split("\n")
+    assert sum(line.count("from_json") for line in plan) == 1

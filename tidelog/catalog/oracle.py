@@ -751,6 +751,11 @@ SELECT activity_id, ts, activity, customer, anonymous_customer_id,
  CASE activity WHEN 'claude_tool_call' THEN (p * 4 // 100) / 1000000.0::DOUBLE WHEN 'claude_session_end' THEN (tt * 4 // 100) / 1000000.0::DOUBLE
   ELSE 0::DOUBLE END AS revenue_impact, CASE activity WHEN 'claude_file_operation' THEN 'file://' || f END AS link FROM r""")
 
+add("s8b_build_session_ends", "stream_v2", f"""
+, c AS (SELECT *, {n('total_tokens')} AS tt FROM stream_v2 WHERE activity = 'session_end')
+SELECT activity_id, ts, activity, customer, anonymous_customer_id, '{{"session_id":"' || customer || '","total_tokens":' || tt || '}}' AS feature_json,
+ ROUND(tt * 0.000003::DOUBLE, 6) AS revenue_impact, CAST(NULL AS VARCHAR) AS link FROM c""")
+
 # ------------------------------------------------------------- streaming (T)
 add("t5_hourly_metrics_stream", "stream_v2", f"""
 SELECT date_trunc('hour', ts) AS hour, customer, COUNT(*) AS total_activities, COUNT(DISTINCT activity) AS activity_types,

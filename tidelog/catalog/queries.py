@@ -297,6 +297,14 @@ def _(t):
     return rows
 
 
+@query("s8b_build_session_ends")
+def _(t):
+    p = payload_of(t.stream_v2.where(F.col("activity") == "session_end"), "total_tokens")
+    return builders.build_session_ends(p.df.select(
+        "activity_id", "ts", "customer", F.col("anonymous_customer_id").alias("host"), F.col("customer").alias("session_id"),
+        p.whole("total_tokens").alias("total_tokens")))
+
+
 @query("s9_write_and_read")
 def _(t):
     path = t.work("stream")

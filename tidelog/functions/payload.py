@@ -19,7 +19,7 @@ HOLDER = "_payload"
 class Payload:
     """A DataFrame with its payload parsed, and accessors for the fields."""
 
-    def __init__(self, df: DataFrame, fields: Sequence[str], column: str) -> None:
+    def __init__(self, df: DataFrame, fields: Sequence[str], column: str, once: bool = False) -> None:
         names = sorted(set(fields))
         if isinstance(df.schema[column].dataType, T.VariantType):
             parsed = F.struct(
@@ -28,7 +28,11 @@ class Payload:
         else:
             schema = T.StructType([T.StructField(n, T.StringType()) for n in names])
             parsed = F.from_json(F.col(column), schema)
-        self.df = df.withColumn(HOLDER, parsed)
+        if once:
+            # the optimizer moves filters below a projection, which would parse again; it leaves them above a generator
+            self.df = df.select("*", F.inline_outer(F.array(F.struct(parsed.alias(HOLDER)))))
+        else:
+            self.df = df.withColumn(HOLDER, parsed)
 
     def text(self, field: str) -> Column:
         return F.col(f"{HOLDER}.{field}")
@@ -44,5 +48,6 @@ class Payload:
         return self.text(field).try_cast("boolean")
 
 
-def payload_of(df: DataFrame, *fields: str, column: str = "feature_json") -> Payload:
-    return Payload(df, fields, column)
+def payload_of(df: DataFrame, *fields: str, column: str = "feature_json", once: bool = False) -> Payload:
+    """``once`` is for views that also filter by payload fields."""
+    return Payload(df, fields, column, once)

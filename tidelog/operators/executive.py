@@ -87,13 +87,12 @@ def daily_users(stream: DataFrame) -> DataFrame:
 
 def tool_usage(stream: DataFrame, approx: bool = False) -> DataFrame:
     p = payload_of(stream.where(F.col("activity") == vocab.TOOL_CALL),
-                   "tool_name", "duration_ms", "tokens_used", "result_type")
+                   "tool_name", "duration_ms", "tokens_used", "result_type", once=True)
     typed = p.df.select(
         p.text("tool_name").alias("tool_name"), "customer", "anonymous_customer_id", "ts", "revenue_impact",
         p.whole("duration_ms").alias("ms"), p.whole("tokens_used").alias("tokens"),
         p.text("result_type").alias("result"),
     )
-    # NULL names are dropped as a group: a filter on rows would parse every payload twice.
     return (
         typed.groupBy("tool_name")
         .agg(
@@ -123,7 +122,7 @@ def tool_usage(stream: DataFrame, approx: bool = False) -> DataFrame:
 
 def error_analysis(stream: DataFrame, approx: bool = False) -> DataFrame:
     """Errors by day, type and message, with the tools involved."""
-    p = payload_of(stream, "error_type", "error_message", "tool_name", "recovery_action", "result_type")
+    p = payload_of(stream, "error_type", "error_message", "tool_name", "recovery_action", "result_type", once=True)
     errors = p.df.where((F.col("activity") == vocab.ERROR) | (p.text("result_type") == "error")).select(
         trunc_ts("day", "ts").alias("error_date"), p.text("error_type").alias("error_type"),
         p.text("error_message").alias("error_message"), "customer", "anonymous_customer_id", "ts",
@@ -143,7 +142,7 @@ def error_analysis(stream: DataFrame, approx: bool = False) -> DataFrame:
 
 def project_activity(stream: DataFrame, approx: bool = False) -> DataFrame:
     p = payload_of(stream.where(like_prefix("activity", vocab.STREAM_PREFIX)),
-                   "project_path", "git_branch", "file_path", "lines_affected")
+                   "project_path", "git_branch", "file_path", "lines_affected", once=True)
     typed = p.df.select(
         p.text("project_path").alias("project_path"), p.text("git_branch").alias("git_branch"), "customer",
         "anonymous_customer_id", "activity", "ts", "revenue_impact", p.text("file_path").alias("file"),

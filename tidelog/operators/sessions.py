@@ -130,7 +130,11 @@ def active_sessions(stream: DataFrame, as_of=None, hours: int | None = None) ->
     starts = stream.where(_is(vocab.SESSION_START) & F.col("customer").isNotNull())
     if hours is not None:
         starts = since(starts, bound(as_of) - span(hours=hours), strict=True, to=bound(as_of))
-    ends = stream.where(_is(vocab.SESSION_END)).select("customer").distinct()
+    ends = stream.where(_is(vocab.SESSION_END)).select("customer")
+    if hours is not None:
+        # few starts: the ends of all time are cut to theirs before they are made distinct
+        ends = ends.join(starts.select("customer").distinct(), "customer", "left_semi")
+    ends = ends.distinct()
     return starts.join(ends, "customer", "left_anti")
 
 

@@ -82,7 +82,7 @@ def context_entries(
     )
     p = payload_of(
         since(stream.where(F.col("activity") == "query_complete"), now - span(hours=2), strict=True, to=now),
-        "success", "sql", "row_count", "warehouse",
+        "success", "sql", "row_count", "warehouse", once=True,
     )
     good = p.df.where(p.flag("success")).select(
         "customer", "activity_id", "ts", p.text("sql").alias("text"), p.whole("row_count").alias("n"),
@@ -94,7 +94,7 @@ def context_entries(
     )
     t = payload_of(
         since(stream.where(F.col("activity") == "tool_call"), now - span(hours=6), strict=True, to=now),
-        "tool_name", "latency_ms",
+        "tool_name", "latency_ms", once=True,
     )
     calls = t.df.select("customer", t.text("tool_name").alias("key"), t.whole("latency_ms").alias("ms")).where(
         F.col("key").isNotNull()

@@ -118,7 +118,7 @@ def daily_user_metrics(stream: DataFrame, approx: bool = False) -> DataFrame:
     """
     p = payload_of(
         stream.where(F.col("activity").isin(vocab.SESSION_START, vocab.SESSION_END, vocab.FILE_OPERATION)),
-        "user", "total_tokens", "operation", "lines_affected",
+        "user", "total_tokens", "operation", "lines_affected", once=True,
     )
     activity = F.col("activity")
     wrote = p.text("operation").isin(*vocab.WRITE_OPERATIONS)

@@ -76,7 +76,7 @@ def meta_queries(stream: DataFrame, as_of=None, *, recent: bool = False, contain
     rows = stream.where(F.col("activity") == vocab.META_QUERY)
     if recent:
         rows = since(rows, bound(as_of) - span(hours=24), strict=True, to=bound(as_of))
-    p = payload_of(rows, "prompt", "query_generated")
+    p = payload_of(rows, "prompt", "query_generated", once=containing is not None)
     sql: Column = p.text("query_generated")
     out = p.df.select(
         "ts", F.col("customer").alias("session_id"), p.text("prompt").alias("question"),

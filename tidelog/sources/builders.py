@@ -13,6 +13,7 @@ PAYLOADS = {
     "file_operation": ("operation", "file_path", "lines_affected", "success", "project_path"),
     "session_end": ("session_id", "total_activities", "total_tokens", "session_duration_ms", "session_outcome"),
 }
+SESSION_END_V2 = ("session_id", "total_activities", "total_tokens", "session_duration_ms", "exit_code")
 _NAMES = {
     "session_start": vocab.SESSION_START,
     "tool_call": vocab.TOOL_CALL,
@@ -40,5 +41,15 @@ def build_events(kind: str, calls: DataFrame) -> DataFrame:
 
 
 def session_end_cost(tokens: Column) -> Column:
-    """Cost of a second-generation session end."""
-    return tokens * vocab.USD_PER_SESSION_TOKEN
+    """Cost of a second-generation session end, to six decimals."""
+    return F.round(tokens * vocab.USD_PER_SESSION_TOKEN, 6)
+
+
+def build_session_ends(calls: DataFrame) -> DataFrame:
+    """Second-generation session ends of ended sessions; unknown tokens cost nothing."""
+    fields = [f for f in SESSION_END_V2 if f in calls.columns]
+    return calls.select(
+        "activity_id", "ts", F.lit("session_end").alias("activity"), "customer", F.col("host").alias("anonymous_customer_id"),
+        F.to_json(F.struct(*fields)).alias("feature_json"),
+        F.coalesce(session_end_cost(F.col("total_tokens")), F.lit(0.0)).alias("revenue_impact"), F.lit(None).cast("string").alias("link"),
+    )
