@@ -224,11 +224,11 @@ def changes_between(old: DataFrame, new: DataFrame, key: str = "id") -> DataFram
     )
 
 
-def seed_definitions(definitions: DataFrame) -> DataFrame:
-    """``definitions`` plus the known activities it lacks."""
+def seed_definitions(definitions: DataFrame, descriptions: dict[str, str] | None = None) -> DataFrame:
+    """``definitions`` plus the known activities it lacks, with the ``descriptions`` given for them."""
     import json
 
-    rows = [(name, text, json.dumps(fields)) for name, text, fields in vocab.ACTIVITY_DEFINITIONS]
+    rows = [(name, (descriptions or {}).get(name), json.dumps(fields)) for name, fields in vocab.ACTIVITY_DEFINITIONS]
     known = definitions.sparkSession.createDataFrame(
         rows, "activity_name string, description string, expected_features string"
     )

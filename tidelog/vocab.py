@@ -168,21 +168,21 @@ FAMILY_ACTIVITIES = {
 
 # Activity definitions: name, description, field -> type.
 ACTIVITY_DEFINITIONS = (
-    ("claude_session_start", "session initiated",
+    ("claude_session_start",
      {"session_id": "string", "project_path": "string", "git_branch": "string", "user": "string", "host": "string"}),
-    ("claude_tool_call", "tool executed",
+    ("claude_tool_call",
      {"tool_name": "string", "parameters": "object", "result_type": "string", "duration_ms": "number",
       "tokens_used": "number"}),
-    ("claude_file_operation", "file operation performed",
+    ("claude_file_operation",
      {"operation": "string", "file_path": "string", "lines_affected": "number", "success": "boolean"}),
-    ("claude_decision", "decision made",
+    ("claude_decision",
      {"decision_type": "string", "confidence_score": "number", "alternatives_considered": "array",
       "reasoning": "string"}),
-    ("claude_sql_execution", "SQL executed",
+    ("claude_sql_execution",
      {"database": "string", "query_type": "string", "tables_affected": "array", "rows_affected": "number"}),
-    ("claude_error", "error encountered",
+    ("claude_error",
      {"error_type": "string", "error_message": "string", "stack_trace": "string", "recovery_action": "string"}),
-    ("claude_session_end", "session completed",
+    ("claude_session_end",
      {"session_id": "string", "total_activities": "number", "total_tokens": "number",
       "session_duration_ms": "number"}),
 )
