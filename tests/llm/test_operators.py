@@ -8,6 +8,7 @@ from collections import Counter, defaultdict
 
 import numpy as np
 import public_tokenizers
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
@@ -15,7 +16,7 @@ from tokenizers import Tokenizer
 from tidelog.llm import sharding
 from tidelog.llm.bpe import bpe_round_trip
 from tidelog.llm.components import components
-from tidelog.llm.jaccard import keep_first, n_runs, similarity_classes
+from tidelog.llm.jaccard import keep_first, n_runs, shingle_sets, similarity_classes
 from tidelog.llm.licenses import scan_licenses
 from tidelog.llm.mixing import by_position, mix_sources
 from tidelog.llm.nearest import nearest
@@ -152,6 +153,36 @@ def test_jaccard_runs_and_nothing(spark):
     assert similarity_classes(spark.createDataFrame([], DOCS)).count() == 0
 
 
+def test_shingles_do_not_depend_on_the_place_in_a_batch():
+    r = random.Random(6)
+    long = ["".join(r.choices("abcdefgh", k=1_200_000)) for _ in range(2)]
+    bare = ["日本語" * r.randrange(20, 200) + str(i) for i in range(3000)]
+    for some in (long, ["x y", *long, f"{long[0]} b c d {long[1]} e f"], bare):
+        got = [s.tobytes() for s in shingle_sets(pa.array([*some, "between", *some]))]
+        assert got[:len(some)] == got[len(some) + 1:] == [next(shingle_sets(pa.array([x]))).tobytes() for x in some]
+        assert len(set(got)) == len(some) + 1
+
+
+def test_long_words_are_hashed_as_short_ones(monkeypatch):
+    from tidelog.llm import common
+    r = random.Random(7)
+    some = pa.array([None, "", " ", *("".join(r.choices(["a", "é", " ", "\n", "b" * 70, "c" * 200], (30, 9, 2, 1, 2, 1), k=r.randrange(90))) for _ in range(200))])
+    data, at = common.text_buffer(some)
+
+    def found():
+        return [(h, t) for hs, ts, *_ in common.words(data, at) for h, t in zip(hs.tolist(), ts.tolist())]
+
+    want = [(t, w) for t, x in enumerate(some.to_pylist()) for w in (x or "").encode().split()]
+    for span in (1 << 20, 128, 50):
+        monkeypatch.setattr(common, "_SPAN", span)
+        names = defaultdict(set)
+        got = found()
+        assert [t for _, t in got] == [t for t, _ in want]
+        for (h, _), (_, w) in zip(got, want):
+            names[w].add(h)
+        assert all(len(x) == 1 for x in names.values()) and len(set.union(*names.values())) == len(names)
+
+
 def test_components(spark):
     edges = [(i, i + 1) for i in range(40)] + [(100, 100), (60, 61), (61, 60), (7, 3)]
     got = {x.id: x.root for x in components(spark.createDataFrame(edges, "a long, b long")).collect()}

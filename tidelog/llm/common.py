@@ -18,6 +18,7 @@ WORD_PATTERN = f"[^{SPACE}]+"
 
 _BASE = 0x9E3779B97F4A7C15 | 1
 _SPAN = 1 << 20  # longest stretch of bytes hashed at once
+_ENDS = 64  # bytes kept of each end of a word that is longer
 _powers: dict[int, np.ndarray] = {}
 
 
@@ -74,8 +75,9 @@ def span_hashes(sums: np.ndarray, start: np.ndarray, end: np.ndarray) -> np.ndar
 def words(data: np.ndarray, at: np.ndarray) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray, np.ndarray]]:
     """Words of all texts, in stretches that end between words: (hashes, text numbers, starts, ends, prefix sums).
 
-    Starts and ends count from the beginning of the stretch.  A word of over a million bytes is hashed in parts,
-    each as a word of its own.
+    Starts and ends count from the beginning of the stretch.  A stretch ends behind white space or where a text does.  A word
+    that is longer than a stretch comes alone: its hash is that of the whole word, and its sums, start and end are those of
+    its first and last ``_ENDS`` bytes put together.
     """
     n, low = len(data), 0
     while low < n:
@@ -83,9 +85,13 @@ def words(data: np.ndarray, at: np.ndarray) -> Iterator[tuple[np.ndarray, np.nda
         piece = data[low:high]
         space = (piece == 32) | ((piece >= 9) & (piece <= 13))
         if high < n:
-            breaks = np.flatnonzero(space[-(_SPAN >> 1):])
-            if len(breaks):
-                high = high - min(_SPAN >> 1, len(space)) + int(breaks[-1]) + 1
+            breaks = np.flatnonzero(space)
+            last = max(low + int(breaks[-1]) + 1 if len(breaks) else low, int(at[np.searchsorted(at, high, "right") - 1]))
+            if last <= low:
+                yield _long_word(data, at, low)
+                low = _word_end(data, at, low)
+                continue
+            high = last
             piece, space = data[low:high], space[:high - low]
         edge = np.zeros(len(piece) + 1, bool)  # texts begin here, so words end here
         inner = at[np.searchsorted(at, low):np.searchsorted(at, high, "right")] - low
@@ -101,6 +107,29 @@ def words(data: np.ndarray, at: np.ndarray) -> Iterator[tuple[np.ndarray, np.nda
         low = high
 
 
+def _word_end(data: np.ndarray, at: np.ndarray, low: int) -> int:
+    """Where the word that begins at ``low`` ends."""
+    last = int(at[np.searchsorted(at, low, "right")])
+    for begin in range(low, last, _SPAN):
+        piece = data[begin:min(begin + _SPAN, last)]
+        breaks = np.flatnonzero((piece == 32) | ((piece >= 9) & (piece <= 13)))
+        if len(breaks):
+            return begin + int(breaks[0])
+    return last
+
+
+def _long_word(data: np.ndarray, at: np.ndarray, low: int) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """The entry of a word of any length: parts counted from its own start add up to the hash that span_hashes would give."""
+    high = _word_end(data, at, low)
+    total, shift = np.zeros(1, np.uint64), np.ones(1, np.uint64)
+    for begin in range(low, high, _SPAN):
+        total += prefix_sums(data[begin:min(begin + _SPAN, high)])[-1:] * shift
+        shift *= powers(_SPAN + 1)[_SPAN]
+    ends = np.concatenate((data[low:high][:_ENDS], data[low:high][_ENDS:][-_ENDS:]))
+    text = np.searchsorted(at, [low], "right") - 1
+    return mix(total * powers(_SPAN + 1)[_SPAN]), text, np.array([0]), np.array([len(ends)]), prefix_sums(ends)
+
+
 def batches(it: Iterator[pa.RecordBatch], rows: int = 2000) -> Iterator[pa.RecordBatch]:
     """Smaller batches, so that long texts do not add up."""
     for batch in it:
