@@ -17,7 +17,7 @@ from tidelog.llm import sharding
 from tidelog.llm.bpe import bpe_round_trip
 from tidelog.llm.components import components
 from tidelog.llm.jaccard import keep_first, n_runs, shingle_sets, similarity_classes
-from tidelog.llm.licenses import scan_licenses
+from tidelog.llm.licenses import RESERVED, TEMPLATES, TEXTS, scan_licenses
 from tidelog.llm.mixing import by_position, mix_sources
 from tidelog.llm.nearest import nearest
 from tidelog.llm.ordinal import classify, fit
@@ -234,6 +234,36 @@ def test_licenses(spark):
     assert [got[i].license_line for i in range(3, 7)] == [1, 2, 0, 1] and got[6].permissive is False and got[6].n_licenses == 2
 
 
+def test_licenses_of_stretches(spark):
+    filler = "some words that say nothing of the kind " * 12
+    gpl = "This work is licensed under the GNU General\n# Public License, version 3."
+    mit = """Copyright (c) 2020 A. Nyone
+
+Permission is hereby granted, free of charge, to any person obtaining a copy
+of this software and associated documentation files (the "Software"), to deal
+in the Software without restriction, including without limitation the rights
+to use, copy, modify, merge, publish, distribute, sublicense, and/or sell
+copies of the Software, and to permit persons to whom the Software is
+furnished to do so, subject to the following conditions:"""
+    texts = [
+        f"{filler}\n{gpl}\n{filler}", f"{filler} Released under the MIT License. {filler}", f"{filler}\n{mit}\n{filler}", filler,
+        f"{filler} Released under the MIT License. {filler} Licensed under CC BY-NC 4.0. {filler}",
+        f"{filler}\nReleased under the MIT License.\n{filler}", "All rights reserved.",
+        f"{TEMPLATES[-1][2]} Licensed under CC BY-NC 4.0.", "of the mit " * 3000 + "the mit license of the mit",
+    ]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    got = {x.doc_id: (x.license, x.license_line, x.n_licenses, x.permissive) for x in scan_licenses(docs).collect()}
+    assert got == {
+        0: ("GPL-3.0", 2, 1, False), 1: ("MIT", 1, 1, True), 2: ("MIT", 4, 1, True), 3: (None, None, 0, None), 4: ("MIT", 1, 2, False),
+        5: ("MIT", 2, 1, True), 6: (None, None, 0, None), 7: ("CC-BY-NC-4.0", 1, 2, False), 8: (None, None, 0, None)}
+    one = scan_licenses(docs, (*TEMPLATES, RESERVED)).filter("doc_id = 6").first()
+    assert (one.license, one.permissive) == ("proprietary", False)
+    every = (*TEMPLATES, *TEXTS)
+    docs = spark.createDataFrame([(i, f"{filler} {t[2]} {filler}") for i, t in enumerate(every)], "doc_id int, text string")
+    for x in scan_licenses(docs).collect():
+        assert (x.license, x.dice, x.n_licenses, x.permissive) == (every[x.doc_id][0], 1.0, 1, every[x.doc_id][1])
+
+
 def test_bpe(spark, texts):
     r = random.Random(1)
     alphabet = [*"ab c  \n\t\r'!?#é5٣²", "<|endoftext|>", "'s", "'ll", "\x1c", "\x85", "\xa0", " ", "　", "​", "﻿", "日本", "🙂", "́", "\x00", "ǅ", "᠎"]
