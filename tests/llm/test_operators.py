@@ -2,6 +2,7 @@
 
 import base64
 import hashlib
+import math
 import random
 import struct
 from collections import Counter, defaultdict
@@ -16,7 +17,7 @@ from tokenizers import Tokenizer
 from tidelog.llm import sharding
 from tidelog.llm.bpe import bpe_round_trip
 from tidelog.llm.components import components
-from tidelog.llm.jaccard import keep_first, n_runs, shingle_sets, similarity_classes
+from tidelog.llm.jaccard import DEPTH, RECALL, keep_first, n_runs, shingle_sets, similarity_classes
 from tidelog.llm.licenses import RESERVED, TEMPLATES, TEXTS, scan_licenses
 from tidelog.llm.mixing import by_position, mix_sources
 from tidelog.llm.nearest import nearest
@@ -183,6 +184,13 @@ def test_long_words_are_hashed_as_short_ones(monkeypatch):
         assert all(len(x) == 1 for x in names.values()) and len(set.union(*names.values())) == len(names)
 
 
+def test_jaccard_recall_in_the_deepest_bucket():
+    meets = 1.0
+    for _ in range(DEPTH):
+        meets = 1 - math.exp(-meets)
+    assert 1 - (1 - meets) ** n_runs() >= RECALL > 1 - (1 - meets) ** (n_runs() - 1)
+
+
 def test_components(spark):
     edges = [(i, i + 1) for i in range(40)] + [(100, 100), (60, 61), (61, 60), (7, 3)]
     got = {x.id: x.root for x in components(spark.createDataFrame(edges, "a long, b long")).collect()}

@@ -6,8 +6,8 @@ a part equal to their Jaccard similarity in expectation.
 
 *Chosen paths.*  In each run a path grows by tokens sampled with chance 1 / (similarity * TOKENS) by a hash of path and
 coordinate, the same choice for all sets on the path; sets go to the bucket of each path they choose.  Buckets above
-``SPLIT`` are split by another sampled token.  A pair at the threshold shares a bucket of depth 1 with chance 0.63 a run and one
-of depth 4 with 0.31, and the number of runs is taken so that the target recall holds at depth 4.
+``SPLIT`` are split by another sampled token, ``DEPTH`` levels deep at most.  A pair at the threshold shares a bucket of depth 1
+with chance 0.63 a run and one of depth 6 with 0.24, and the number of runs is taken so that the target recall holds there.
 *Brute force.*  Small buckets (each membership once) are compared pair by pair on all tokens; buckets that do not get small,
 groups of mutual near copies, are cut into tiles of two blocks, so that none is dropped and no task holds a whole one.
 Pairs that agree on three quarters of the threshold connect to candidate clusters.
@@ -38,7 +38,7 @@ BLOCK, SPLIT, DEPTH = 512, 4096, 6
 _SEEDS = mix(np.arange(1, 2 * TOKENS + 1, dtype=np.uint64) * np.uint64(0x9E3779B97F4A7C15))
 
 
-def n_runs(recall: float = RECALL, depth: int = 4) -> int:
+def n_runs(recall: float = RECALL, depth: int = DEPTH) -> int:
     """Runs after which a pair at the threshold has met in a bucket of ``depth`` with this chance."""
     meets = 1.0
     for _ in range(depth):
