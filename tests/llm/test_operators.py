@@ -307,6 +307,20 @@ def test_nearest(spark):
     assert nearest(frame_.filter("false"), F.col("vec_id") % 50 == 0).count() == 0
 
 
+def test_nearest_of_ids_with_several_vectors(spark):
+    r = np.random.default_rng(9)
+    rows = [(i % 60, r.normal(size=6).tolist()) for i in range(150)]
+    cosine = lambda a, b: np.dot(a, b) / np.linalg.norm(a) / np.linalg.norm(b)
+    want = []
+    for q in (0, 50):
+        score = sorted((-cosine(a, b), j) for i, a in rows for j, b in rows if i == q != j)
+        want += [(q, n, j, round(-s, 9)) for n, (s, j) in enumerate(score[:5], 1)]
+    frame_ = spark.createDataFrame([*rows, rows[7]], "vec_id long, embedding array<double>")
+    for queries, candidates in ((512, 8192), (1, 37)):
+        got = nearest(frame_, F.col("vec_id") % 50 == 0, 5, queries, candidates).collect()
+        assert sorted((x.query_id, x["rank"], x.vec_id, round(x.score, 9)) for x in got) == want
+
+
 @pytest.mark.parametrize("n, shards", [(300, 24), (900, 5), (10, 24), (1, 3)])
 def test_sharding(spark, monkeypatch, n, shards):
     monkeypatch.setattr(sharding, "CELLS", 3)

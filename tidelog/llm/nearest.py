@@ -7,11 +7,12 @@ dimensions and summed in pieces beyond, so they are exact), and
 A candidate survives if its upper bound reaches the k-th largest lower bound of the tile.  Survivors are scored in double
 precision on the original vectors, and per query a heap of k merges tiles.  The search is exact.
 
-Blocks are dealt by a hash of the id into a grid; queries travel to every column and candidates to every row, so that a tile
+Blocks are dealt by a hash of id and vector into a grid; queries travel to every column and candidates to every row, so that a tile
 holds about ``QUERIES`` x ``CANDIDATES`` vectors whatever the table's size, and no two vectors meet in two tiles.
 
-Vectors that are null, zero, or hold null or non-finite components, and rows without id, take no part.  Rows with one id
-are one vector, the least of them.  Vectors are compared with those of their own dimension.  Equal scores go to the
+Vectors that are null, zero, or hold null or non-finite components, and rows without id, take no part.  Rows equal in id
+and vector are one; an id with several vectors is a candidate, and asks, with each of them, and is no candidate for itself.
+Vectors are compared with those of their own dimension.  Equal scores go to the
 smaller id.
 """
 
@@ -121,11 +122,11 @@ def nearest(vectors: DataFrame, is_query: Column, k: int = 5, queries: int = QUE
     finite = F.forall(value, lambda x: x.isNotNull() & ~F.isnan(x) & (F.abs(x) < F.lit(float("inf"))))
     rows = vectors.select(F.col("vec_id").cast("long").alias("vec_id"), "embedding").filter(
         F.col("vec_id").isNotNull() & F.coalesce(finite & F.exists(value, lambda x: x != 0), F.lit(False)))
-    rows = rows.groupBy("vec_id").agg(F.min("embedding").alias("embedding")).withColumn("dimension", F.size("embedding"))
+    rows = rows.distinct().withColumn("dimension", F.size("embedding"))
     asked = rows.filter(is_query)
     n, m = rows.count(), asked.count()
     down, across = max(1, -(-m // queries)), max(1, -(-n // candidates))
-    part = F.xxhash64("vec_id", F.lit(7))
+    part = F.xxhash64("vec_id", "embedding", F.lit(7))
     every = lambda top: F.explode(F.sequence(F.lit(0), F.lit(top - 1)))
     left = asked.withColumn("i", F.pmod(part, F.lit(down)).cast("int")).withColumn("j", every(across))
     right = rows.withColumn("j", F.pmod(part, F.lit(across)).cast("int")).withColumn("i", every(down))
