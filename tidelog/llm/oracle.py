@@ -125,6 +125,55 @@ SELECT page_id, payload_bytes,
 FROM digests
 """
 
+_CRC32 = """(xor(list_reduce(list_prepend(4294967295::BIGINT, list_transform(string_split(doc_id::VARCHAR, ''), lambda c: ascii(c)::BIGINT)),
+  lambda crc, b: list_reduce(list_prepend(xor(crc, b), [0, 0, 0, 0, 0, 0, 0, 0]::BIGINT[]),
+    lambda x, k: xor(x >> 1, CASE WHEN x % 2 = 1 THEN 3988292384 ELSE 0 END::BIGINT))), 4294967295))"""
+
+
+def _leaf(n_chars: str) -> str:
+    fields = ("doc_id::VARCHAR", "source", "lang", f"({n_chars})::VARCHAR", "text")
+    return "sha256(" + " || ".join(f"coalesce(strlen({x})::VARCHAR || ':' || {x}, '-')" for x in fields) + ")"
+
+
+_MERKLE = f"""
+WITH RECURSIVE leaves AS (
+  SELECT doc_id, coalesce({_CRC32} % 7 = 0, false) AS changed, {_leaf('n_chars')} AS leaf, {_leaf('n_chars + 1')} AS other,
+    dense_rank() OVER (ORDER BY lang NULLS FIRST) - 1 AS tree, lang FROM documents),
+placed AS (SELECT *, row_number() OVER (PARTITION BY lang ORDER BY doc_id NULLS FIRST, leaf) - 1 AS pos, count(*) OVER (PARTITION BY lang) AS n FROM leaves),
+nodes AS (
+  SELECT 0 AS level, tree, pos, n, leaf AS node FROM placed
+  UNION ALL
+  SELECT max(level) + 1, tree, pos // 2, (max(n) + 1) // 2, sha256(string_agg(node, '' ORDER BY pos)) FROM nodes WHERE n > 1 GROUP BY tree, pos // 2),
+tops AS (
+  SELECT 0 AS level, tree AS pos, (SELECT count(*) FROM nodes WHERE n = 1) AS n, node FROM nodes WHERE n = 1
+  UNION ALL
+  SELECT max(level) + 1, pos // 2, (max(n) + 1) // 2, sha256(string_agg(node, '' ORDER BY pos)) FROM tops WHERE n > 1 GROUP BY pos // 2),
+every AS (SELECT level, tree, pos, n, node FROM nodes UNION ALL SELECT 1000 + level, -1, pos, n, node FROM tops),
+steps AS (
+  -- a step for each level below its root: the sibling, if there is one, and its side
+  SELECT p.doc_id, p.leaf, p.tree AS own, p.pos AS place, row_number() OVER (PARTITION BY p.tree, p.pos ORDER BY e.level) AS step,
+    s.node AS sibling, s.pos < e.pos AS is_left
+  FROM placed p JOIN every e ON e.n > 1 AND ((e.tree = p.tree AND e.pos = p.pos >> e.level::INTEGER) OR (e.tree = -1 AND e.pos = p.tree >> (e.level - 1000)::INTEGER))
+    LEFT JOIN every s ON s.level = e.level AND s.tree = e.tree AND s.pos = xor(e.pos, 1)),
+proofs AS (SELECT own, place, sha256(coalesce(string_agg(sibling, '' ORDER BY step), '')) AS proof_sha256, count(*) AS steps FROM steps GROUP BY own, place),
+folds AS (
+  SELECT tree AS own, pos AS place, 0 AS step, CASE WHEN changed THEN other ELSE leaf END AS node FROM placed
+  UNION ALL
+  SELECT f.own, f.place, f.step + 1, sha256(CASE WHEN s.sibling IS NULL THEN f.node WHEN s.is_left THEN s.sibling || f.node ELSE f.node || s.sibling END)
+  FROM folds f JOIN steps s ON s.own = f.own AND s.place = f.place AND s.step = f.step + 1),
+folded AS (SELECT own, place, arg_max(node, step) AS folded_root FROM folds GROUP BY own, place)
+SELECT p.doc_id, p.leaf, r.node AS subroot, t.node AS root, coalesce(x.proof_sha256, sha256('')) AS proof_sha256, f.folded_root, f.folded_root = t.node AS verified
+FROM placed p JOIN nodes r ON r.tree = p.tree AND r.n = 1 JOIN tops t ON t.n = 1 JOIN folded f ON f.own = p.tree AND f.place = p.pos
+  LEFT JOIN proofs x ON x.own = p.tree AND x.place = p.pos
+"""
+
+_EXACT = r"""
+WITH rows AS (SELECT doc_id, regexp_replace(coalesce(text, ''), '[\x20\x09-\x0D]', '', 'g') AS t, length(coalesce(text, '')) AS points FROM documents),
+placed AS (SELECT *, row_number() OVER (PARTITION BY t ORDER BY points DESC, doc_id NULLS LAST) AS place, count(*) OVER (PARTITION BY t) AS size FROM rows)
+SELECT a.doc_id, b.doc_id AS keep_id, a.size AS group_size, a.place = 1 AS kept, sha256(a.t) AS text_sha256
+FROM placed a JOIN placed b ON a.t = b.t AND b.place = 1
+"""
+
 ORACLE = {
     "op2_license_scan": _LICENSE,
     "op4_source_mix": _MIX,
@@ -132,4 +181,6 @@ ORACLE = {
     "op7_neighbours": _NEAREST,
     "op9_jaccard_join": _JACCARD,
     "op10_warc": _WARC,
+    "op11_merkle_manifest": _MERKLE,
+    "op12_exact_dedup": _EXACT,
 }

@@ -11,9 +11,12 @@ from pyspark.sql import functions as F
 from .bpe import bpe_round_trip
 from .jaccard import similarity_classes
 from .licenses import scan_licenses
+from .merkle import manifest
 from .mixing import mix_sources
+from .naming import exact_classes
 from .nearest import nearest
 from .ordinal import classify, grade
+from .periodic import periodic_runs
 from .rules import quality_rules
 from .sharding import shard_documents
 from .suffixes import remove_repeats
@@ -69,6 +72,18 @@ def warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     return archive_round_trip(_table(spark, sf_dir, "pages")).drop("url")
 
 
+def merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return manifest(_table(spark, sf_dir, "documents"), F.crc32(F.col("doc_id").cast("string")) % 7 == 0).drop("proof")
+
+
+def exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return exact_classes(_table(spark, sf_dir, "documents"))
+
+
+def word_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return periodic_runs(_table(spark, sf_dir, "documents"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_ordinal_quality": ordinal_quality,
     "op2_license_scan": license_scan,
@@ -80,4 +95,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_shards": shards,
     "op9_jaccard_join": jaccard_join,
     "op10_warc": warc,
+    "op11_merkle_manifest": merkle_manifest,
+    "op12_exact_dedup": exact_dedup,
+    "op13_periodic_runs": word_runs,
 }
