@@ -1,11 +1,14 @@
 import datetime as dt
 import json
+import random
+
+import numpy as np
 
 from tidelog.operators.state import context_blobs
 from tidelog.sources.fixtures import load
 from tidelog.sources.ndjson import stream_ndjson
 from tidelog.sources.tables import append_new, days_of, on_days, read_stream, write_stream
-from tidelog.streaming import context, ingest, metrics
+from tidelog.streaming import abandoned, context, ingest, metrics
 
 T0 = dt.datetime(2024, 1, 1)
 
@@ -129,3 +132,56 @@ def test_same_day_insert_reads_only_the_days_of_the_batch(spark, tmp_path):
     append_new(batch, table, same_day=True)
     append_new(batch, table, same_day=True)
     assert ids(spark, table) == ["a0", "a1", "a2", "a3", "a4", "new", "none"]
+
+
+def _sessions(spark, tmp_path, batches, timeout_s=7200, watermark="1 hour"):
+    """Abandoned sessions after each batch, each in a query of its own that goes on where the last one ended."""
+    schema, seen = "ts timestamp_ntz, customer string, activity string", []
+    for rows in batches:
+        spark.createDataFrame(rows, schema).repartition(3).write.mode("append").parquet(str(tmp_path / "t"))
+        abandoned.abandoned_sessions_stream(spark.readStream.schema(schema).parquet(str(tmp_path / "t")), str(tmp_path / "o"), str(tmp_path / "m"),
+                                            timeout_s=timeout_s, watermark=watermark).awaitTermination()
+        seen.append(sorted((r.customer or "", r.first_event, r.last_event, r.activities) for r in spark.read.parquet(str(tmp_path / "o")).collect()))
+    return seen
+
+
+def test_abandoned_sessions_over_restarts(spark, tmp_path):
+    h, start, end = dt.timedelta(hours=1), "claude_session_start", "claude_session_end"
+    seen = _sessions(spark, tmp_path, [
+        # out of order in the batch; a session that another batch goes on with; one that ends in another batch; no customer
+        [(T0 + h, "gone", "x"), (T0, "gone", start), (T0 + 9 * h, "open", start), (T0 + 9 * h, "ends", start), (T0, None, start), (T0, "no start", "x"), (None, "gone", start),
+         (T0 + 10 * h, "clock", "x")],
+        [(T0 + 9.5 * h, "ends", end), (T0 + 10.9 * h, "open", "x"), (T0 + 10.2 * h, "open", None)],
+        # a row behind the watermark belongs to nobody's session any more
+        [(T0 + 40 * h, "clock", "x"), (T0 + h, "gone", start)],
+        [(T0 + 80 * h, "clock", "x")],
+    ])
+    first = [("", T0, T0, 1), ("gone", T0, T0 + h, 2)]
+    assert seen[:2] == [first, first]
+    assert seen[2] == seen[3] == [*first, ("open", T0 + 9 * h, T0 + 10.9 * h, 3)]
+
+
+def test_abandoned_sessions_need_little_state(spark, tmp_path):
+    # a third of all rows is one customer's, in any order; its state is its one open session
+    rows = [(T0 + dt.timedelta(seconds=(i * 7919) % 30_000), "busy" if i % 3 == 0 else f"c{i}", "claude_session_start") for i in range(3000)]
+    seen = _sessions(spark, tmp_path, [rows, [(T0 + dt.timedelta(days=9), "clock", "x")]], watermark="0 seconds")
+    busy = sorted(t for t, c, _ in rows if c == "busy")
+    assert ("busy", busy[0], busy[-1], 1000) in seen[1] and len(seen[1]) == 2001
+
+
+def test_merged_sessions_equal_brute_force():
+    r = random.Random(5)
+    for _ in range(300):
+        times = [r.randrange(60) for _ in range(r.randrange(1, 25))]
+        parts = np.array([[t, t, r.randrange(2), 0, 1] for t in times], np.int64)
+        cuts = sorted(r.randrange(len(parts) + 1) for _ in range(3))
+        got = np.empty((0, 5), np.int64)
+        for low, high in zip([0, *cuts], [*cuts, len(parts)]):
+            got = abandoned.merge_sessions(np.concatenate((got, parts[low:high])), 5)
+        want = []
+        for t in sorted(times):
+            if want and t < want[-1][1] + 5:
+                want[-1][1], want[-1][2] = t, want[-1][2] + 1
+            else:
+                want.append([t, t, 1])
+        assert got[:, [0, 1, 4]].tolist() == want

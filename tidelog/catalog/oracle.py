@@ -765,9 +765,13 @@ add("t8_run_health", "job_runs", f"""
 SELECT job_name, state, scheduled_time, completed_time, date_diff('second', scheduled_time, completed_time) AS duration_seconds, error_message,
  CASE state WHEN 'SUCCEEDED' THEN 'healthy' WHEN 'FAILED' THEN 'critical' WHEN 'SKIPPED' THEN 'warning' ELSE 'unknown' END AS health_status
 FROM job_runs WHERE scheduled_time >= {when(JOBS_AS_OF)} - INTERVAL {24 * 365 * 5} HOUR AND scheduled_time <= {when(JOBS_AS_OF)}""")
-add("t9_abandoned_sessions", "activity_stream", """
+ABANDONED = """
 , g AS (SELECT *, CASE WHEN ts < LAG(ts) OVER w + INTERVAL 2 HOUR THEN 0 ELSE 1 END AS new FROM activity_stream
   WINDOW w AS (PARTITION BY customer ORDER BY ts)),
  s AS (SELECT *, SUM(new) OVER (PARTITION BY customer ORDER BY ts ROWS UNBOUNDED PRECEDING) AS part FROM g)
 SELECT customer, MIN(ts) AS first_event, MAX(ts) AS last_event, COUNT(*) AS activities FROM s GROUP BY customer, part
-HAVING COUNT(*) FILTER (activity = 'claude_session_start') > 0 AND COUNT(*) FILTER (activity = 'claude_session_end') = 0""")
+HAVING COUNT(*) FILTER (activity = 'claude_session_start') > 0 AND COUNT(*) FILTER (activity = 'claude_session_end') = 0"""
+add("t9_abandoned_sessions", "activity_stream", ABANDONED)
+# a stream reports a session when its watermark, 24 hours behind the newest event, has passed the silence
+add("t9b_abandoned_sessions_stream", "activity_stream", ABANDONED + """
+ AND MAX(ts) + INTERVAL 2 HOUR <= (SELECT date_trunc('millisecond', MAX(ts)) FROM activity_stream) - INTERVAL 24 HOUR""")

@@ -14,7 +14,7 @@ from ..session import pin, work_dir
 from ..sources import builders, ndjson
 from ..sources.fixtures import load
 from ..sources.tables import read_stream, write_result, write_stream
-from ..streaming import context, ingest, metrics
+from ..streaming import abandoned, context, ingest, metrics
 
 DAY = "2024-01-31 00:00:00"
 HOUR = "2024-01-30 12:00:00"
@@ -368,3 +368,10 @@ query("t6_run_rollups")(lambda t: product.run_rollups(_teams(t), HOUR))
 query("t7_pending_lag")(lambda t: product.pending_lag(t.stream_v2, "2024-01-30 00:00:00", DAY))
 query("t8_run_health")(lambda t: product.run_health(t.job_runs, JOBS_AS_OF, hours=24 * 365 * 5))
 query("t9_abandoned_sessions")(lambda t: metrics.abandoned_sessions(t.activity_stream, timeout="2 hours"))
+
+
+@query("t9b_abandoned_sessions_stream")
+def _(t):
+    base = t.work("abandoned")
+    abandoned.abandoned_sessions_stream(t.event_stream("activity_stream"), f"{base}/out", f"{base}/checkpoint").awaitTermination()
+    return t.spark.read.parquet(f"{base}/out")
