@@ -7,7 +7,8 @@ import numpy as np
 from tidelog.operators.state import context_blobs
 from tidelog.sources.fixtures import load
 from tidelog.sources.ndjson import stream_ndjson
-from tidelog.sources.tables import append_new, days_of, on_days, read_stream, write_stream
+from tidelog.plans.membership import candidates, filter_rows
+from tidelog.sources.tables import append_new, build_id_filters, days_of, days_with, on_days, read_stream, write_stream
 from tidelog.streaming import abandoned, context, ingest, metrics
 
 T0 = dt.datetime(2024, 1, 1)
@@ -185,3 +186,55 @@ def test_merged_sessions_equal_brute_force():
             else:
                 want.append([t, t, 1])
         assert got[:, [0, 1, 4]].tolist() == want
+
+
+IDS = "activity_id string, ts timestamp_ntz, customer string"
+
+
+def _files_read(df):
+    df.collect()
+    leaf = df._jdf.queryExecution().executedPlan().collectLeaves().apply(0)
+    return leaf.metrics().apply("numFiles").value()
+
+
+def test_filters_open_only_the_days_that_hold_an_id(spark, tmp_path):
+    table = str(tmp_path / "t")
+    days = [spark.createDataFrame([(f"a{d}-{i}", T0 + dt.timedelta(days=d, seconds=i), "c") for i in range(50)], IDS) for d in range(8)]
+    for rows in days:
+        append_new(rows, table)
+    # copies on other days than their events, a new id, ids that are NULL
+    batch = spark.createDataFrame([("a2-7", T0 + dt.timedelta(days=6), "c"), ("a5-0", None, "c"), ("new", T0, "c"), ("new", T0, "d"), (None, T0, "c")], IDS)
+    found = days_with(batch, table)
+    assert {"2024-01-03", "2024-01-06"} <= {str(d) for d in found} and len(found) <= 3
+    opened, every = on_days(read_stream(spark, table), found), read_stream(spark, table)
+    assert 0 < _files_read(opened) <= 3 * _files_read(every) // 8
+    append_new(batch, table)
+    assert sorted(i or "" for i in (r.activity_id for r in every.sparkSession.read.parquet(table).collect())) == sorted(
+        ["", "new", *(f"a{d}-{i}" for d in range(8) for i in range(50))])
+    append_new(batch.where("activity_id IS NOT NULL"), table)
+    assert spark.read.parquet(table).count() == 402
+
+
+def test_filters_of_an_older_table_and_of_rows_without_a_day(spark, tmp_path):
+    table = str(tmp_path / "t")
+    write_stream(spark.createDataFrame([("a", T0, "c"), ("b", None, "c")], IDS), table)
+    batch = spark.createDataFrame([("a", T0 + dt.timedelta(days=3), "c"), ("b", T0, "c"), ("c", T0, "c")], IDS)
+    for _ in range(2):
+        append_new(batch, table)
+        assert ids(spark, table) == ["a", "b", "c"]
+    # a job that failed between the two writes has left a filter without rows
+    lost = spark.createDataFrame([("lost", T0, "c")], IDS)
+    filter_rows(lost).write.mode("append").parquet(f"{table}_ids")
+    append_new(lost, table)
+    assert ids(spark, table) == ["a", "b", "c", "lost"]
+    build_id_filters(read_stream(spark, table), table)
+    append_new(batch, table)
+    assert ids(spark, table) == ["a", "b", "c", "lost"]
+
+
+def test_filters_have_every_id_and_little_else(spark):
+    rows = spark.range(20_000).selectExpr("concat('x', id) AS activity_id", "timestamp_ntz'2024-01-01' + make_interval(0, 0, 0, id % 4) AS ts")
+    filters = filter_rows(rows)
+    assert candidates(rows, filters).join(rows.selectExpr("activity_id", "to_date(ts) AS dt"), ["activity_id", "dt"]).count() == 20_000
+    assert candidates(spark.range(50_000).selectExpr("concat('y', id) AS activity_id"), filters).count() <= 20
+    assert filters.agg({"bits": "count"}).first()[0] * 64 <= 64 * 20_000
