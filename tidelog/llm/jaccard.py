@@ -8,9 +8,10 @@ a part equal to their Jaccard similarity in expectation.
 coordinate, the same choice for all sets on the path; sets go to the bucket of each path they choose.  Buckets above
 ``SPLIT`` are split by another sampled token, ``DEPTH`` levels deep at most.  A pair at the threshold shares a bucket of depth 1
 with chance 0.63 a run and one of depth 6 with 0.24, and the number of runs is taken so that the target recall holds there.
-*Brute force.*  Small buckets (each membership once) are compared pair by pair on all tokens; buckets that do not get small,
-groups of mutual near copies, are cut into tiles of two blocks, so that none is dropped and no task holds a whole one.
-Pairs that agree on three quarters of the threshold connect to candidate clusters.
+*Brute force.*  Small buckets (each membership once) are compared pair by pair on all tokens.  In buckets that do not get small,
+groups of mutual near copies, all members are compared with a pivot first and get one edge to it where they agree; the rest
+gets a pivot of its own, and so on.  Members of different pivots, or of none, are compared in tiles of two blocks, so that
+none is dropped, no task holds a whole bucket, and edges are in proportion to members.  Pairs that agree on three quarters of the threshold connect to candidate clusters.
 *Exact check.*  All pairs inside a cluster are compared on the full sets, again in tiles, which gives links, their number
 for each set, and edges that span them; pairs themselves are never written.  Classes are the components of links.
 
@@ -32,9 +33,12 @@ from pyspark.sql import functions as F
 
 from .common import batches, cut, mix, row_key, text_buffer, words
 from .components import components
+from .naming import spread_join
 
 SHINGLE, SIMILARITY, TOKENS, RECALL = 5, Fraction(4, 5), 64, 0.997
 BLOCK, SPLIT, DEPTH = 512, 4096, 6
+PIVOTS = 8  # rounds of pivots at most
+_PIECE = 1 << 14
 _SEEDS = mix(np.arange(1, 2 * TOKENS + 1, dtype=np.uint64) * np.uint64(0x9E3779B97F4A7C15))
 
 
@@ -69,22 +73,26 @@ def shingle_sets(column: pa.Array, size: int = SHINGLE) -> Iterator[np.ndarray]:
             yield np.empty(0, np.uint64)
 
 
-def _signature(shingles: np.ndarray) -> bytes:
-    hashes = (shingles ^ _SEEDS[:TOKENS, None]) * (_SEEDS[TOKENS:, None] | np.uint64(1))
-    return (hashes.min(1) >> np.uint64(32)).astype("<u4").tobytes()
+def signature(shingles: np.ndarray) -> bytes:
+    """The least hash of each coordinate; a long text's shingles are hashed some at a time."""
+    least = np.full(TOKENS, np.iinfo(np.uint64).max, np.uint64)
+    for low in range(0, len(shingles), _PIECE):
+        hashes = (shingles[low:low + _PIECE] ^ _SEEDS[:TOKENS, None]) * (_SEEDS[TOKENS:, None] | np.uint64(1))
+        least = np.minimum(least, hashes.min(1))
+    return (least >> np.uint64(32)).astype("<u4").tobytes()
 
 
 def _sets(it: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches(it):
-        size, s1, s2, signature = [], [], [], []
+        size, s1, s2, signatures = [], [], [], []
         for shingles in shingle_sets(batch.column("text")):
             size.append(len(shingles))
             a, b = np.frombuffer(xxhash.xxh3_128_digest(shingles.tobytes()), np.int64)
             s1.append(a)
             s2.append(b)
-            signature.append(_signature(shingles) if len(shingles) else b"")
+            signatures.append(signature(shingles) if len(shingles) else b"")
         yield pa.RecordBatch.from_arrays(
-            [batch.column("doc_id"), batch.column("k1"), batch.column("k2"), pa.array(s1, pa.int64()), pa.array(s2, pa.int64()), pa.array(size, pa.int64()), pa.array(signature, pa.binary())],
+            [batch.column("doc_id"), batch.column("k1"), batch.column("k2"), pa.array(s1, pa.int64()), pa.array(s2, pa.int64()), pa.array(size, pa.int64()), pa.array(signatures, pa.binary())],
             ["doc_id", "k1", "k2", "s1", "s2", "n", "signature"])
 
 
@@ -143,9 +151,74 @@ def _groups(it: Iterator[pa.RecordBatch], keys: int) -> Iterator[list[tuple]]:
         yield group
 
 
-def _agree(similarity: Fraction):
-    least = int(0.75 * float(similarity) * TOKENS)
+def _least(similarity: Fraction) -> int:
+    """Coordinates that must agree for a candidate."""
+    return int(0.75 * float(similarity) * TOKENS)
+
+
+def _tokens(column: pa.Array) -> np.ndarray:
+    return np.frombuffer(b"".join(column.to_pylist()), "<u4").reshape(-1, TOKENS)
 
+
+def _with_pivot(similarity: Fraction):
+    def run(it: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in it:
+            agree = (_tokens(batch.column("signature")) == _tokens(batch.column("pivot_signature"))).sum(1) >= _least(similarity)
+            yield pa.RecordBatch.from_arrays([batch.column(c) for c in ("path", "rid", "pivot")] + [pa.array(agree)], ["path", "rid", "pivot", "agrees"])
+
+    return run
+
+
+def _pivoted(large: DataFrame, tokens: DataFrame, similarity: Fraction) -> tuple[DataFrame, DataFrame]:
+    """Members of large buckets (path, rid) as (path, rid, label), and edges.
+
+    In each round every bucket's member of least hash among those without a label is its pivot; the members that agree with it
+    get one edge, to the pivot, and the round's number as label.  Members of a label are connected, so they need no comparison
+    with each other.  0 is for those that agree with no pivot.
+    """
+    rest, done, edges = cut(large.select("path", "rid"), "pivots"), [], []
+    for number in range(1, PIVOTS + 1):
+        sizes = rest.groupBy("path").agg(F.count("*").alias("count"), F.min(F.struct(F.xxhash64("path", "rid").alias("h"), "rid")).alias("p"))
+        pivots = sizes.filter(F.col("count") > BLOCK).select("path", "count", F.col("p.rid").alias("pivot"))
+        pivots = cut(pivots.join(tokens.select(F.col("rid").alias("pivot"), F.col("signature").alias("pivot_signature")), "pivot"), "pivots")
+        if pivots.isEmpty():
+            break
+        asked = spread_join(rest.join(tokens, "rid"), pivots, ["path"]).select("path", "rid", "signature", "pivot", "pivot_signature")
+        seen = cut(asked.mapInArrow(_with_pivot(similarity), "path long, rid long, pivot long, agrees boolean"), "pivots")
+        edges.append(seen.filter("agrees AND rid != pivot").select(F.col("pivot").alias("a"), F.col("rid").alias("b")))
+        done.append(seen.filter("agrees").select("path", "rid", F.lit(number).alias("label")))
+        # buckets that were small enough are through
+        done.append(rest.join(pivots.select("path"), "path", "left_anti").select("path", "rid", F.lit(0).alias("label")))
+        rest = cut(seen.filter("NOT agrees").select("path", "rid"), "pivots")
+    done.append(rest.select("path", "rid", F.lit(0).alias("label")))
+    edges.append(rest.select(F.col("rid").alias("a"), F.col("rid").alias("b")).limit(0))
+    return _union(done), _union(edges)
+
+
+def _union(parts: list[DataFrame]) -> DataFrame:
+    out = parts[0]
+    for part in parts[1:]:
+        out = out.unionByName(part)
+    return out
+
+
+def _labelled_tiles(members: DataFrame, tokens: DataFrame) -> DataFrame:
+    """(path, i, j, label, rid, signature) in which all members of a path share a tile of two blocks, but for those of one label."""
+    counts = members.groupBy("path", "label").agg(F.count("*").alias("n"))
+    label = F.struct("label", F.ceil(F.col("n") / F.lit(BLOCK)).cast("int").alias("blocks"))
+    counts = cut(counts.groupBy("path").agg(F.sum("n").alias("count"), F.array_sort(F.collect_list(label)).alias("labels")), "labels")
+    alone = (F.size("labels") == 1) & (F.col("labels")[0]["label"] > 0)
+    rows = spread_join(members, counts.filter(~alone), ["path"])
+    own = F.filter("labels", lambda x: x["label"] == F.col("label"))[0]["blocks"]
+    rows = rows.withColumn("_own", F.struct("label", F.pmod(F.xxhash64("rid", F.lit(1)), own).cast("int").alias("block")))
+    others = F.flatten(F.transform("labels", lambda x: F.transform(
+        F.sequence(F.lit(0), x["blocks"] - 1), lambda k: F.struct(x["label"].alias("label"), k.alias("block")))))
+    rows = rows.withColumn("_other", F.explode(F.filter(others, lambda x: (x["label"] != F.col("label")) | (F.col("label") == 0))))
+    rows = rows.select("path", F.least("_own", "_other").alias("i"), F.greatest("_own", "_other").alias("j"), "label", "rid")
+    return rows.join(tokens, "rid").select("path", "i", "j", "label", "rid", "signature").repartition("path", "i", "j").sortWithinPartitions("path", "i", "j")
+
+
+def _agree(similarity: Fraction):
     def run(it: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         a, b = [], []
         above: dict[int, int] = {}  # a forest of the sets that the task has connected: an edge inside a tree says nothing new
@@ -156,14 +229,21 @@ def _agree(similarity: Fraction):
             return x
 
         for group in _groups(it, 3):
-            rid = [x[4] for x in group]
+            label, rid = [x[3] for x in group], [x[4] for x in group]
             tokens = np.frombuffer(b"".join(x[5] for x in group), "<u4").reshape(-1, TOKENS)
             linked = np.empty((len(rid), len(rid)), bool)
             for low in range(0, len(rid), 64):
                 same = np.zeros((min(64, len(rid) - low), len(rid)), np.uint8)
                 for c in range(TOKENS):
                     same += tokens[low:low + 64, c, None] == tokens[None, :, c]
-                linked[low:low + 64] = same >= least
+                linked[low:low + 64] = same >= _least(similarity)
+            labels = np.array(label)
+            linked |= (labels[:, None] == labels[None, :]) & (labels > 0)
+            first: dict[int, int] = {}
+            for x, of in zip(rid, label):
+                # members of one label are connected by their pivot
+                if of and (one := top(first.setdefault(of, x))) != (other := top(x)):
+                    above[other] = one
             for x, y in enumerate(_stars(linked)):
                 if x != y and (one := top(rid[y])) != (other := top(rid[x])):
                     above[other] = one
@@ -259,19 +339,21 @@ def similarity_classes(docs: DataFrame, similarity: Fraction = SIMILARITY, recal
         counted.append(found.filter(F.col("count") <= SPLIT))
         paths = large.select("path", "rid").join(tokens, "rid").select("path", "rid", "signature").mapInArrow(_grow(0, similarity), "path long, rid long")
         depth += 1
-    buckets = counted[0]
-    for more in counted[1:]:
-        buckets = buckets.unionByName(more)
+    buckets = _union(counted)
     # most buckets have the same few members in run after run
     small = buckets.filter(F.col("count") <= BLOCK).groupBy("path").agg(F.sort_array(F.collect_list("rid")).alias("members"))
     small = small.select("members", F.xxhash64("members").alias("path")).groupBy("path").agg(F.first("members").alias("members"))
-    small = small.select("path", F.explode("members").alias("rid"), F.lit(1).alias("count"))
-    compared = small.unionByName(buckets.filter(F.col("count") > BLOCK).select("path", "rid", "count")).join(tokens, "rid")
-    near = _tiles(compared, "path", "rid", F.col("count"), "signature").mapInArrow(_agree(similarity), "a long, b long")
+    small = small.select("path", F.explode("members").alias("rid")).join(tokens, "rid")
+    one = F.struct(F.lit(0).alias("label"), F.lit(0).alias("block"))
+    small = small.select("path", one.alias("i"), one.alias("j"), F.lit(0).alias("label"), "rid", "signature")
+    small = small.repartition("path", "i", "j").sortWithinPartitions("path", "i", "j")
+    labelled, pivot_edges = _pivoted(buckets.filter(F.col("count") > BLOCK), tokens, similarity)
+    near = small.mapInArrow(_agree(similarity), "a long, b long").unionByName(pivot_edges).unionByName(
+        _labelled_tiles(cut(labelled, "labelled"), tokens).mapInArrow(_agree(similarity), "a long, b long"))
     clusters = components(near).withColumnRenamed("id", "rid")
 
-    members = clusters.join(reps.select("rid", "name", "mult"), "rid")
-    members = members.join(clusters.groupBy("root").agg(F.count("*").alias("count")), "root")
+    members = cut(clusters.join(reps.select("rid", "name", "mult"), "rid"), "clusters")
+    members = spread_join(members, members.groupBy("root").agg(F.count("*").alias("count")), ["root"])
     members = members.select("root", "rid", "mult", "count", F.col("name.k1").alias("k1"), F.col("name.k2").alias("k2"))
     shingles = keyed.select("k1", "k2", "text").join(members, ["k1", "k2"]).select("root", "rid", "mult", "count", "text")
     shingles = shingles.mapInArrow(_texts, "root long, rid long, mult long, count long, shingles binary")
@@ -281,10 +363,15 @@ def similarity_classes(docs: DataFrame, similarity: Fraction = SIMILARITY, recal
     classes = components(links.select("a", "b")).withColumnRenamed("id", "rid")
     named = reps.select("rid", "s1", "s2", "mult", "name").join(classes, "rid", "left").join(number, "rid", "left")
     named = named.withColumn("root", F.coalesce("root", "rid"))
-    first = named.groupBy("root").agg(F.min("name").alias("first"))
-    named = named.join(first, "root").select("s1", "s2", "first", (F.col("mult") - 1 + F.coalesce("links", F.lit(0))).alias("n_links"))
+    named = cut(named, "named")
+    first = named.groupBy("root").agg(F.count("*").alias("count"), F.min("name").alias("first"))
+    named = spread_join(named, first, ["root"]).select(
+        "s1", "s2", F.col("mult").alias("count"), "first", (F.col("mult") - 1 + F.coalesce("links", F.lit(0))).alias("n_links"))
     own = F.col("first").isNull()
-    return sets.select("doc_id", "k1", "k2", "s1", "s2").join(named, ["s1", "s2"], "left").select(
+    found = sets.select("doc_id", "k1", "k2", "s1", "s2", "n")
+    blank = found.filter("n = 0").select("doc_id", "k1", "k2", F.lit(None).cast(first.schema["first"].dataType).alias("first"), F.lit(0).cast("long").alias("n_links"))
+    found = spread_join(found.filter("n > 0"), cut(named, "named"), ["s1", "s2"]).select("doc_id", "k1", "k2", "first", "n_links").unionByName(blank)
+    return found.select(
         "doc_id", "k1", "k2", F.when(own, F.col("doc_id")).otherwise(F.col("first.doc_id")).alias("class_id"),
         F.when(own, F.col("k1")).otherwise(F.col("first.k1")).alias("first_k1"), F.when(own, F.col("k2")).otherwise(F.col("first.k2")).alias("first_k2"),
         F.when(own, F.lit(0)).otherwise(F.col("n_links")).cast("long").alias("n_links"))
