@@ -49,8 +49,9 @@ def test_occurrences_fill_only_missing(spark):
     assert all(r.activity_occurrence is None for r in rows.values() if r.activity != "x" and r.activity_id != "a1")
 
 
-@pytest.mark.parametrize("seed,minutes,unit", [(1, 600, "hour"), (2, 40, "hour"), (3, 3000, "day"), (4, 90, "minute")])
-def test_self_study(spark, seed, minutes, unit):
+@pytest.mark.parametrize("seed,minutes,levels", [
+    (1, 600, ("hour",)), (2, 40, ("minute", "hour")), (3, 3000, ("minute", "hour", "day")), (4, 90, ("minute", "day")), (5, 9000, ("hour", "day"))])
+def test_self_study(spark, seed, minutes, levels):
     rows = random_rows(seed, n=200, minutes=minutes)
     starts = [(r[3], r[1], "me" in r[4]) for r in rows if r[2] == "claude_session_start" and r[3] is not None]
     want = {}
@@ -59,10 +60,21 @@ def test_self_study(spark, seed, minutes, unit):
         if study and earlier:
             want[(who, ts)] = (len({c for c, _ in earlier}), int((ts - max(t for _, t in earlier)).total_seconds() // 60))
     got = {(r.analyzing_session, r.analysis_time): (r.sessions_studied, r.minutes_after_latest)
-           for r in windows.self_study_sessions(stream(spark, rows), "%me%", unit).collect()}
+           for r in windows.self_study_sessions(stream(spark, rows), "%me%", levels).collect()}
     assert got == want
 
 
+def test_self_study_reads_the_stream_once(spark, tmp_path):
+    path = str(tmp_path / "stream")
+    stream(spark, random_rows(6)).write.parquet(path)
+    table = spark.read.parquet(path)
+    out = windows.self_study_sessions(table, "%me%")
+    plan = out._jdf.queryExecution().explainString(spark._jvm.org.apache.spark.sql.execution.ExplainMode.fromString("formatted"))
+    # the stream was read for the table of starts; windows are those of minutes, hours in a day, and days
+    assert path not in plan and "session-starts" in plan
+    assert "Window" in plan and all(f"trunc({level}" in plan for level in ("minute", "hour", "day"))
+
+
 def test_running_number(spark):
     rows = random_rows(5)
     df = stream(spark, [r for r in rows if r[3]])
