@@ -347,3 +347,16 @@ def test_every_fixture_loads(spark, sf_dir):
 def test_payload_is_parsed_once(spark, sf_dir, name):
     plan = QUERIES[name](spark, sf_dir)._jdf.queryExecution().optimizedPlan().toString().split("\n")
     assert sum(line.count("from_json") for line in plan) == 1
+
+
+def test_context_pages_are_bounded(spark):
+    schema = "customer string, section string, key string, n bigint, text string, confidence double, artifact_id string, valid_until timestamp_ntz, " \
+             "warehouse string, ts timestamp_ntz, place int, avg_latency_ms double, p95_latency_ms double"
+    rows = [("busy", "insights", f"k{i}", None, str(i), 0.5, None, None, None, None, None, None, None) for i in range(1234)]
+    rows += [(f"c{i}", "activities", "x", i, None, None, None, None, None, None, None, None, None) for i in range(30)]
+    entries = spark.createDataFrame(rows, schema)
+    pages = state.context_pages(entries, page_rows=100)
+    sizes = {(r.customer, r.page): len(r.entries) for r in pages.collect()}
+    assert max(sizes.values()) == 100 and sum(sizes.values()) == 1264 and len([k for k in sizes if k[0] == "busy"]) == 13
+    back = pages.select("customer", F.inline("entries"))
+    assert back.exceptAll(entries.select(back.columns)).isEmpty() and entries.select(back.columns).exceptAll(back).isEmpty()

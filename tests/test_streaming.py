@@ -3,13 +3,15 @@ import json
 import random
 
 import numpy as np
+from pyspark.sql import functions as F
 
 from tidelog.operators.state import context_blobs
 from tidelog.sources.fixtures import load
 from tidelog.sources.ndjson import stream_ndjson
 from tidelog.plans.membership import candidates, filter_rows
+from tidelog.plans.upsert import retire_versions, write_version
 from tidelog.sources.tables import append_new, build_id_filters, days_of, days_with, on_days, read_stream, write_stream
-from tidelog.streaming import abandoned, context, ingest, metrics
+from tidelog.streaming import abandoned, context, ingest, metrics, sketches
 
 T0 = dt.datetime(2024, 1, 1)
 
@@ -69,6 +71,13 @@ def test_repeated_context_batch_gives_the_same_version(spark, sf_dir, tmp_path):
     run(stream, 1)
     counts = [r.access_count for r in context.read_cache(spark, str(tmp_path / "cache")).collect()]
     assert set(counts) == {1}
+    one = context.read_cache(spark, str(tmp_path / "cache")).first()
+    context.compact_cache(spark, str(tmp_path / "cache"), retire=True)
+    assert [p.name for p in (tmp_path / "cache").iterdir()] == ["base=000000000002"]
+    run(stream.where(F.col("customer") == one.customer), 2)
+    counts = {r.customer: r.access_count for r in context.read_cache(spark, str(tmp_path / "cache")).collect()}
+    # the batch of one customer's rows refreshes who has entries at all, since insights, queries and tools are those of the tables
+    assert set(counts.values()) <= {1, 2} and counts[one.customer] == 2
 
 
 def test_hourly_metrics_over_several_batches(spark, tmp_path):
@@ -238,3 +247,75 @@ def test_filters_have_every_id_and_little_else(spark):
     assert candidates(rows, filters).join(rows.selectExpr("activity_id", "to_date(ts) AS dt"), ["activity_id", "dt"]).count() == 20_000
     assert candidates(spark.range(50_000).selectExpr("concat('y', id) AS activity_id"), filters).count() <= 20
     assert filters.agg({"bits": "count"}).first()[0] * 64 <= 64 * 20_000
+
+
+def _batch(spark, customers):
+    schema = "ts timestamp_ntz, customer string, activity string, activity_id string, feature_json string, link string"
+    return spark.createDataFrame([(T0, c, "x", f"a{c}", None, None) for c in customers], schema)
+
+
+def test_context_batch_writes_the_buckets_of_its_contexts_only(spark, tmp_path):
+    insights = spark.createDataFrame([], "id string, ts timestamp_ntz, customer string, subject string, metric string, value double, confidence double, "
+                                     "artifact_id string, valid_until timestamp_ntz, is_stale boolean, is_quarantined boolean")
+    base, as_of = str(tmp_path / "cache"), T0 + dt.timedelta(minutes=1)
+    old = spark.createDataFrame([("old", "default", "{}", T0 - dt.timedelta(days=1), 5, False), ("c1", "brief", "{}", T0, 7, False)], context.CACHE_COLUMNS)
+    write_version(context.cache_rows(old), base, 0, kind="base", buckets="bucket")
+    run = context.refresh_batch(base, lambda: insights, lambda: _batch(spark, []), as_of)
+    run(_batch(spark, [f"c{i}" for i in range(200)]), 0)
+    run(_batch(spark, ["c1", "c2"]), 1)
+    assert 1 <= len(list((tmp_path / "cache" / "version=000000000002").glob("bucket=*"))) <= 2
+
+    def rows():
+        return {(r.customer, r.context_type): (r.access_count, r.is_stale) for r in context.read_cache(spark, base, as_of).collect()}
+
+    before = rows()
+    assert before["old", "default"] == (5, True) and before["c1", "brief"] == (7, True) and before["c1", "default"] == (1, False)
+    assert before["c3", "default"] == (0, False) and len(before) == 202
+    context.compact_cache(spark, base)
+    assert rows() == before
+    assert len(retire_versions(spark, base)) == 3 and rows() == before
+    run(_batch(spark, ["c9"]), 2)
+    assert rows()["c9", "default"] == (1, False) and len(rows()) == 202
+    files = context.read_cache(spark, base, as_of, customer="c9").inputFiles()
+    assert files and len({f.split("bucket=")[1].split("/")[0] for f in files}) > 0
+    assert [r.access_count for r in context.read_cache(spark, base, as_of, customer="c9").collect()] == [1]
+
+
+def test_late_rows_merge_into_sketches_without_the_table(spark, tmp_path):
+    schema = "ts timestamp_ntz, customer string, activity string, revenue_impact double, feature_json string"
+    table, out, mark = str(tmp_path / "t"), str(tmp_path / "out"), str(tmp_path / "m")
+    r, every = random.Random(2), []
+    for day in (20, 21, 18, 20):
+        rows = [(T0 + dt.timedelta(days=day, minutes=r.randrange(90)), r.choice(["c", None]), f"x{r.randrange(30)}", 0.5,
+                 r.choice([None, f'{{"latency_ms":{r.randrange(500)},"success":true,"total_tokens":{r.randrange(9)}}}'])) for _ in range(150)]
+        every += rows
+        spark.createDataFrame(rows, schema).write.mode("append").parquet(table)
+        sketches.hourly_sketch_stream(spark.readStream.schema(schema).parquet(table), out, mark).awaitTermination()
+
+    def values(df):
+        return {(r.hour, r.customer): (r.total_activities, r.activity_types, r.p95_latency_ms, r.successful_operations, r.total_tokens) for r in df.collect()}
+
+    # fewer rows than a sketch keeps exactly
+    want = values(metrics.hourly_metrics(spark.createDataFrame(every, schema)))
+    assert all(v[1] == len({x[2] for x in every if x[0].replace(minute=0) == hour and x[1] == c}) for (hour, c), v in want.items())
+    assert values(sketches.read_hourly_sketches(spark, out)) == want
+    (tmp_path / "out" / "version=000000000099").mkdir()
+    sketches.compact_hourly_sketches(spark, out, retire=True)
+    assert values(sketches.read_hourly_sketches(spark, out)) == want
+    spark.createDataFrame(every[:9], schema).write.mode("append").parquet(table)
+    sketches.hourly_sketch_stream(spark.readStream.schema(schema).parquet(table), out, mark).awaitTermination()
+    assert sum(v[0] for v in values(sketches.read_hourly_sketches(spark, out)).values()) == 609
+    assert read_stream(spark, out + "/version=000000000005").count() <= 9
+
+
+def test_sketches_of_many_rows(spark):
+    rows = spark.range(200_000).selectExpr(
+        "timestamp_ntz'2024-01-01 00:30:00' AS ts", "'c' AS customer", "concat('x', id % 500) AS activity", "1.0D AS revenue_impact",
+        "concat('{\"latency_ms\":', (id * 7919) % 200000, '}') AS feature_json")
+    parts = [sketches.hourly_sketches(rows.where(F.col("activity").endswith(str(d)))) for d in range(10)]
+    merged = parts[0]
+    for part in parts[1:]:
+        merged = merged.unionByName(part)
+    row = sketches.measures(sketches.merge_sketches(merged)).first()
+    assert row.total_activities == 200_000 and abs(row.activity_types - 500) <= 15 and abs(row.p95_latency_ms - 190_000) <= 1_000
+    assert sketches.merge_sketches(merged).selectExpr("octet_length(latencies) + octet_length(activities)").first()[0] < 100_000

@@ -491,13 +491,15 @@ ENTRIES = f"""
  tool AS (SELECT customer, {t('tool_name')} AS key, COUNT(*) AS n, AVG({n('latency_ms')}) AS a, quantile_cont(CAST({n('latency_ms')} AS DOUBLE), 0.95) AS q
   FROM stream_v2 WHERE activity = 'tool_call' AND ts > {when(HOUR)} - INTERVAL 6 HOUR AND ts <= {when(HOUR)} AND {t('tool_name')} IS NOT NULL GROUP BY 1, 2)
 """
-add("a32_context_entries", "stream_v2 insight_atoms", ENTRIES + f"""
+ENTRY_ROWS = f"""
 SELECT customer, 'activities' AS section, key, n, NULL::VARCHAR AS text, NULL::DOUBLE AS confidence, NULL::VARCHAR AS artifact_id,
  NULL::TIMESTAMP AS valid_until, NULL::VARCHAR AS warehouse, NULL::TIMESTAMP AS ts, NULL::BIGINT AS place, NULL::DOUBLE AS avg_latency_ms,
  NULL::DOUBLE AS p95_latency_ms FROM act
 UNION ALL SELECT customer, 'insights', subject || ':' || metric, NULL, CAST(value AS VARCHAR), ROUND(confidence, 6), artifact_id, valid_until, NULL, NULL, NULL, NULL, NULL FROM ins
 UNION ALL SELECT customer, 'recent_queries', activity_id, {n('row_count')}, {t('sql')}, NULL, link, NULL, {t('warehouse')}, ts, r, NULL, NULL FROM qry WHERE r <= 10
-UNION ALL SELECT customer, 'tool_usage', key, n, NULL, NULL, NULL, NULL, NULL, NULL, NULL, ROUND(a, 6), ROUND(q, 6) FROM tool""")
+UNION ALL SELECT customer, 'tool_usage', key, n, NULL, NULL, NULL, NULL, NULL, NULL, NULL, ROUND(a, 6), ROUND(q, 6) FROM tool"""
+for _name in ("a32_context_entries", "a32c_context_pages", "t2b_cached_entries", "d4c_refreshed_entries"):
+    add(_name, "stream_v2 insight_atoms context_cache" if _name[0] == "d" else "stream_v2 insight_atoms", ENTRIES + ENTRY_ROWS)
 BLOB_SIZES = """
 , who AS (SELECT customer FROM act UNION SELECT customer FROM ins UNION SELECT customer FROM qry UNION SELECT customer FROM tool)
 """
@@ -757,10 +759,12 @@ SELECT activity_id, ts, activity, customer, anonymous_customer_id, '{{"session_i
  ROUND(tt * 0.000003::DOUBLE, 6) AS revenue_impact, CAST(NULL AS VARCHAR) AS link FROM c""")
 
 # ------------------------------------------------------------- streaming (T)
-add("t5_hourly_metrics_stream", "stream_v2", f"""
+HOURLY = f"""
 SELECT date_trunc('hour', ts) AS hour, customer, COUNT(*) AS total_activities, COUNT(DISTINCT activity) AS activity_types,
  quantile_disc({n('latency_ms')}, 0.95) AS p95_latency_ms, COUNT(*) FILTER ({b('success')}) AS successful_operations,
- CAST(SUM({n('total_tokens')}) AS BIGINT) AS total_tokens, ROUND(SUM(revenue_impact), 6) AS total_cost_credits FROM stream_v2 GROUP BY 1, 2""")
+ CAST(SUM({n('total_tokens')}) AS BIGINT) AS total_tokens, ROUND(SUM(revenue_impact), 6) AS total_cost_credits FROM stream_v2 GROUP BY 1, 2"""
+add("t5_hourly_metrics_stream", "stream_v2", HOURLY)
+add("t5b_hourly_sketch_stream", "stream_v2", HOURLY)
 add("t8_run_health", "job_runs", f"""
 SELECT job_name, state, scheduled_time, completed_time, date_diff('second', scheduled_time, completed_time) AS duration_seconds, error_message,
  CASE state WHEN 'SUCCEEDED' THEN 'healthy' WHEN 'FAILED' THEN 'critical' WHEN 'SKIPPED' THEN 'warning' ELSE 'unknown' END AS health_status

@@ -14,7 +14,7 @@ from ..session import pin, work_dir
 from ..sources import builders, ndjson
 from ..sources.fixtures import load
 from ..sources.tables import read_stream, write_result, write_stream
-from ..streaming import abandoned, context, ingest, metrics
+from ..streaming import abandoned, context, ingest, metrics, sketches
 
 DAY = "2024-01-31 00:00:00"
 HOUR = "2024-01-30 12:00:00"
@@ -342,15 +342,31 @@ def _(t):
     return read_stream(t.spark, f"{base}/table").drop("dt")
 
 
-@query("t2_context_stream")
-def _(t):
+def _refreshed(t):
+    """The cache after a run of the context stream, its version merged into a base."""
     base = t.work("context")
     context.context_stream(
         t.event_stream("stream_v2"), f"{base}/cache", f"{base}/checkpoint",
         lambda: t.insight_atoms, lambda: t.stream_v2, HOUR,
     ).awaitTermination()
-    out = context.read_cache(t.spark, f"{base}/cache")
-    return out.withColumn("has_blob", F.length("context_blob") > 2).drop("context_blob")
+    context.compact_cache(t.spark, f"{base}/cache", retire=True)
+    return context.read_cache(t.spark, f"{base}/cache", HOUR)
+
+
+@query("t2_context_stream")
+def _(t):
+    return _refreshed(t).withColumn("has_blob", F.length("context_blob") > 2).drop("context_blob")
+
+
+query("t2b_cached_entries")(lambda t: state.blob_entries(_refreshed(t)))
+query("d4c_refreshed_entries")(lambda t: state.blob_entries(state.refresh_context(
+    t.context_cache, state.context_blobs(t.stream_v2, t.insight_atoms, t.stream_v2, HOUR), HOUR)))
+
+
+@query("a32c_context_pages")
+def _(t):
+    pages = state.context_pages(state.context_entries(t.stream_v2, t.insight_atoms, t.stream_v2, HOUR), page_rows=5)
+    return pages.select("customer", F.inline("entries"))
 
 
 @query("t5_hourly_metrics_stream")
@@ -364,6 +380,14 @@ def _(t):
     return metrics.read_hourly_metrics(t.spark, f"{base}/hours")
 
 
+@query("t5b_hourly_sketch_stream")
+def _(t):
+    base = t.work("sketches")
+    sketches.hourly_sketch_stream(t.event_stream("stream_v2"), f"{base}/hours", f"{base}/checkpoint").awaitTermination()
+    sketches.compact_hourly_sketches(t.spark, f"{base}/hours", retire=True)
+    return sketches.read_hourly_sketches(t.spark, f"{base}/hours")
+
+
 query("t6_run_rollups")(lambda t: product.run_rollups(_teams(t), HOUR))
 query("t7_pending_lag")(lambda t: product.pending_lag(t.stream_v2, "2024-01-30 00:00:00", DAY))
 query("t8_run_health")(lambda t: product.run_health(t.job_runs, JOBS_AS_OF, hours=24 * 365 * 5))

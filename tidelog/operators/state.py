@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from .. import vocab
 from ..functions import bound, opt, payload_of, since, span, stable_id, trunc_ts, ts_diff
+from ..plans.prefix import running_number
 from ..plans.upsert import insert_if_absent, new_rows
 from .sessions import latest_per_customer
 
@@ -143,11 +144,50 @@ def context_blobs(
             F.to_json(F.struct(
                 "activities", "insights", "recent_queries", "tool_usage", now.alias("refreshed_at"),
                 ts_diff("millisecond", F.col("_newest"), now).alias("refresh_lag_ms"), F.lit(False).alias("is_stale"),
-            )).alias("context_blob"),
+            ), {"timestampNTZFormat": "yyyy-MM-dd'T'HH:mm:ss.SSSSSS"}).alias("context_blob"),
         )
     )
 
 
+ENTRY = ("section", "key", "n", "text", "confidence", "artifact_id", "valid_until", "warehouse", "ts", "place", "avg_latency_ms", "p95_latency_ms")
+
+
+def context_pages(entries: DataFrame, page_rows: int = 500) -> DataFrame:
+    """The entries of ``context_entries`` in pages (customer, page, entries) of ``page_rows`` at most, whatever a customer has.
+
+    Entries are numbered by a hash of their key, in 256 stretches of a customer, so no task holds all of a busy one.
+    """
+    rows = entries.withColumn("_h", F.xxhash64("section", "key")).select("customer", "_h", F.struct(*ENTRY).alias("entry"))
+    rows = rows.withColumns({"_section": F.col("entry.section"), "_key": F.col("entry.key")})
+    rows = running_number(rows, ["customer"], ["_h", "_section", "_key"], F.shiftright("_h", 56), "_no")
+    return rows.groupBy("customer", F.floor((F.col("_no") - 1) / page_rows).alias("page")).agg(
+        F.transform(F.array_sort(F.collect_list(F.struct("_no", "entry"))), lambda x: x["entry"]).alias("entries"))
+
+
+_BLOB = (
+    "activities map<string, bigint>, insights map<string, struct<value: string, confidence: double, artifact_id: string, valid_until: timestamp_ntz>>, "
+    "recent_queries array<struct<activity_id: string, ts: timestamp_ntz, sql: string, rows: bigint, artifact_id: string, warehouse: string>>, "
+    "tool_usage map<string, struct<count: bigint, avg_latency_ms: double, p95_latency_ms: double>>"
+)
+
+
+def blob_entries(blobs: DataFrame) -> DataFrame:
+    """The entries that context blobs hold, as rows like those of ``context_entries``."""
+    p = blobs.select("customer", F.from_json("context_blob", _BLOB).alias("p")).select("customer", "p.*")
+    activities = p.select("customer", F.explode("activities").alias("key", "n")).select("customer", F.lit("activities").alias("section"), "key", "n")
+    facts = p.select("customer", F.explode("insights").alias("key", "v")).select(
+        "customer", F.lit("insights").alias("section"), "key", F.col("v.value").alias("text"), "v.confidence", "v.artifact_id", "v.valid_until")
+    queries = p.select("customer", F.posexplode("recent_queries").alias("at", "v")).select(
+        "customer", F.lit("recent_queries").alias("section"), F.col("v.activity_id").alias("key"), F.col("v.rows").alias("n"),
+        F.col("v.sql").alias("text"), "v.artifact_id", "v.warehouse", "v.ts", (F.col("at") + 1).alias("place"))
+    tools = p.select("customer", F.explode("tool_usage").alias("key", "v")).select(
+        "customer", F.lit("tool_usage").alias("section"), "key", F.col("v.count").alias("n"), "v.avg_latency_ms", "v.p95_latency_ms")
+    rows = activities
+    for part in (facts, queries, tools):
+        rows = rows.unionByName(part, allowMissingColumns=True)
+    return rows
+
+
 def refresh_context(cache: DataFrame, blobs: DataFrame, as_of=None,
                     stale_after_s: int = vocab.CONTEXT_STALE_SECONDS) -> DataFrame:
     """New cache contents.

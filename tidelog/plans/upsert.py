@@ -44,23 +44,53 @@ def insert_if_absent(
     return target.unionByName(new_rows(target, source, key, order), allowMissingColumns=True)
 
 
-def write_version(df: DataFrame, base: str, version: int) -> str:
-    """Write ``df`` as one version of the table at ``base``."""
-    path = f"{base}/version={version:012d}"
-    df.write.mode("overwrite").parquet(path)
+def write_version(df: DataFrame, base: str, version: int, kind: str = "version", buckets: str | None = None) -> str:
+    """Write ``df`` as one version of the table at ``base``; ``kind`` "base" is for what all versions up to it amount to.
+
+    ``buckets`` names a column whose values become folders.
+    """
+    path = f"{base}/{kind}={version:012d}"
+    writer = df.write.mode("overwrite")
+    (writer.partitionBy(buckets) if buckets else writer).parquet(path)
     return path
 
 
-def complete_versions(spark: SparkSession, base: str) -> list[str]:
+def complete_versions(spark: SparkSession, base: str, kind: str = "version") -> list[str]:
     """Folders of the completely written versions, oldest first."""
-    pattern = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(f"{base}/version=*/_SUCCESS")
+    pattern = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(f"{base}/{kind}=*/_SUCCESS")
     found = pattern.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).globStatus(pattern)
     return sorted(status.getPath().getParent().toString() for status in found or [])
 
 
+def _number(path: str) -> int:
+    return int(path.rsplit("=", 1)[1])
+
+
 def latest_version(spark: SparkSession, base: str, below: int | None = None) -> str | None:
     """Folder of the newest completely written version (before ``below``), if any."""
-    names = complete_versions(spark, base)
-    if below is not None:
-        names = [n for n in names if int(n.rsplit("=", 1)[1]) < below]
+    names = [n for n in complete_versions(spark, base) if below is None or _number(n) < below]
     return names[-1] if names else None
+
+
+def merged_versions(spark: SparkSession, base: str) -> DataFrame | None:
+    """The rows of the newest base and of the versions after it, with their ``version``; None where there is nothing."""
+    bases = complete_versions(spark, base, "base")
+    since = _number(bases[-1]) if bases else -1
+    paths = bases[-1:] + [n for n in complete_versions(spark, base) if _number(n) > since]
+    parts = [spark.read.parquet(n).withColumn("version", F.lit(_number(n))) for n in paths]
+    rows = parts[0] if parts else None
+    for part in parts[1:]:
+        rows = rows.unionByName(part)
+    return rows
+
+
+def retire_versions(spark: SparkSession, base: str) -> list[str]:
+    """Remove the versions that the newest base stands for, and older bases; nobody may be reading them any more."""
+    bases = complete_versions(spark, base, "base")
+    if not bases:
+        return []
+    gone = bases[:-1] + [n for n in complete_versions(spark, base) if _number(n) <= _number(bases[-1])]
+    for name in gone:
+        path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(name)
+        path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
+    return gone

@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from .. import vocab
-from ..functions import between, payload_of, span, trunc_ts
+from ..functions import between, n_distinct, payload_of, span, trunc_ts
 from ..plans.upsert import complete_versions, keep_first, write_version
 
 
@@ -29,7 +29,7 @@ def hourly_metrics(stream: DataFrame, watermark: str | None = None) -> DataFrame
         rows.groupBy(F.window("at", "1 hour"), "customer")
         .agg(
             F.count("*").alias("total_activities"),
-            F.approx_count_distinct("activity").alias("activity_types"),
+            n_distinct("activity", approx=stream.isStreaming).alias("activity_types"),
             F.percentile_approx("latency", 0.95, 10_000).alias("p95_latency_ms"),
             F.count_if("success").alias("successful_operations"),
             F.sum("tokens").alias("total_tokens"),
