@@ -321,6 +321,25 @@ def test_nearest_of_ids_with_several_vectors(spark):
         assert sorted((x.query_id, x["rank"], x.vec_id, round(x.score, 9)) for x in got) == want
 
 
+def fits(edges, capacity, shards):
+    at = 0
+    for _ in range(shards):
+        at = max(e for e in edges if e <= at + capacity)
+    return at == edges[-1]
+
+
+def nearest_to_mean(edges, capacity, shards):
+    """The cuts with all edges at hand: nearest to the mean of what is left, where the rest still fits and no shard is empty."""
+    at, out = 0, []
+    for n in range(shards - 1, 0, -1):
+        ok = [e for e in edges if at < e <= at + capacity and sum(x > e for x in edges) >= n and fits([x - e for x in edges if x >= e], capacity, n)]
+        ok = ok or [min((e for e in edges if e > at), default=at)]
+        mean = at + -(-(edges[-1] - at) // (n + 1))
+        at = min(ok, key=lambda e: (abs(e - mean), e))
+        out.append(at)
+    return out
+
+
 @pytest.mark.parametrize("n, shards", [(300, 24), (900, 5), (10, 24), (1, 3)])
 def test_sharding(spark, monkeypatch, n, shards):
     monkeypatch.setattr(sharding, "CELLS", 3)
@@ -334,21 +353,19 @@ def test_sharding(spark, monkeypatch, n, shards):
     for _, t in rows:
         total[key[t or ""]] += len((t or "").encode()) + 8
 
-    def cuts(capacity):
-        out, full = [], 0
-        for k in sorted(total):
-            if total[k] > capacity:
-                return None
-            if full + total[k] > capacity:
-                out.append(k)
-                full = 0
-            full += total[k]
-        return out if len(out) < shards else None
-
-    capacity = next(c for c in range(max(total.values()), sum(total.values()) + 1) if cuts(c) is not None)
+    edges = [0]
+    for k in sorted(total):
+        edges.append(edges[-1] + total[k])
+    capacity = next(c for c in range(max(total.values()), edges[-1] + 1) if fits(edges, c, shards))
+    cuts = nearest_to_mean(edges, capacity, shards)
     got = shard_documents(docs, shards).collect()
-    want = sorted((low(i), len((t or "").encode()) + 8, sum(key[t or ""] >= c for c in cuts(capacity))) for i, t in rows)
+    place = dict(zip(sorted(total), edges))
+    want = sorted((low(i), len((t or "").encode()) + 8, sum(place[key[t or ""]] >= c for c in cuts)) for i, t in rows)
     assert sorted((low(x.doc_id), x.size, x.shard) for x in got) == want
+    sizes = Counter()
+    for x in got:
+        sizes[x.shard] += x.size
+    assert max(sizes.values()) == capacity and len(sizes) == min(shards, len(total))
     slots = defaultdict(list)
     for x in got:
         slots[x.shard].append(x.slot)
