@@ -8,6 +8,7 @@ import pyarrow as pa
 from pyspark.sql import functions as F
 
 from tidelog.llm import jaccard
+from tidelog.llm.components import components
 from tidelog.llm.jaccard import SIMILARITY, similarity_classes
 
 from .test_operators import DOCS, linked, words
@@ -23,7 +24,6 @@ def changed(r, base, edits):
 def test_buckets_of_several_groups_equal_all_pairs(spark, monkeypatch):
     # every bucket above four sets gets pivots, one group more than there are rounds for
     monkeypatch.setattr(jaccard, "BLOCK", 4)
-    monkeypatch.setattr(jaccard, "PIVOTS", 2)
     monkeypatch.setattr(jaccard, "DEPTH", 1)
     r = random.Random(11)
     bases = [words(r, 120).split() for _ in range(4)]
@@ -42,10 +42,14 @@ def test_edges_are_in_proportion_to_members(spark):
     sets = spark.createDataFrame([(i, bytearray(jaccard.signature(s))) for i, s in enumerate(
         jaccard.shingle_sets(pa.array(texts)))], "rid long, signature binary").repartition(8)
     large = sets.select(F.lit(7).cast("long").alias("path"), "rid")
-    labelled, edges = jaccard._pivoted(large, sets, SIMILARITY)
-    tiles = jaccard._labelled_tiles(jaccard.cut(labelled, "labelled"), sets)
-    assert labelled.count() == 3000 and edges.count() < 3000
-    assert tiles.mapInArrow(jaccard._agree(SIMILARITY), "a long, b long").count() <= 300
+    large = large.unionByName(sets.select(F.lit(8).cast("long").alias("path"), "rid").filter("rid % 2 = 0"))
+    edges = jaccard.cut(jaccard._pivot_edges(large, sets, SIMILARITY), "edges")
+    assert edges.count() <= 4500
+    labelled = jaccard.cut(jaccard._labelled(large, components(edges).withColumnRenamed("id", "rid")), "labelled")
+    # whoever agrees with the pivot is not compared again
+    assert labelled.filter("label = 0").count() <= 30
+    tiles = jaccard._labelled_tiles(labelled, sets)
+    assert tiles.mapInArrow(jaccard._agree(SIMILARITY), "a long, b long").count() <= 60
     assert (tiles.groupBy("path", "i", "j").count().agg({"count": "max"}).first()[0] or 0) <= 2 * jaccard.BLOCK + 200
 
 

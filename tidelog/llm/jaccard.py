@@ -9,8 +9,8 @@ coordinate, the same choice for all sets on the path; sets go to the bucket of e
 ``SPLIT`` are split by another sampled token, ``DEPTH`` levels deep at most.  A pair at the threshold shares a bucket of depth 1
 with chance 0.63 a run and one of depth 6 with 0.24, and the number of runs is taken so that the target recall holds there.
 *Brute force.*  Small buckets (each membership once) are compared pair by pair on all tokens.  In buckets that do not get small,
-groups of mutual near copies, all members are compared with a pivot first and get one edge to it where they agree; the rest
-gets a pivot of its own, and so on.  Members of different pivots, or of none, are compared in tiles of two blocks, so that
+groups of mutual near copies, all members are compared with a pivot first and get one edge to it where they agree.  Members that are
+not connected with the pivot by these edges, in whatever bucket, are then compared with all members, in tiles of two blocks, so that
 none is dropped, no task holds a whole bucket, and edges are in proportion to members.  Pairs that agree on three quarters of the threshold connect to candidate clusters.
 *Exact check.*  All pairs inside a cluster are compared on the full sets, again in tiles, which gives links, their number
 for each set, and edges that span them; pairs themselves are never written.  Classes are the components of links.
@@ -37,7 +37,6 @@ from .naming import spread_join
 
 SHINGLE, SIMILARITY, TOKENS, RECALL = 5, Fraction(4, 5), 64, 0.997
 BLOCK, SPLIT, DEPTH = 512, 4096, 6
-PIVOTS = 8  # rounds of pivots at most
 _PIECE = 1 << 14
 _SEEDS = mix(np.arange(1, 2 * TOKENS + 1, dtype=np.uint64) * np.uint64(0x9E3779B97F4A7C15))
 
@@ -164,35 +163,34 @@ def _with_pivot(similarity: Fraction):
     def run(it: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in it:
             agree = (_tokens(batch.column("signature")) == _tokens(batch.column("pivot_signature"))).sum(1) >= _least(similarity)
-            yield pa.RecordBatch.from_arrays([batch.column(c) for c in ("path", "rid", "pivot")] + [pa.array(agree)], ["path", "rid", "pivot", "agrees"])
+            yield batch.select(["pivot", "rid"]).filter(pa.array(agree))
 
     return run
 
 
-def _pivoted(large: DataFrame, tokens: DataFrame, similarity: Fraction) -> tuple[DataFrame, DataFrame]:
-    """Members of large buckets (path, rid) as (path, rid, label), and edges.
+def _pivot_edges(large: DataFrame, tokens: DataFrame, similarity: Fraction) -> DataFrame:
+    """Edges of the members of large buckets (path, rid) to their bucket's pivot, where they agree with it.
 
-    In each round every bucket's member of least hash among those without a label is its pivot; the members that agree with it
-    get one edge, to the pivot, and the round's number as label.  Members of a label are connected, so they need no comparison
-    with each other.  0 is for those that agree with no pivot.
+    The pivot is the member of least hash, whatever the path, so that a group that meets in path after path has the same one
+    there, and each of its members is compared with it once.
     """
-    rest, done, edges = cut(large.select("path", "rid"), "pivots"), [], []
-    for number in range(1, PIVOTS + 1):
-        sizes = rest.groupBy("path").agg(F.count("*").alias("count"), F.min(F.struct(F.xxhash64("path", "rid").alias("h"), "rid")).alias("p"))
-        pivots = sizes.filter(F.col("count") > BLOCK).select("path", "count", F.col("p.rid").alias("pivot"))
-        pivots = cut(pivots.join(tokens.select(F.col("rid").alias("pivot"), F.col("signature").alias("pivot_signature")), "pivot"), "pivots")
-        if pivots.isEmpty():
-            break
-        asked = spread_join(rest.join(tokens, "rid"), pivots, ["path"]).select("path", "rid", "signature", "pivot", "pivot_signature")
-        seen = cut(asked.mapInArrow(_with_pivot(similarity), "path long, rid long, pivot long, agrees boolean"), "pivots")
-        edges.append(seen.filter("agrees AND rid != pivot").select(F.col("pivot").alias("a"), F.col("rid").alias("b")))
-        done.append(seen.filter("agrees").select("path", "rid", F.lit(number).alias("label")))
-        # buckets that were small enough are through
-        done.append(rest.join(pivots.select("path"), "path", "left_anti").select("path", "rid", F.lit(0).alias("label")))
-        rest = cut(seen.filter("NOT agrees").select("path", "rid"), "pivots")
-    done.append(rest.select("path", "rid", F.lit(0).alias("label")))
-    edges.append(rest.select(F.col("rid").alias("a"), F.col("rid").alias("b")).limit(0))
-    return _union(done), _union(edges)
+    pivots = large.groupBy("path").agg(F.count("*").alias("count"), F.min(F.struct(F.xxhash64("rid").alias("h"), "rid")).alias("p"))
+    pivots = cut(pivots.select("path", "count", F.col("p.rid").alias("pivot")), "pivots")
+    pairs = cut(spread_join(large, pivots, ["path"]).filter("rid != pivot").select("pivot", "rid").distinct(), "pivot-pairs")
+    chosen = pairs.groupBy("pivot").agg(F.count("*").alias("count")).join(
+        tokens.select(F.col("rid").alias("pivot"), F.col("signature").alias("pivot_signature")), "pivot")
+    asked = spread_join(pairs, cut(chosen, "pivot-signatures"), ["pivot"]).join(tokens, "rid").select("pivot", "rid", "signature", "pivot_signature")
+    return asked.mapInArrow(_with_pivot(similarity), "a long, b long")
+
+
+def _labelled(large: DataFrame, clusters: DataFrame) -> DataFrame:
+    """(path, rid, root, label) of the buckets whose members are not connected yet; label 1 is for those that are connected
+    with the bucket's pivot, and so with each other."""
+    rows = cut(large.select("path", "rid").join(clusters, "rid", "left").withColumn("root", F.coalesce("root", "rid")), "rooted")
+    paths = rows.groupBy("path").agg(F.count("*").alias("count"), F.min_by("root", F.struct(F.xxhash64("rid"), "rid")).alias("pivot_root"),
+                                     (F.min("root") != F.max("root")).alias("mixed"))
+    paths = cut(paths.filter("mixed").drop("mixed"), "mixed")
+    return spread_join(rows, paths, ["path"]).select("path", "rid", "root", (F.col("root") == F.col("pivot_root")).cast("int").alias("label"))
 
 
 def _union(parts: list[DataFrame]) -> DataFrame:
@@ -214,8 +212,8 @@ def _labelled_tiles(members: DataFrame, tokens: DataFrame) -> DataFrame:
     others = F.flatten(F.transform("labels", lambda x: F.transform(
         F.sequence(F.lit(0), x["blocks"] - 1), lambda k: F.struct(x["label"].alias("label"), k.alias("block")))))
     rows = rows.withColumn("_other", F.explode(F.filter(others, lambda x: (x["label"] != F.col("label")) | (F.col("label") == 0))))
-    rows = rows.select("path", F.least("_own", "_other").alias("i"), F.greatest("_own", "_other").alias("j"), "label", "rid")
-    return rows.join(tokens, "rid").select("path", "i", "j", "label", "rid", "signature").repartition("path", "i", "j").sortWithinPartitions("path", "i", "j")
+    rows = rows.select("path", F.least("_own", "_other").alias("i"), F.greatest("_own", "_other").alias("j"), "root", "rid")
+    return rows.join(tokens, "rid").select("path", "i", "j", "root", "rid", "signature").repartition("path", "i", "j").sortWithinPartitions("path", "i", "j")
 
 
 def _agree(similarity: Fraction):
@@ -229,7 +227,7 @@ def _agree(similarity: Fraction):
             return x
 
         for group in _groups(it, 3):
-            label, rid = [x[3] for x in group], [x[4] for x in group]
+            root, rid = [x[3] for x in group], [x[4] for x in group]
             tokens = np.frombuffer(b"".join(x[5] for x in group), "<u4").reshape(-1, TOKENS)
             linked = np.empty((len(rid), len(rid)), bool)
             for low in range(0, len(rid), 64):
@@ -237,12 +235,12 @@ def _agree(similarity: Fraction):
                 for c in range(TOKENS):
                     same += tokens[low:low + 64, c, None] == tokens[None, :, c]
                 linked[low:low + 64] = same >= _least(similarity)
-            labels = np.array(label)
-            linked |= (labels[:, None] == labels[None, :]) & (labels > 0)
+            roots = np.array(root)
+            linked |= roots[:, None] == roots[None, :]
             first: dict[int, int] = {}
-            for x, of in zip(rid, label):
-                # members of one label are connected by their pivot
-                if of and (one := top(first.setdefault(of, x))) != (other := top(x)):
+            for x, of in zip(rid, root):
+                # sets of one root are connected already
+                if (one := top(first.setdefault(of, x))) != (other := top(x)):
                     above[other] = one
             for x, y in enumerate(_stars(linked)):
                 if x != y and (one := top(rid[y])) != (other := top(rid[x])):
@@ -345,11 +343,14 @@ def similarity_classes(docs: DataFrame, similarity: Fraction = SIMILARITY, recal
     small = small.select("members", F.xxhash64("members").alias("path")).groupBy("path").agg(F.first("members").alias("members"))
     small = small.select("path", F.explode("members").alias("rid")).join(tokens, "rid")
     one = F.struct(F.lit(0).alias("label"), F.lit(0).alias("block"))
-    small = small.select("path", one.alias("i"), one.alias("j"), F.lit(0).alias("label"), "rid", "signature")
+    small = small.select("path", one.alias("i"), one.alias("j"), F.col("rid").alias("root"), "rid", "signature")
     small = small.repartition("path", "i", "j").sortWithinPartitions("path", "i", "j")
-    labelled, pivot_edges = _pivoted(buckets.filter(F.col("count") > BLOCK), tokens, similarity)
-    near = small.mapInArrow(_agree(similarity), "a long, b long").unionByName(pivot_edges).unionByName(
-        _labelled_tiles(cut(labelled, "labelled"), tokens).mapInArrow(_agree(similarity), "a long, b long"))
+    near = small.mapInArrow(_agree(similarity), "a long, b long")
+    large = buckets.filter(F.col("count") > BLOCK).select("path", "rid")
+    if not large.isEmpty():
+        near = cut(near.unionByName(_pivot_edges(large, tokens, similarity)), "near")
+        labelled = cut(_labelled(large, components(near).withColumnRenamed("id", "rid")), "labelled")
+        near = near.unionByName(_labelled_tiles(labelled, tokens).mapInArrow(_agree(similarity), "a long, b long"))
     clusters = components(near).withColumnRenamed("id", "rid")
 
     members = cut(clusters.join(reps.select("rid", "name", "mult"), "rid"), "clusters")
