@@ -15,7 +15,8 @@
 An anchor with more than ``hot`` occurrences is expanded into single windows, which are dealt by all their bytes; equal
 ones are merged in the run before, so however common a passage is, a task receives one entry per run.
 
-Nulls are empty texts.  Rows with equal doc_id and text are two occurrences.  A text below the window length is kept whole.
+Nulls are empty texts.  Rows with equal doc_id and text are two occurrences: they are merged to one row before the anchors, and each goes
+whole where it has a window.  A text below the window length is kept whole.  An empty table gives an empty result.
 """
 
 from __future__ import annotations
@@ -31,9 +32,11 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import _SPAN, batches, mix, powers, prefix_sums, row_key, text_buffer
+from .common import _SPAN, batches, cut, mix, powers, prefix_sums, row_key, text_buffer
+from .naming import spread_join
 
 WINDOW, CORE, HOT = 200, 50, 20_000
+PART_BYTES, _AT_ONCE = 16 << 20, 512
 _FIELDS = "part int, k1 long, k2 long, spans array<int>, lcp array<int>, tail array<binary>, left array<binary>, " \
           "d1 array<long>, d2 array<long>, pos array<int>"
 _ARROW = pa.schema([
@@ -237,13 +240,19 @@ def repeated(merged: Iterator[tuple], least: int) -> Iterator[tuple[int, int, in
         yield from solve()
 
 
+def _entries(columns: list[pa.Array]) -> Iterator[tuple]:
+    """Entries of a run, some at a time as Python values; the run itself stays an Arrow buffer."""
+    for low in range(0, len(columns[0]), _AT_ONCE):
+        yield from zip(*(c.slice(low, _AT_ONCE).to_pylist() for c in columns))
+
+
 def _merge(it: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     def out(rows: list[tuple]) -> pa.RecordBatch:
         return pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(zip(*rows), _SPANS)], schema=_SPANS)
 
     def solved(part: int, runs: list) -> Iterator[tuple]:
         starts = defaultdict(list)
-        for k1, k2, s in repeated(merge_runs([decode_run(zip(*r)) for r in runs]), WINDOW if part % 2 else CORE):
+        for k1, k2, s in repeated(merge_runs([decode_run(_entries(r)) for r in runs]), WINDOW if part % 2 else CORE):
             starts[k1, k2].append(s)
         for (k1, k2), found in starts.items():
             s = np.unique(np.array(found))
@@ -253,15 +262,15 @@ def _merge(it: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
     part, runs = None, []
     for batch in it:
-        rows = []
-        for row in zip(*(batch.column(c).to_pylist() for c in _ARROW.names)):
-            if row[3] is not None:
-                rows.append(row[1:4])
+        rows, columns = [], [batch.column(c) for c in _ARROW.names]
+        for i, of in enumerate(columns[0].to_pylist()):
+            if columns[3][i].is_valid:
+                rows.append(tuple(c[i].as_py() for c in columns[1:4]))
                 continue
-            if row[0] != part:
+            if of != part:
                 rows += solved(part, runs) if runs else []
-                part, runs = row[0], []
-            runs.append(row[4:])
+                part, runs = of, []
+            runs.append([c[i].values for c in columns[4:]])
         if rows:
             yield out(rows)
     if runs and (rows := list(solved(part, runs))):
@@ -311,19 +320,35 @@ def remove_repeats(docs: DataFrame, carry: tuple[str, ...] = (), texts: bool = F
     kept (the bytes that stay) and the columns ``carry``.  With ``texts``, kept is a string, without the bytes of characters
     that a removed run has cut.
     """
-    parts = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     names = {f"carry_{i}": c for i, c in enumerate(carry)}
-    keyed = docs.select(*row_key(), F.col("doc_id").cast("long").alias("doc_id"), "text", *(F.col(c).alias(n) for n, c in names.items()))
+    rows = docs.select(*row_key(), F.col("doc_id").cast("long").alias("doc_id"), "text", *(F.col(c).alias(n) for n, c in names.items()))
+    found = cut(rows.groupBy("k1", "k2").agg(F.count("*").alias("count"), F.max(F.octet_length("text")).alias("bytes")), "rows")
+    # a part is what a task merges: by the bytes that there are, whatever the session's setting
+    total = found.agg(F.sum("bytes")).first()[0] or 0
+    parts = max(int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions")), -(-total // PART_BYTES))
+    copied = found.filter("count > 1").select("k1", "k2", "count")
+    again = not copied.isEmpty()
+    keyed = rows.join(copied, ["k1", "k2"], "left_anti") if again else rows
     slim = keyed.select("k1", "k2", "text")
+    if again:
+        # a repeated row takes part once; all of it goes where it has a window
+        copies = spread_join(rows, copied, ["k1", "k2"]).drop("count")
+        once = copies.groupBy("k1", "k2").agg(F.first("text").alias("text"))
+        slim = slim.unionByName(once)
     counts = slim.select("text").mapInArrow(_anchor_counts, "h long, n long").groupBy("h").agg(F.sum("n").alias("n")).filter("n > 1")
-    rows = slim.mapInArrow(_anchor_rows, "h long, k1 long, k2 long, packed long, more array<long>").join(counts, "h")
-    found = rows.groupBy("k1", "k2").agg(F.collect_list(F.struct("packed", "more", "n")).alias("found"))
+    anchored = slim.mapInArrow(_anchor_rows, "h long, k1 long, k2 long, packed long, more array<long>").join(counts, "h")
+    anchored = anchored.groupBy("k1", "k2").agg(F.collect_list(F.struct("packed", "more", "n")).alias("found"))
     # both joins take all columns of ``keyed``, so that its texts are shuffled once
-    runs = keyed.join(found, ["k1", "k2"]).mapInArrow(_runs(parts, hot), _FIELDS)
+    source = slim if again else keyed
+    runs = source.join(anchored, ["k1", "k2"]).mapInArrow(_runs(parts, hot), _FIELDS)
     spans = runs.repartition("part").sortWithinPartitions("part").mapInArrow(_merge, "k1 long, k2 long, spans array<int>")
     spans = spans.groupBy("k1", "k2").agg(F.flatten(F.collect_list("spans")).alias("spans"))
     kinds = {f.name: f.dataType.simpleString() for f in docs.schema.fields}
     schema = "doc_id long, n_bytes long, n_removed long, n_spans long, kept_sha256 string, removed array<int>, kept " + ("string" if texts else "binary") \
         + "".join(f", {n} {kinds[c]}" for n, c in names.items())
-    out = keyed.join(spans, ["k1", "k2"], "left").mapInArrow(_remove(texts), schema)
-    return out.withColumnsRenamed(names)
+    spanned = keyed.join(spans, ["k1", "k2"], "left")
+    if again:
+        size = F.octet_length("text").cast("int")
+        spanned = spanned.unionByName(copies.withColumn("spans", F.when(size >= WINDOW, F.array(F.lit(0), size))))
+    return spanned.mapInArrow(_remove(texts), schema).select(
+        "doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256", "removed", "kept", *(F.col(n).alias(c) for n, c in names.items()))
