@@ -39,7 +39,7 @@ def features(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     """(text numbers, features), each pair once, by text."""
     data, at = text_buffer(column)
     n, mask = len(at) - 1, np.uint64((1 << BITS) - 1)
-    found, count, distinct = [np.empty(0, np.int64)], np.zeros(n, np.int64), np.zeros(n, np.int64)
+    found, whole, count = [np.empty(0, np.int64)], [np.empty(0, np.int64)], np.zeros(n, np.int64)
     for h, text, start, end, sums in words(data, at):
         heads = [span_hashes(sums, start, np.minimum(start + k, end)) for k in HEADS]
         tail = span_hashes(sums, np.maximum(end - 2, start), end)
@@ -48,7 +48,9 @@ def features(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
             f = (mix(values + np.uint64(salt)) & mask).astype(np.int64)
             found.append(np.unique(key | f))
         count += np.bincount(text, minlength=n)
-        distinct += np.bincount(found[-1] >> (BITS + 1), minlength=n)
+        whole.append(found[-1])
+    # a text may go on in the next stretch: its words are counted once
+    distinct = np.bincount(np.unique(np.concatenate(whole)) >> (BITS + 1), minlength=n)
     share = np.clip(np.log2(np.maximum(count, 1) / np.maximum(distinct, 1)) * 2, 0, REPEATS - 1).astype(np.int64)
     found.append((np.arange(n)[count > 0] << (BITS + 1)) | ((1 << BITS) + share[count > 0]))
     pairs = np.unique(np.concatenate(found))
