@@ -21,7 +21,7 @@ from tidelog.llm.jaccard import DEPTH, RECALL, keep_first, n_runs, shingle_sets,
 from tidelog.llm.licenses import RESERVED, TEMPLATES, TEXTS, scan_licenses
 from tidelog.llm.mixing import by_position, mix_sources
 from tidelog.llm.nearest import nearest
-from tidelog.llm.ordinal import classify, fit
+from tidelog.llm.ordinal import classify, features, fit
 from tidelog.llm.rules import quality_rules
 from tidelog.llm.sharding import shard_documents
 from tidelog.llm.suffixes import merge_runs, remove_repeats
@@ -263,10 +263,13 @@ furnished to do so, subject to the following conditions:"""
     got = {x.doc_id: (x.license, x.license_line, x.n_licenses, x.permissive) for x in scan_licenses(docs).collect()}
     assert got == {
         0: ("GPL-3.0", 2, 1, False), 1: ("MIT", 1, 1, True), 2: ("MIT", 4, 1, True), 3: (None, None, 0, None), 4: ("MIT", 1, 2, False),
-        5: ("MIT", 2, 1, True), 6: (None, None, 0, None), 7: ("CC-BY-NC-4.0", 1, 2, False), 8: (None, None, 0, None)}
-    one = scan_licenses(docs, (*TEMPLATES, RESERVED)).filter("doc_id = 6").first()
-    assert (one.license, one.permissive) == ("proprietary", False)
+        5: ("MIT", 2, 1, True), 6: ("proprietary", 1, 1, False), 7: ("CC-BY-NC-4.0", 1, 2, False), 8: (None, None, 0, None)}
+    assert scan_licenses(docs, TEMPLATES).filter("doc_id = 6").first().license is None
+    bsd = f"Copyright (c) 2020, A. Nyone\nAll rights reserved.\n{TEXTS[7][2]}"
+    x = scan_licenses(spark.createDataFrame([(1, bsd), (2, f"{filler} All rights reserved. {filler}")], "doc_id long, text string")).collect()
+    assert {(r.doc_id, r.license, r.n_licenses, r.permissive) for r in x} == {(1, "BSD-3-Clause", 2, True), (2, "proprietary", 1, False)}
     every = (*TEMPLATES, *TEXTS)
+    assert RESERVED[1] is None
     docs = spark.createDataFrame([(i, f"{filler} {t[2]} {filler}") for i, t in enumerate(every)], "doc_id int, text string")
     for x in scan_licenses(docs).collect():
         assert (x.license, x.dice, x.n_licenses, x.permissive) == (every[x.doc_id][0], 1.0, 1, every[x.doc_id][1])
@@ -405,6 +408,13 @@ def test_ordinal_fit():
     assert fit(np.zeros(5, np.int64), lists[:5]) is None
 
 
+def test_ordinal_features_do_not_depend_on_the_place_in_a_batch():
+    r = random.Random(3)
+    text = words(r, 400)
+    first, *others = [tuple(feature[number == i]) for number, feature in [features(pa.array([text] * 1200))] for i in range(1200)]
+    assert all(x == first for x in others)
+
+
 def test_ordinal_held_out(spark):
     docs = spark.read.parquet("/root/testdata/sf0.1/documents.parquet")
     labels = spark.read.parquet("/root/testdata/sf0.1/labels.parquet").select(

@@ -57,18 +57,19 @@ TEXTS = (
     ("MPL-2.0", False, 'Mozilla Public License Version 2.0 1. Definitions 1.1. "Contributor" means each individual or legal entity that creates, contributes to the creation of, or owns Covered Software.'),
     ("CC0-1.0", True, "Creative Commons Legal Code CC0 1.0 Universal CREATIVE COMMONS CORPORATION IS NOT A LAW FIRM AND DOES NOT PROVIDE LEGAL SERVICES"),
 )
-#: Not a default, as the SQL of the registered query has no such template.
-RESERVED = ("proprietary", False, "All rights reserved.")
+#: A notice that grants nothing, but that permissive licenses carry too: it comes after all others, and says that a text is not
+#: permissive only where nothing else is found.
+RESERVED = ("proprietary", None, "All rights reserved.")
 
 
 @dataclass(frozen=True)
 class Template:
     name: str
-    permissive: bool
+    permissive: bool | None  # None: of no consequence beside another license
     bigrams: tuple[str, ...]
 
     @classmethod
-    def of(cls, name: str, permissive: bool, notice: str) -> Template:
+    def of(cls, name: str, permissive: bool | None, notice: str) -> Template:
         words = re.sub("[^a-z0-9]+", " ", notice.lower()).split()
         return cls(name, permissive, tuple(dict.fromkeys(f"{a} {b}" for a, b in zip(words, words[1:]))))
 
@@ -90,12 +91,12 @@ def _words(unit: Column) -> Column:
     return F.split(F.btrim(F.regexp_replace(F.lower(unit), "[^a-z0-9]+", " ")), " ")
 
 
-def _best(unit: Column, place: Column, templates: Sequence[Template], dice: float) -> Column:
+def _best(unit: Column, place: Column, templates: Sequence[tuple[int, Template]], dice: float) -> Column:
     """The unit's best match: (dice, -template, -place, template), or null."""
     def match(bigrams: Column) -> Column:
         n = F.size(bigrams)
         found = []
-        for number, t in enumerate(templates):
+        for number, t in templates:
             low, high = t.sizes(dice)
             value = 2.0 * F.size(F.array_intersect(bigrams, F.array(*map(F.lit, t.bigrams)))) / (n + len(t.bigrams))
             found.append(F.when((n >= low) & (n <= high), F.struct(
@@ -157,29 +158,33 @@ def _stretches(text: Column, units: Column, templates: Sequence[Template], dice:
     return F.transform(left, lambda x: F.struct(x.dice.alias("dice"), x.template.alias("template"), x.place.alias("place")))
 
 
-def scan_licenses(docs: DataFrame, templates: Sequence[tuple[str, bool, str]] = TEMPLATES, dice: float = DICE, texts: Sequence[tuple[str, bool, str]] = TEXTS) -> DataFrame:
+def scan_licenses(docs: DataFrame, templates: Sequence[tuple[str, bool | None, str]] = (*TEMPLATES, RESERVED), dice: float = DICE,
+                  texts: Sequence[tuple[str, bool | None, str]] = TEXTS) -> DataFrame:
     """``docs`` with license (the best one's name), dice, license_line (0: the whole text, else a line from 1), n_licenses (units
-    that match a template) and permissive (null without license, false if any unit matches a license that is not).
+    that match a template) and permissive (null without license, false if any unit matches a license that is not, or if only
+    notices without consequence match).
 
-    ``templates`` are compared with all units, ``texts`` with stretches only."""
+    ``templates`` are compared with all units, ``texts`` with stretches only.  Ties go to templates, then texts, then what is without
+    consequence."""
     mine = ("license", "dice", "license_line", "n_licenses", "permissive")
-    lined = [Template.of(*t) for t in templates]
-    least = min(t.sizes(dice)[0] for t in lined)
+    every = sorted([(t, True) for t in templates] + [(t, False) for t in texts], key=lambda x: x[0][1] is None)
+    known = [Template.of(*t) for t, _ in every]
+    lined = [(i, known[i]) for i, (_, is_lined) in enumerate(every) if is_lined]
+    least = min(t.sizes(dice)[0] for _, t in lined)
     text = F.coalesce(F.col("text"), F.lit(""))
     lines = F.transform(F.split(text, "\n"), lambda x, i: F.struct(x.alias("unit"), (i + 1).alias("place")))
     whole = F.when(F.instr(text, "\n") > 0, F.array(F.struct(text.alias("unit"), F.lit(0).alias("place")))).otherwise(F.array())
     # n bigrams need n + 1 words, and so 2 * n + 1 characters
     units = F.filter(F.concat(whole, lines), lambda x: F.length(x.unit) >= 2 * least + 1)
     found = F.filter(F.transform(units, lambda x: _best(x.unit, x.place, lined, dice)), lambda x: x.isNotNull())
-    known = lined + [Template.of(*t) for t in texts]
     found = let(found, lambda x: F.concat(x, _stretches(text, x, known, dice)))
     none = F.array().cast("array<struct<dice:double,template:int,place:int>>")
     found = F.when(_telling(text, known, dice), found).otherwise(none)
     names = F.array(*(F.lit(t.name) for t in known))
-    strict = [F.lit(-i) for i, t in enumerate(known) if not t.permissive]
+    strict, free = ([F.lit(-i) for i, t in enumerate(known) if t.permissive is kind] for kind in (False, True))
     rows = docs.drop(*mine).withColumn("_found", found).withColumn("_best", F.array_max("_found"))
     return rows.withColumns({
         "license": F.get(names, -F.col("_best.template")), "dice": F.col("_best.dice"), "license_line": -F.col("_best.place"),
         "n_licenses": F.size("_found"),
-        "permissive": F.when(F.col("_best").isNotNull(), ~F.exists("_found", lambda x: x.template.isin(*strict)) if strict else F.lit(True)),
+        "permissive": F.when(F.col("_best").isNotNull(), F.exists("_found", lambda x: x.template.isin(*free)) & ~F.exists("_found", lambda x: x.template.isin(*strict))),
     }).select(*(c for c in docs.columns if c not in mine), *mine)

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from .licenses import DICE, TEMPLATES
+from .licenses import DICE, RESERVED, TEMPLATES
 from .rules import STOP_WORDS
 
 _WORDS = r"regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+')"
@@ -21,7 +21,7 @@ _NORMAL = "string_split(trim(regexp_replace(lower(unit), '[^a-z0-9]+', ' ', 'g')
 _LICENSE = f"""
 WITH templates AS (
   SELECT *, {_bigrams('w')} AS t FROM (
-    SELECT *, {_NORMAL} AS w FROM (VALUES {', '.join(f"({i}, {_quoted(n)}, {str(p).lower()}, {_quoted(t)})" for i, (n, p, t) in enumerate(TEMPLATES))}) v(number, name, free, unit))),
+    SELECT *, {_NORMAL} AS w FROM (VALUES {', '.join(f"({i}, {_quoted(n)}, {'null' if p is None else str(p).lower()}, {_quoted(t)})" for i, (n, p, t) in enumerate((*TEMPLATES, RESERVED)))}) v(number, name, free, unit))),
 units AS (
   SELECT doc_id, text AS unit, 0 AS place FROM documents WHERE contains(text, chr(10))
   UNION ALL
@@ -36,7 +36,7 @@ best AS (
 found AS (
   SELECT doc_id, arg_max(struct_pack(n := m.n, d := m.d, p := place), (m.d, -m.k, -place)) AS x, count(*) AS c, bool_and(m.f) AS free
   FROM best GROUP BY doc_id)
-SELECT d.doc_id, x.n AS license, round(x.d::DOUBLE, 9) AS dice, x.p::INTEGER AS license_line, coalesce(c, 0)::INTEGER AS n_licenses, free AS permissive
+SELECT d.doc_id, x.n AS license, round(x.d::DOUBLE, 9) AS dice, x.p::INTEGER AS license_line, coalesce(c, 0)::INTEGER AS n_licenses, CASE WHEN c > 0 THEN coalesce(free, false) END AS permissive
 FROM documents d LEFT JOIN found USING (doc_id)
 """
 
