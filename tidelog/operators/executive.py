@@ -1,7 +1,8 @@
 """Company-level measures over the first-generation stream.
 
 ``approx=True`` replaces exact distinct counts by sketches of a few kilobytes,
-which are combined map side.
+which are combined map side.  Exact ones count over partial rows: raw rows are first added up by what is to be
+counted (sessions, users, days and the like, of which many rows share one combination), and only these sums are copied for each distinct count.
 """
 
 from __future__ import annotations
@@ -10,6 +11,7 @@ from pyspark.sql import DataFrame, Window, functions as F
 
 from .. import vocab
 from ..functions import bound, day_of, like_prefix, n_distinct, payload_of, pct, since, span, steady_round, trunc_ts, ts_diff
+from ..plans.partial import deviation, mean, partial, total
 
 
 def _of(activity: str):
@@ -27,20 +29,24 @@ def executive_summary(stream: DataFrame, as_of=None, approx: bool = False) -> Da
         p.text("project_path").alias("project"), p.text("git_branch").alias("branch"),
         p.whole("duration_ms").alias("ms"), p.whole("tokens_used").alias("tokens"),
     )
-    return typed.agg(
+    rows = partial(typed, ("customer", "anonymous_customer_id", "day", "project", "branch"), {
+        "n": F.count("*"), "tools": _of(vocab.TOOL_CALL), "files": _of(vocab.FILE_OPERATION), "errors": _of(vocab.ERROR),
+        "cost": F.sum("revenue_impact"), "costed": F.count("revenue_impact"), "ms_sum": F.sum("ms"), "ms_n": F.count("ms"), "ms_max": F.max("ms"),
+        "tokens": F.sum("tokens")})
+    return rows.agg(
         n_distinct("customer", approx).alias("total_sessions"),
         n_distinct("anonymous_customer_id", approx).alias("unique_users"),
-        F.count("*").alias("total_activities"),
-        _of(vocab.TOOL_CALL).alias("tool_executions"),
-        _of(vocab.FILE_OPERATION).alias("file_operations"),
-        _of(vocab.ERROR).alias("errors_encountered"),
-        steady_round(F.sum("revenue_impact"), 6).alias("total_cost_usd"),
-        steady_round(F.avg("revenue_impact"), 8).alias("avg_cost_per_activity"),
+        total("n").alias("total_activities"),
+        total("tools").alias("tool_executions"),
+        total("files").alias("file_operations"),
+        total("errors").alias("errors_encountered"),
+        steady_round(F.sum("cost"), 6).alias("total_cost_usd"),
+        steady_round(mean("cost", "costed"), 8).alias("avg_cost_per_activity"),
         n_distinct("day", approx).alias("days_active"),
         n_distinct("project", approx).alias("projects_touched"),
         n_distinct("branch", approx).alias("git_branches_worked"),
-        steady_round(F.avg("ms"), 2).alias("avg_response_time_ms"),
-        F.max("ms").alias("max_response_time_ms"),
+        steady_round(mean("ms_sum", "ms_n"), 2).alias("avg_response_time_ms"),
+        F.max("ms_max").alias("max_response_time_ms"),
         F.sum("tokens").alias("total_tokens_consumed"),
     ).select(today.alias("report_date"), "*")
 
@@ -54,10 +60,11 @@ def user_adoption(stream: DataFrame, approx: bool = False, user_list: bool = Tru
     p = payload_of(stream.where(like_prefix("activity", vocab.STREAM_PREFIX)), "tool_name")
     typed = p.df.select(trunc_ts("day", "ts").alias("activity_date"), "anonymous_customer_id", "customer",
                         p.text("tool_name").alias("tool"))
-    days = typed.groupBy("activity_date").agg(
+    rows = partial(typed, ("activity_date", "anonymous_customer_id", "customer", "tool"), {"n": F.count("*")})
+    days = rows.groupBy("activity_date").agg(
         n_distinct("anonymous_customer_id", approx).alias("daily_active_users"),
         n_distinct("customer", approx).alias("daily_sessions"),
-        F.count("*").alias("daily_activities"),
+        total("n").alias("daily_activities"),
         n_distinct("tool", approx).alias("unique_tools_used"),
     )
     if user_list:
@@ -93,23 +100,28 @@ def tool_usage(stream: DataFrame, approx: bool = False) -> DataFrame:
         p.whole("duration_ms").alias("ms"), p.whole("tokens_used").alias("tokens"),
         p.text("result_type").alias("result"),
     )
+    square = F.col("ms").cast("decimal(19,0)") * F.col("ms").cast("decimal(19,0)")
+    rows = partial(typed, ("tool_name", "customer", "anonymous_customer_id"), {
+        "n": F.count("*"), "ms_sum": F.sum("ms"), "ms_n": F.count("ms"), "ms_squares": F.sum(square), "ms_min": F.min("ms"), "ms_max": F.max("ms"),
+        "tokens": F.sum("tokens"), "tokens_n": F.count("tokens"), "good": F.count_if(F.col("result") == "success"),
+        "cost": F.sum("revenue_impact"), "costed": F.count("revenue_impact"), "first": F.min("ts"), "last": F.max("ts")})
     return (
-        typed.groupBy("tool_name")
+        rows.groupBy("tool_name")
         .agg(
-            F.count("*").alias("usage_count"),
+            total("n").alias("usage_count"),
             n_distinct("customer", approx).alias("unique_sessions"),
             n_distinct("anonymous_customer_id", approx).alias("unique_users"),
-            steady_round(F.avg("ms"), 2).alias("avg_duration_ms"),
-            F.min("ms").alias("min_duration_ms"),
-            F.max("ms").alias("max_duration_ms"),
-            F.round(F.stddev("ms"), 2).alias("stddev_duration_ms"),
+            steady_round(mean("ms_sum", "ms_n"), 2).alias("avg_duration_ms"),
+            F.min("ms_min").alias("min_duration_ms"),
+            F.max("ms_max").alias("max_duration_ms"),
+            F.round(deviation("ms_sum", "ms_squares", "ms_n"), 2).alias("stddev_duration_ms"),
             F.sum("tokens").alias("total_tokens"),
-            steady_round(F.avg("tokens"), 2).alias("avg_tokens_per_call"),
-            F.count_if(F.col("result") == "success").alias("successful_calls"),
-            F.sum("revenue_impact").alias("total_cost"),
-            F.avg("revenue_impact").alias("avg_cost_per_call"),
-            F.min("ts").alias("first_used"),
-            F.max("ts").alias("last_used"),
+            steady_round(mean("tokens", "tokens_n"), 2).alias("avg_tokens_per_call"),
+            total("good").alias("successful_calls"),
+            F.sum("cost").alias("total_cost"),
+            mean("cost", "costed").alias("avg_cost_per_call"),
+            F.min("first").alias("first_used"),
+            F.max("last").alias("last_used"),
         )
         .where(F.col("tool_name").isNotNull())
         .select(
@@ -148,19 +160,22 @@ def project_activity(stream: DataFrame, approx: bool = False) -> DataFrame:
         "anonymous_customer_id", "activity", "ts", "revenue_impact", p.text("file_path").alias("file"),
         p.whole("lines_affected").alias("lines"),
     )
+    rows = partial(typed, ("project_path", "git_branch", "customer", "anonymous_customer_id", "file"), {
+        "n": F.count("*"), "tools": _of(vocab.TOOL_CALL), "files": _of(vocab.FILE_OPERATION), "lines": F.sum("lines"), "first": F.min("ts"), "last": F.max("ts"),
+        "cost": F.sum("revenue_impact")})
     return (
-        typed.groupBy("project_path", "git_branch")
+        rows.groupBy("project_path", "git_branch")
         .agg(
             n_distinct("customer", approx).alias("sessions"),
             n_distinct("anonymous_customer_id", approx).alias("users"),
-            F.count("*").alias("total_activities"),
-            _of(vocab.TOOL_CALL).alias("tool_calls"),
-            _of(vocab.FILE_OPERATION).alias("file_operations"),
+            total("n").alias("total_activities"),
+            total("tools").alias("tool_calls"),
+            total("files").alias("file_operations"),
             n_distinct("file", approx).alias("files_touched"),
             F.sum("lines").alias("total_lines_modified"),
-            F.min("ts").alias("first_activity"),
-            F.max("ts").alias("last_activity"),
-            F.sum("revenue_impact").alias("project_cost"),
+            F.min("first").alias("first_activity"),
+            F.max("last").alias("last_activity"),
+            F.sum("cost").alias("project_cost"),
         )
         .where(F.col("project_path").isNotNull())
         .withColumn("project_age_days", ts_diff("day", F.col("first_activity"), F.col("last_activity")))

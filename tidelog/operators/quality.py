@@ -7,7 +7,7 @@ from collections.abc import Mapping
 from pyspark.sql import Column, DataFrame, functions as F, types as T
 
 from .. import vocab
-from ..functions import bound, since, span, stable_id
+from ..functions import bound, let, since, span, stable_id
 
 
 def json_kind(value: Column) -> Column:
@@ -139,47 +139,52 @@ def validate_events(stream: DataFrame, contracts: Mapping[str, tuple] = vocab.CO
                     families: Mapping[str, tuple] = vocab.FAMILY_ACTIVITIES) -> DataFrame:
     """Contract violations: one row per event, field and kind of violation.
 
-    The payload is parsed once per event into one variant per declared field, each
-    field's type is named once, and only violations become rows.
+    An event is dispatched by its family to one parse of that family's fields, a variant each, whose
+    types are named once; only violations become rows.
     """
-    fields = sorted({field for _, types, _ in contracts.values() for field in types})
-    listed = sorted({field for _, _, allowed in contracts.values() for field in allowed})
     family = F.lit(None).cast("string")
     for name, activities in families.items():
         family = F.when(F.col("activity").isin(*activities), name).otherwise(family)
-    schema = T.StructType([T.StructField(f, T.VariantType()) for f in fields])
-    parsed = stream.select(
-        "activity_id", "activity", family.alias("family"), F.from_json("feature_json", schema).alias("p")
-    ).where(F.col("family").isNotNull())
-    typed = parsed.select(
-        "activity_id", "activity", "family",
-        F.struct(*[F.schema_of_variant(F.col(f"p.`{f}`")).alias(f) for f in fields]).alias("type"),
-        F.struct(*[F.try_variant_get(F.col(f"p.`{f}`"), "$", "string").alias(f) for f in listed]).alias("text"),
-    )
+    rows = stream.select("activity_id", "activity", family.alias("family"), "feature_json").where(F.col("family").isNotNull())
     found = F.lit(None)
-    for name, (required, types, allowed) in contracts.items():
-        checks = [_check(f, kind, f in required, allowed.get(f)) for f, kind in types.items()]
-        found = F.when(F.col("family") == name, F.concat_ws(" ", *checks)).otherwise(found)
-    # explode_outer: for a plain explode the optimizer adds a size filter, which
-    # would repeat the checks below it.
+    for name, contract in contracts.items():
+        found = F.when(F.col("family") == name, _violations(F.col("feature_json"), *contract)).otherwise(found)
+    # inline_outer: for a plain inline the optimizer adds a size filter, which would repeat the checks below it
     return (
-        typed.select("activity_id", "activity", "family", F.explode_outer(F.split(found, " ")).alias("x"))
-        .where(F.col("x") != "")
-        .select("activity_id", "activity", "family", F.split_part("x", F.lit(":"), F.lit(1)).alias("field"),
-                F.split_part("x", F.lit(":"), F.lit(2)).alias("violation"))
+        rows.select("activity_id", "activity", "family", F.inline_outer(found))
+        .where(F.col("violation").isNotNull())
     )
 
 
-def _check(field: str, kind: str, required: bool, allowed: tuple | None) -> Column:
-    """``field:violation``, else NULL."""
-    name = F.col(f"type.`{field}`")
+def _violations(payload: Column, required: tuple, types: Mapping[str, str], allowed: Mapping[str, tuple]) -> Column:
+    """The violations of one contract: (field, violation) structs."""
+    schema = T.StructType([T.StructField(f, T.VariantType()) for f in types])
+    parsed = F.from_json(payload, schema)
+
+    def kinds(p: Column) -> Column:
+        return F.array(*[
+            F.struct(F.lit(f).alias("field"), F.schema_of_variant(p[f]).alias("type"),
+                     (F.try_variant_get(p[f], "$", "string") if f in allowed else F.lit(None).cast("string")).alias("text"))
+            for f in types])
+
+    def checks(fields: Column) -> Column:
+        return F.array(*[
+            F.struct(F.lit(f).alias("field"), _check(fields[i]["type"], fields[i]["text"], kind, f in required, allowed.get(f)).alias("violation"))
+            for i, (f, kind) in enumerate(types.items())])
+
+    # a lambda's argument is computed once, however often it is used
+    return F.filter(let(let(parsed, kinds), checks), lambda x: x["violation"].isNotNull())
+
+
+def _check(name: Column, text: Column, kind: str, required: bool, allowed: tuple | None) -> Column:
+    """The kind of violation, else NULL."""
     absent = name.isNull() | (name == "VOID")
     matches = {
         "string": name == "STRING", "boolean": name == "BOOLEAN", "object": name.startswith("OBJECT"),
         "array": name.startswith("ARRAY"),
         "number": (name == "BIGINT") | (name == "DOUBLE") | name.startswith("DECIMAL"),
     }[kind]
-    problem = F.when(absent, F.lit(f"{field}:missing" if required else None)).when(~matches, f"{field}:wrong_type")
+    problem = F.when(absent, F.lit("missing" if required else None)).when(~matches, "wrong_type")
     if allowed:
-        problem = problem.when(~F.col(f"text.`{field}`").isin(*allowed), f"{field}:not_allowed")
+        problem = problem.when(~text.isin(*allowed), "not_allowed")
     return problem
