@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 from tidelog import vocab
 from tidelog.catalog.queries import QUERIES
 from tidelog.operators import artifacts, dashboard, executive, knowledge, product, quality, sessions, state, text, trends, typed, views, windows
+from tidelog.plans.partial import deviation, partial
 from tidelog.plans.upsert import insert_if_absent, latest_version, write_version
 from tidelog.sources import ndjson
 from tidelog.sources.builders import token_cost
@@ -360,3 +361,64 @@ def test_context_pages_are_bounded(spark):
     assert max(sizes.values()) == 100 and sum(sizes.values()) == 1264 and len([k for k in sizes if k[0] == "busy"]) == 13
     back = pages.select("customer", F.inline("entries"))
     assert back.exceptAll(entries.select(back.columns)).isEmpty() and entries.select(back.columns).exceptAll(back).isEmpty()
+
+
+def _plan(df, mode="formatted"):
+    return df._jdf.queryExecution().explainString(df.sparkSession._jvm.org.apache.spark.sql.execution.ExplainMode.fromString(mode))
+
+
+def test_backfill_by_day_prunes_both_tables_and_shuffles_each_once(spark, tmp_path):
+    rows = [(f"a{i}", dt.datetime(2024, 1, 1 + i % 9), "x", "c", "h", None, 0.0, None) for i in range(90)] + [(None, dt.datetime(2024, 1, 4), "y", "c", "h", None, 0.0, None)] * 2
+    write_stream(spark.createDataFrame(rows, STREAM), str(tmp_path / "old"))
+    write_stream(spark.createDataFrame(rows[::2], STREAM).where("activity_id IS NOT NULL"), str(tmp_path / "new"))
+    old, new = (read_stream(spark, str(tmp_path / x)) for x in ("old", "new"))
+    out = state.backfill_rows(old, new, "2024-01-03", "2024-01-05", same_day=True)
+    want = {r[0] for i, r in enumerate(rows) if r[0] and i % 2 and 3 <= r[1].day <= 5}
+    got = [r.activity_id for r in out.collect()]
+    assert len(got) == len(set(got)) == len(want) + 1 and want < set(got)
+    plan = _plan(out)
+    filters = [x for x in plan.splitlines() if x.startswith("PartitionFilters")]
+    assert len(filters) == 2 and all("2024-01-03" in x and "2024-01-05" in x for x in filters)
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        assert _plan(out.select("*"), "simple").count("Exchange hashpartitioning") == 2
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    # a copy that lies on another day counts where all days are looked through
+    assert {r.activity_id for r in state.backfill_rows(old, new.withColumn("ts", F.col("ts") + F.expr("INTERVAL 30 DAYS")).drop("dt"), "2024-01-03", "2024-01-05").collect()} == set(got)
+
+
+@pytest.mark.parametrize("name", ["executive_summary", "user_adoption", "tool_usage", "project_activity"])
+def test_distinct_counts_copy_partial_rows_only(spark, sf_dir, name):
+    stream = load(spark, sf_dir, "activity_stream")
+    build = {"executive_summary": lambda **k: executive.executive_summary(stream, DAY, **k)}.get(name, lambda **k: getattr(executive, name)(stream, **k))
+    lines = build()._jdf.queryExecution().optimizedPlan().toString().splitlines()
+    at = [i for i, x in enumerate(lines) if "Expand [" in x]
+    assert at and all("Aggregate [" in lines[i + 1] or "Project [" in lines[i + 1] and "Aggregate [" in lines[i + 2] for i in at)
+    assert not any("Expand [" in x for x in build(approx=True)._jdf.queryExecution().optimizedPlan().toString().splitlines())
+
+
+def test_deviation_from_sums(spark):
+    rows = spark.createDataFrame([("a", "s1", 3), ("a", "s1", 10**9), ("a", "s2", None), ("b", "s1", 4), ("a", "s3", 7)], "tool string, s string, ms long")
+    sums = partial(rows, ("tool", "s"), {"n": F.count("ms"), "t": F.sum("ms"), "q": F.sum(F.col("ms").cast("decimal(19,0)") * F.col("ms").cast("decimal(19,0)"))})
+    got = {r.tool: r.d for r in sums.groupBy("tool").agg(deviation("t", "q", "n").alias("d")).collect()}
+    want = {r.tool: r.d for r in rows.groupBy("tool").agg(F.stddev("ms").alias("d")).collect()}
+    assert got["b"] is None and want["b"] is None and abs(got["a"] - want["a"]) < 1e-3
+
+
+def test_templates_by_rating_then_time(spark):
+    kb = [(f"cost {i}", "q", 1, t, T0, True, r) for i, (r, t) in enumerate([("good", 5), (None, 1), ("excellent", 9), ("good", 2), ("poor", 0), ("excellent", 3)])]
+    kb = spark.createDataFrame(kb, "user_prompt string, generated_query string, result_count int, execution_time_ms long, created_ts timestamp_ntz, query_success boolean, user_rating string").repartition(3)
+    assert [r.execution_time_ms for r in knowledge.executive_templates(kb).collect()] == [3, 9, 2, 5, 0, 1]
+    assert "Sort [" not in _plan(knowledge.executive_templates(kb, ordered=False), "simple")
+
+
+def test_periods_in_their_order(spark, sf_dir):
+    rows = dashboard.period_metrics(load(spark, sf_dir, "activity_stream"), "2024-01-30 12:00:00").collect()
+    assert [r[0] for r in rows] == list(dashboard.PERIODS)
+
+
+def test_views_without_order(spark, sf_dir):
+    stream, meta = load(spark, sf_dir, "activity_stream"), load(spark, sf_dir, "meta_stream")
+    for build in (lambda **k: views.recent_activities(stream, DAY, **k), lambda **k: views.todays_activities(stream, DAY, **k), lambda **k: views.meta_queries(meta, **k)):
+        assert "Sort [" in _plan(build(), "simple") and "Sort [" not in _plan(build(ordered=False), "simple")

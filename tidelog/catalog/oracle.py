@@ -360,7 +360,8 @@ def product_metrics(as_of: str, days: int) -> str:
 add("a20_product_metrics", "stream_v2", product_metrics(DAY, 30) + "SELECT * FROM product_metrics")
 add("a41_customer_health", "stream_v2", product_metrics(DAY, 7) + """
 SELECT customer, total_activities, p50_latency_ms, p95_latency_ms, success_rate_pct, health_score FROM product_metrics
-WHERE customer = 'c3' AND hour >= TIMESTAMP '2024-01-30 00:00:00' - INTERVAL 1 HOUR AND hour <= TIMESTAMP '2024-01-30 00:00:00'""")
+WHERE customer = (SELECT customer FROM stream_v2 WHERE ts < {w} ORDER BY ts DESC, customer LIMIT 1)
+ AND hour >= (SELECT MAX(ts) FROM stream_v2 WHERE ts < {w}) - INTERVAL 1 HOUR AND hour <= (SELECT MAX(ts) FROM stream_v2 WHERE ts < {w})""".replace("{w}", when(DAY)))
 add("a21_session_day_summary", "activity_stream", """
 SELECT CAST(ts AS DATE) AS date, COUNT(DISTINCT customer) AS unique_sessions, COUNT(*) AS total_activities,
  COUNT(*) FILTER (activity = 'claude_session_start') AS sessions_started, COUNT(*) FILTER (activity = 'claude_session_end') AS sessions_ended
@@ -631,6 +632,9 @@ FROM activity_stream WHERE ts >= DATE '2024-01-31' - INTERVAL 30 DAY AND ts <= T
 add("d3_backfill", "activity_stream", f"""
 SELECT {ENVELOPE} FROM {MIGRATED} UNION ALL SELECT {ENVELOPE} FROM activity_stream
 WHERE CAST(ts AS DATE) BETWEEN DATE '2024-01-08' AND DATE '2024-01-20' AND activity_id NOT IN (SELECT activity_id FROM {MIGRATED})""")
+add("d3b_backfill_rows_by_day", "activity_stream", f"""
+SELECT {ENVELOPE} FROM activity_stream
+WHERE CAST(ts AS DATE) BETWEEN DATE '2024-01-08' AND DATE '2024-01-20' AND activity_id NOT IN (SELECT activity_id FROM {MIGRATED})""")
 EXPIRED = f"COALESCE(expires_at < {when(HOUR)} AND NOT is_pinned AND access_count < 2, FALSE)"
 add("d5_clean_artifacts", "artifacts", f"SELECT * FROM artifacts WHERE NOT {EXPIRED}")
 add("d5c_expired_count", "artifacts", f"SELECT COUNT(*) AS deleted_count FROM artifacts WHERE {EXPIRED}")
@@ -754,8 +758,8 @@ SELECT activity_id, ts, activity, customer, anonymous_customer_id,
   ELSE 0::DOUBLE END AS revenue_impact, CASE activity WHEN 'claude_file_operation' THEN 'file://' || f END AS link FROM r""")
 
 add("s8b_build_session_ends", "stream_v2", f"""
-, c AS (SELECT *, {n('total_tokens')} AS tt FROM stream_v2 WHERE activity = 'session_end')
-SELECT activity_id, ts, activity, customer, anonymous_customer_id, '{{"session_id":"' || customer || '","total_tokens":' || tt || '}}' AS feature_json,
+, c AS (SELECT *, {n('total_tokens')} AS tt FROM stream_v2 WHERE activity = 'claude_session_end')
+SELECT activity_id, ts, 'session_end' AS activity, customer, anonymous_customer_id, '{{"session_id":"' || customer || '","total_tokens":' || tt || '}}' AS feature_json,
  ROUND(tt * 0.000003::DOUBLE, 6) AS revenue_impact, CAST(NULL AS VARCHAR) AS link FROM c""")
 
 # ------------------------------------------------------------- streaming (T)

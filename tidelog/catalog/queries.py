@@ -102,7 +102,7 @@ def _(t):
 
 query("a2_activity_stats")(lambda t: sessions.activity_stats(t.activity_stream))
 query("a3_executive_summary")(lambda t: executive.executive_summary(t.activity_stream, DAY))
-query("a4_user_adoption")(lambda t: executive.user_adoption(t.activity_stream))
+query("a4_user_adoption")(lambda t: executive.user_adoption(t.activity_stream, user_list=True))
 query("a5_tool_usage")(lambda t: executive.tool_usage(t.activity_stream))
 query("a6_error_analysis")(lambda t: executive.error_analysis(t.activity_stream))
 query("a7_project_activity")(lambda t: executive.project_activity(t.activity_stream))
@@ -187,8 +187,14 @@ query("a38_stream_window_summary")(
     lambda t: product.stream_window_summary(t.stream_v2, "c3", HOUR, minutes=60 * 24 * 7))
 query("a39_quarantine_counts")(lambda t: quality.quarantine_counts(t.insight_atoms))
 query("a40_longest_sessions")(lambda t: sessions.longest_sessions(t.activity_stream, HOST, n=10))
-query("a41_customer_health")(lambda t: product.customer_health(
-    product.product_metrics(t.stream_v2, DAY), "c3", "2024-01-30 00:00:00"))
+
+
+@query("a41_customer_health")
+def _(t):
+    """Of the customer with the newest event before DAY, at that event."""
+    last = t.stream_v2.where(F.col("ts") < F.lit(DAY).cast("timestamp_ntz")).orderBy(F.desc("ts"), "customer").select("customer", "ts").first()
+    return product.customer_health(product.product_metrics(t.stream_v2, DAY), last["customer"], last["ts"])
+
 
 # ----------------------------------------------------------------- windows (W)
 query("w1_activity_occurrences")(lambda t: windows.activity_occurrences(t.activity_stream).select(
@@ -244,6 +250,16 @@ query("d3_backfill")(
     lambda t: state.backfill(t.activity_stream, _migrated(t), "2024-01-08", "2024-01-20"))
 
 
+@query("d3b_backfill_rows_by_day")
+def _(t):
+    """Between stored tables, whose days bound both sides."""
+    base = t.work("backfill")
+    write_stream(t.activity_stream, f"{base}/old")
+    write_stream(_migrated(t), f"{base}/new")
+    rows = state.backfill_rows(read_stream(t.spark, f"{base}/old"), read_stream(t.spark, f"{base}/new"), "2024-01-08", "2024-01-20", same_day=True)
+    return rows.drop("dt")
+
+
 @query("d4_refresh_context")
 def _(t):
     blobs = state.context_blobs(t.stream_v2, t.insight_atoms, t.stream_v2, HOUR)
@@ -299,7 +315,7 @@ def _(t):
 
 @query("s8b_build_session_ends")
 def _(t):
-    p = payload_of(t.stream_v2.where(F.col("activity") == "session_end"), "total_tokens")
+    p = payload_of(t.stream_v2.where(F.col("activity") == "claude_session_end"), "total_tokens")
     return builders.build_session_ends(p.df.select(
         "activity_id", "ts", "customer", F.col("anonymous_customer_id").alias("host"), F.col("customer").alias("session_id"),
         p.whole("total_tokens").alias("total_tokens")))

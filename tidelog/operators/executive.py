@@ -51,11 +51,11 @@ def executive_summary(stream: DataFrame, as_of=None, approx: bool = False) -> Da
     ).select(today.alias("report_date"), "*")
 
 
-def user_adoption(stream: DataFrame, approx: bool = False, user_list: bool = True) -> DataFrame:
+def user_adoption(stream: DataFrame, approx: bool = False, user_list: bool = False) -> DataFrame:
     """Daily users, sessions and growth over the previous day.
 
-    The day's user list is one text cell and so as long as the day has users;
-    ``user_list=False`` leaves it out (``daily_users`` gives it as rows).
+    ``user_list=True`` adds the day's users as one text cell, which is as long as the day has users; ``daily_users`` gives
+    them as rows.
     """
     p = payload_of(stream.where(like_prefix("activity", vocab.STREAM_PREFIX)), "tool_name")
     typed = p.df.select(trunc_ts("day", "ts").alias("activity_date"), "anonymous_customer_id", "customer",

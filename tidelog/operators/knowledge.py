@@ -23,15 +23,15 @@ def classify_prompts(df: DataFrame, column: str = "user_prompt") -> DataFrame:
     return df.withColumn("common_pattern", prompt_pattern(F.col(column)))
 
 
-def executive_templates(kb: DataFrame) -> DataFrame:
-    """Successful management questions, best rated and fastest first."""
+def executive_templates(kb: DataFrame, ordered: bool = True) -> DataFrame:
+    """Successful management questions, best rated and fastest first unless ``ordered=False``."""
     text, hit = F.lower("user_prompt"), F.lit(False)
     for word in vocab.EXECUTIVE_WORDS:
         hit = hit | text.contains(word)
     rank = F.when(F.col("user_rating") == "excellent", 1).when(F.col("user_rating") == "good", 2).otherwise(3)
+    rows = kb.where(F.col("query_success") & hit)
     return (
-        kb.where(F.col("query_success") & hit)
-        .orderBy(rank, F.asc("execution_time_ms"))
+        (rows.orderBy(rank, F.asc("execution_time_ms")) if ordered else rows)
         .select("user_prompt", "generated_query", "result_count", "execution_time_ms", "created_ts")
     )
 
@@ -73,14 +73,11 @@ def successful_patterns(kb: DataFrame, examples: bool = False) -> DataFrame:
     return stats
 
 
-def learning_opportunities(kb: DataFrame) -> DataFrame:
-    """Failed questions and successful ones without rows, newest first."""
+def learning_opportunities(kb: DataFrame, ordered: bool = True) -> DataFrame:
+    """Failed questions and successful ones without rows, newest first unless ``ordered=False``."""
     issue = F.when(~F.col("query_success"), "Query Failed").when(F.col("result_count") == 0, "No Results")
-    return (
-        kb.select("user_prompt", "generated_query", "created_ts", issue.alias("issue_type"))
-        .where(F.col("issue_type").isNotNull())
-        .orderBy(F.desc("created_ts"))
-    )
+    out = kb.select("user_prompt", "generated_query", "created_ts", issue.alias("issue_type")).where(F.col("issue_type").isNotNull())
+    return out.orderBy(F.desc("created_ts")) if ordered else out
 
 
 def intelligence_metrics(kb: DataFrame) -> DataFrame:

@@ -7,7 +7,7 @@ from pyspark.sql import Column, DataFrame, Window, functions as F
 from .. import vocab
 from ..functions import bound, opt, payload_of, since, span, stable_id, trunc_ts, ts_diff
 from ..plans.prefix import running_number
-from ..plans.upsert import insert_if_absent, new_rows
+from ..plans.upsert import insert_if_absent, keep_first
 from .sessions import latest_per_customer
 
 LEGACY_FIELDS = (("feature_1", "tool_name"), ("feature_2", "parameters"), ("feature_3", "result_type"))
@@ -29,22 +29,32 @@ def dual_write(events: DataFrame, old: DataFrame, new: DataFrame) -> tuple[DataF
     return old.unionByName(rows, allowMissingColumns=True), insert_if_absent(new, rows)
 
 
-def backfill_rows(old: DataFrame, new: DataFrame, start: str | None = None, end: str | None = None) -> DataFrame:
-    """Rows of ``old`` in the inclusive day range that ``new`` lacks.
+def backfill_rows(old: DataFrame, new: DataFrame, start: str | None = None, end: str | None = None, same_day: bool = False) -> DataFrame:
+    """Rows of ``old`` in the inclusive day range that ``new`` lacks, one for each id.
 
-    A missing id becomes a hash of the row, so a re-run finds it again.
+    A missing id becomes a hash of the row, so a re-run finds it again.  Each side is shuffled once, by id.  A copy of an event may lie on
+    any day of ``new``; where copies carry their event's time, ``same_day=True`` bounds both sides by the day range, which
+    prunes the partitions of both.
     """
-    rows = old
-    if start is not None:
-        rows = since(rows, F.lit(start).cast("date").cast("timestamp_ntz"))
-    if end is not None:
-        rows = rows.where(F.col("ts") < F.lit(end).cast("date").cast("timestamp_ntz") + span(days=1))
+
+    def days(rows: DataFrame) -> DataFrame:
+        if start is not None:
+            rows = since(rows, F.lit(start).cast("date").cast("timestamp_ntz"))
+        if end is not None:
+            rows = rows.where(F.col("ts") < F.lit(end).cast("date").cast("timestamp_ntz") + span(days=1))
+            rows = rows.where(F.col("dt") <= F.lit(end).cast("date")) if "dt" in rows.columns else rows
+        return rows
+
     stable = F.md5(F.to_json(F.struct("ts", "activity", "customer", "anonymous_customer_id", "feature_json", "link")))
-    return new_rows(new, rows.withColumn("activity_id", F.coalesce("activity_id", stable)), "activity_id")
+    rows = days(old).withColumn("activity_id", F.coalesce("activity_id", stable))
+    known = (days(new) if same_day else new).select(F.col("activity_id").alias("_k"))
+    # both steps need the rows by id, so they share a shuffle
+    fresh = rows.join(known, F.col("activity_id") == F.col("_k"), "left_anti")
+    return keep_first(fresh, "activity_id", ["ts"])
 
 
-def backfill(old: DataFrame, new: DataFrame, start: str | None = None, end: str | None = None) -> DataFrame:
-    return new.unionByName(backfill_rows(old, new, start, end), allowMissingColumns=True)
+def backfill(old: DataFrame, new: DataFrame, start: str | None = None, end: str | None = None, same_day: bool = False) -> DataFrame:
+    return new.unionByName(backfill_rows(old, new, start, end, same_day), allowMissingColumns=True)
 
 
 # ------------------------------------------------------------- context refresh

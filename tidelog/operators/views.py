@@ -28,10 +28,10 @@ def stream_activities(stream: DataFrame) -> DataFrame:
     )
 
 
-def recent_activities(stream: DataFrame, as_of=None) -> DataFrame:
-    """Rows of the 24 hours before ``as_of`` with their age, newest first."""
+def recent_activities(stream: DataFrame, as_of=None, ordered: bool = True) -> DataFrame:
+    """Rows of the 24 hours before ``as_of`` with their age, newest first unless ``ordered=False``."""
     now = bound(as_of)
-    return (
+    out = (
         since(stream, now - span(hours=24), to=now)
         .select(
             "activity_id", "ts", "activity", "customer", "anonymous_customer_id", "feature_json", "revenue_impact",
@@ -39,12 +39,13 @@ def recent_activities(stream: DataFrame, as_of=None) -> DataFrame:
             ts_diff("second", F.col("ts"), now).alias("seconds_ago"),
             ts_diff("minute", F.col("ts"), now).alias("minutes_ago"),
         )
-        .orderBy(F.desc("ts"))
     )
+    return out.orderBy(F.desc("ts")) if ordered else out
 
 
-def todays_activities(stream: DataFrame, as_of=None) -> DataFrame:
-    return is_day(stream, as_of).orderBy(F.desc("ts"))
+def todays_activities(stream: DataFrame, as_of=None, ordered: bool = True) -> DataFrame:
+    out = is_day(stream, as_of)
+    return out.orderBy(F.desc("ts")) if ordered else out
 
 
 def activity_log(stream: DataFrame, as_of=None, n: int = 100) -> DataFrame:
@@ -67,11 +68,11 @@ def activity_log(stream: DataFrame, as_of=None, n: int = 100) -> DataFrame:
 
 
 def meta_queries(stream: DataFrame, as_of=None, *, recent: bool = False, containing: str | None = None,
-                 preview: int | None = 100) -> DataFrame:
+                 preview: int | None = 100, ordered: bool = True) -> DataFrame:
     """Question-to-SQL events.
 
     ``recent`` keeps the 24 hours before ``as_of``; ``containing`` keeps prompts
-    with that word; ``preview`` cuts the shown SQL (None shows all of it).
+    with that word; ``preview`` cuts the shown SQL (None shows all of it).  Newest first unless ``ordered=False``.
     """
     rows = stream.where(F.col("activity") == vocab.META_QUERY)
     if recent:
@@ -84,7 +85,7 @@ def meta_queries(stream: DataFrame, as_of=None, *, recent: bool = False, contain
     )
     if containing is not None:
         out = out.where(F.col("question").contains(containing))
-    return out.orderBy(F.desc("ts"))
+    return out.orderBy(F.desc("ts")) if ordered else out
 
 
 def successful_payloads(stream: DataFrame, as_of=None, n: int = 10) -> DataFrame:
