@@ -8,7 +8,6 @@ import pyarrow as pa
 from pyspark.sql import functions as F
 
 from tidelog.llm import jaccard
-from tidelog.llm.components import components
 from tidelog.llm.jaccard import SIMILARITY, similarity_classes
 
 from .test_operators import DOCS, linked, words
@@ -41,14 +40,13 @@ def test_edges_are_in_proportion_to_members(spark):
     texts = [changed(r, base, r.randrange(3)) for _ in range(3000)]
     sets = spark.createDataFrame([(i, bytearray(jaccard.signature(s))) for i, s in enumerate(
         jaccard.shingle_sets(pa.array(texts)))], "rid long, signature binary").repartition(8)
-    large = sets.select(F.lit(7).cast("long").alias("path"), "rid")
-    large = large.unionByName(sets.select(F.lit(8).cast("long").alias("path"), "rid").filter("rid % 2 = 0"))
-    edges = jaccard.cut(jaccard._pivot_edges(large, sets, SIMILARITY), "edges")
-    assert edges.count() <= 4500
-    labelled = jaccard.cut(jaccard._labelled(large, components(edges).withColumnRenamed("id", "rid")), "labelled")
-    # whoever agrees with the pivot is not compared again
+    large = sets.select(F.lit(7).cast("long").alias("path"), "rid", F.lit(3000).cast("long").alias("count"))
+    large = large.unionByName(sets.select(F.lit(8).cast("long").alias("path"), "rid", F.lit(1500).cast("long").alias("count")).filter("rid % 2 = 0"))
+    labelled, edges = jaccard._pivoted(large, sets, SIMILARITY)
+    assert edges.count() <= 4500 and labelled.count() == 4500
+    # whoever agrees with the pivot is not compared again with others that do
     assert labelled.filter("label = 0").count() <= 30
-    tiles = jaccard._labelled_tiles(labelled, sets)
+    tiles = jaccard._labelled_tiles(jaccard.cut(labelled, "labelled"), sets)
     assert tiles.mapInArrow(jaccard._agree(SIMILARITY), "a long, b long").count() <= 60
     assert (tiles.groupBy("path", "i", "j").count().agg({"count": "max"}).first()[0] or 0) <= 2 * jaccard.BLOCK + 200
 

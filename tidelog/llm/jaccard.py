@@ -9,9 +9,8 @@ coordinate, the same choice for all sets on the path; sets go to the bucket of e
 ``SPLIT`` are split by another sampled token, ``DEPTH`` levels deep at most.  A pair at the threshold shares a bucket of depth 1
 with chance 0.63 a run and one of depth 6 with 0.24, and the number of runs is taken so that the target recall holds there.
 *Brute force.*  Small buckets (each membership once) are compared pair by pair on all tokens.  In buckets that do not get small,
-groups of mutual near copies, all members are compared with a pivot first and get one edge to it where they agree.  Members that are
-not connected with the pivot by these edges, in whatever bucket, are then compared with all members, in tiles of two blocks, so that
-none is dropped, no task holds a whole bucket, and edges are in proportion to members.  Pairs that agree on three quarters of the threshold connect to candidate clusters.
+groups of mutual near copies, all members are compared with a pivot first and get one edge to it where they agree.  Members that
+do not agree with the pivot are then compared with all members, in tiles of two blocks, so that none is dropped, no task holds a whole bucket, and edges are in proportion to members.  Pairs that agree on three quarters of the threshold connect to candidate clusters.
 *Exact check.*  All pairs inside a cluster are compared on the full sets, again in tiles, which gives links, their number
 for each set, and edges that span them; pairs themselves are never written.  Classes are the components of links.
 
@@ -168,29 +167,28 @@ def _with_pivot(similarity: Fraction):
     return run
 
 
-def _pivot_edges(large: DataFrame, tokens: DataFrame, similarity: Fraction) -> DataFrame:
-    """Edges of the members of large buckets (path, rid) to their bucket's pivot, where they agree with it.
+def _by_path(rows: DataFrame, table: DataFrame) -> DataFrame:
+    """Join by path; both sides have the bucket's ``count``, by which a large one's row is copied and its members spread."""
+    copies = F.ceil(F.col("count") / F.lit(BLOCK)).cast("int")
+    rows = rows.withColumn("_salt", F.pmod(F.xxhash64("rid", F.lit(2)), copies).cast("int"))
+    return rows.join(table.withColumn("_salt", F.explode(F.sequence(F.lit(0), copies - 1))).drop("count"), ["path", "_salt"]).drop("_salt")
+
+
+def _pivoted(large: DataFrame, tokens: DataFrame, similarity: Fraction) -> tuple[DataFrame, DataFrame]:
+    """Members of large buckets (path, rid, count) with the bucket's pivot and label (1: agrees with it), and edges (pivot, rid) of those that agree.
 
     The pivot is the member of least hash, whatever the path, so that a group that meets in path after path has the same one
     there, and each of its members is compared with it once.
     """
-    pivots = large.groupBy("path").agg(F.count("*").alias("count"), F.min(F.struct(F.xxhash64("rid").alias("h"), "rid")).alias("p"))
-    pivots = cut(pivots.select("path", "count", F.col("p.rid").alias("pivot")), "pivots")
-    pairs = cut(spread_join(large, pivots, ["path"]).filter("rid != pivot").select("pivot", "rid").distinct(), "pivot-pairs")
+    pivots = large.groupBy("path").agg(F.max("count").alias("count"), F.min(F.struct(F.xxhash64("rid").alias("h"), "rid"))["rid"].alias("pivot"))
+    rows = cut(_by_path(large, pivots), "pivots")
+    pairs = rows.filter("rid != pivot").select("pivot", "rid").distinct()
     chosen = pairs.groupBy("pivot").agg(F.count("*").alias("count")).join(
         tokens.select(F.col("rid").alias("pivot"), F.col("signature").alias("pivot_signature")), "pivot")
-    asked = spread_join(pairs, cut(chosen, "pivot-signatures"), ["pivot"]).join(tokens, "rid").select("pivot", "rid", "signature", "pivot_signature")
-    return asked.mapInArrow(_with_pivot(similarity), "a long, b long")
-
-
-def _labelled(large: DataFrame, clusters: DataFrame) -> DataFrame:
-    """(path, rid, root, label) of the buckets whose members are not connected yet; label 1 is for those that are connected
-    with the bucket's pivot, and so with each other."""
-    rows = cut(large.select("path", "rid").join(clusters, "rid", "left").withColumn("root", F.coalesce("root", "rid")), "rooted")
-    paths = rows.groupBy("path").agg(F.count("*").alias("count"), F.min_by("root", F.struct(F.xxhash64("rid"), "rid")).alias("pivot_root"),
-                                     (F.min("root") != F.max("root")).alias("mixed"))
-    paths = cut(paths.filter("mixed").drop("mixed"), "mixed")
-    return spread_join(rows, paths, ["path"]).select("path", "rid", "root", (F.col("root") == F.col("pivot_root")).cast("int").alias("label"))
+    asked = spread_join(pairs, chosen, ["pivot"]).join(tokens, "rid").select("pivot", "rid", "signature", "pivot_signature")
+    edges = cut(asked.mapInArrow(_with_pivot(similarity), "pivot long, rid long"), "pivot-edges")
+    marked = rows.join(edges.withColumn("agrees", F.lit(1)), ["pivot", "rid"], "left")
+    return marked.select("path", "rid", "count", "pivot", F.when(F.col("rid") == F.col("pivot"), 1).otherwise(F.coalesce("agrees", F.lit(0))).alias("label")), edges
 
 
 def _union(parts: list[DataFrame]) -> DataFrame:
@@ -201,18 +199,24 @@ def _union(parts: list[DataFrame]) -> DataFrame:
 
 
 def _labelled_tiles(members: DataFrame, tokens: DataFrame) -> DataFrame:
-    """(path, i, j, label, rid, signature) in which all members of a path share a tile of two blocks, but for those of one label."""
-    counts = members.groupBy("path", "label").agg(F.count("*").alias("n"))
-    label = F.struct("label", F.ceil(F.col("n") / F.lit(BLOCK)).cast("int").alias("blocks"))
-    counts = cut(counts.groupBy("path").agg(F.sum("n").alias("count"), F.array_sort(F.collect_list(label)).alias("labels")), "labels")
-    alone = (F.size("labels") == 1) & (F.col("labels")[0]["label"] > 0)
-    rows = spread_join(members, counts.filter(~alone), ["path"])
-    own = F.filter("labels", lambda x: x["label"] == F.col("label"))[0]["blocks"]
+    """(path, i, j, root, rid, signature) in which a bucket's members share a tile of two blocks, but for two of label 1, which are
+    connected by the pivot: it is their root."""
+    counts = members.groupBy("path", "label").agg(F.max("count").alias("count"), F.ceil(F.count("*") / F.lit(BLOCK)).cast("int").alias("blocks"))
+    blocks = [F.coalesce(F.max(F.when(F.col("label") == k, F.col("blocks"))), F.lit(0)).alias(f"blocks_{k}") for k in (0, 1)]
+    counts = counts.groupBy("path").agg(F.max("count").alias("count"), *blocks).filter("blocks_0 > 0")
+    rows = _by_path(members, counts)
+    own = F.when(F.col("label") == 0, F.col("blocks_0")).otherwise(F.col("blocks_1"))
     rows = rows.withColumn("_own", F.struct("label", F.pmod(F.xxhash64("rid", F.lit(1)), own).cast("int").alias("block")))
-    others = F.flatten(F.transform("labels", lambda x: F.transform(
-        F.sequence(F.lit(0), x["blocks"] - 1), lambda k: F.struct(x["label"].alias("label"), k.alias("block")))))
-    rows = rows.withColumn("_other", F.explode(F.filter(others, lambda x: (x["label"] != F.col("label")) | (F.col("label") == 0))))
-    rows = rows.select("path", F.least("_own", "_other").alias("i"), F.greatest("_own", "_other").alias("j"), "root", "rid")
+
+    def of(label: int) -> Column:
+        n = F.col(f"blocks_{label}")
+        return F.when(n > 0, F.transform(F.sequence(F.lit(0), F.greatest(n, F.lit(1)) - 1), lambda k: F.struct(F.lit(label).alias("label"), k.alias("block"))))
+
+    # a member without the label meets all blocks, one with it those without
+    others = F.when((F.col("label") == 0) & (F.col("blocks_1") > 0), F.concat(of(0), of(1))).otherwise(of(0))
+    root = F.when(F.col("label") == 1, F.col("pivot")).otherwise(F.col("rid"))
+    rows = rows.withColumn("_other", F.explode(others))
+    rows = rows.select("path", F.least("_own", "_other").alias("i"), F.greatest("_own", "_other").alias("j"), root.alias("root"), "rid")
     return rows.join(tokens, "rid").select("path", "i", "j", "root", "rid", "signature").repartition("path", "i", "j").sortWithinPartitions("path", "i", "j")
 
 
@@ -346,11 +350,11 @@ def similarity_classes(docs: DataFrame, similarity: Fraction = SIMILARITY, recal
     small = small.select("path", one.alias("i"), one.alias("j"), F.col("rid").alias("root"), "rid", "signature")
     small = small.repartition("path", "i", "j").sortWithinPartitions("path", "i", "j")
     near = small.mapInArrow(_agree(similarity), "a long, b long")
-    large = buckets.filter(F.col("count") > BLOCK).select("path", "rid")
+    large = buckets.filter(F.col("count") > BLOCK).select("path", "rid", "count")
     if not large.isEmpty():
-        near = cut(near.unionByName(_pivot_edges(large, tokens, similarity)), "near")
-        labelled = cut(_labelled(large, components(near).withColumnRenamed("id", "rid")), "labelled")
-        near = near.unionByName(_labelled_tiles(labelled, tokens).mapInArrow(_agree(similarity), "a long, b long"))
+        labelled, edges = _pivoted(large, tokens, similarity)
+        near = near.unionByName(edges.select(F.col("pivot").alias("a"), F.col("rid").alias("b"))).unionByName(
+            _labelled_tiles(cut(labelled, "labelled"), tokens).mapInArrow(_agree(similarity), "a long, b long"))
     clusters = components(near).withColumnRenamed("id", "rid")
 
     members = cut(clusters.join(reps.select("rid", "name", "mult"), "rid"), "clusters")
