@@ -4,11 +4,12 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from .. import vocab
 from ..functions import bound
 from ..plans.prefix import running_number
+from ..plans.stored import stored
 from .quality import json_kind
 
 
@@ -21,14 +22,14 @@ def numbered_rows(rows: DataFrame, order: Sequence[str], bucket: Column, key: st
     return running_number(rows, [key], order, bucket, "row_no").withColumn("row_no", F.col("row_no") - 1)
 
 
-def page_sizes(numbered: DataFrame, page_rows: int = vocab.PAGE_ROWS, key: str = "artifact_id") -> DataFrame:
-    """Rows and bytes of each page; ``row_json`` is the text of a row.
+def page_sizes(numbered: DataFrame, page_rows: int = vocab.PAGE_ROWS, key: str = "artifact_id", chars: Column | None = None) -> DataFrame:
+    """Rows and bytes of each page; ``row_json`` is the text of a row, and ``chars`` its length where that is known.
 
     A page is a JSON array, hence one separator or bracket per row and one more.
     """
     return (
         numbered.groupBy(key, F.floor(F.col("row_no") / page_rows).alias("page"))
-        .agg(F.count("*").alias("page_rows"), F.sum(F.length("row_json")).alias("_text"))
+        .agg(F.count("*").alias("page_rows"), F.sum(F.length("row_json") if chars is None else chars).alias("_text"))
         .select(key, "page", "page_rows", (F.col("_text") + F.col("page_rows") + 1).alias("page_bytes"))
     )
 
@@ -65,15 +66,21 @@ def artifact_profile(
     ``rows`` has one row per result row with its JSON text in ``row_json``;
     ``schema`` (a StructType) describes that text, else the first row does.  The
     page list has one number per page; with ``page_list=False`` it is left out
-    (``page_sizes`` gives it as rows).
+    (``page_sizes`` gives it as rows).  The rows are read twice: for their sizes, which are stored without the texts and
+    numbered, and for the samples.
     """
-    numbered = numbered_rows(rows, order, bucket, key)
-    pages = page_sizes(numbered, key=key)
+    # sizes without texts: what numbers, pages and totals need of a row
+    slim = stored(rows.select(key, *order, bucket.alias("_bucket"), F.length("row_json").alias("_chars")), "result-rows")
+    numbered = running_number(slim, [key], order, F.col("_bucket"), "row_no").withColumn("row_no", F.col("row_no") - 1)
+    pages = page_sizes(numbered, key=key, chars=F.col("_chars"))
     totals = pages.groupBy(key).agg(
         F.sum("page_rows").alias("row_count"), (F.sum("page_bytes") - F.count("*") + 1).alias("total_bytes"),
         F.count("*").alias("page_count"), *([_page_list()] if page_list else []),
     )
-    samples = sample_rows(numbered, key=key)
+    # the first rows are chosen in each task before any text is shuffled
+    place = Window.partitionBy(key).orderBy(*order)
+    first_rows = rows.select(key, "row_json", (F.row_number().over(place) - 1).alias("row_no")).where(F.col("row_no") < vocab.SAMPLE_ROWS)
+    samples = sample_rows(first_rows, key=key)
     if schema is not None:
         samples = samples.withColumn(
             "sample_rows",

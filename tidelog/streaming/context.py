@@ -67,13 +67,19 @@ def refresh_batch(
     """
 
     def run(batch: DataFrame, batch_id: int) -> None:
-        if batch.isEmpty():
-            return
+        batch = batch.persist()  # read for its activities and for its newest event
+        try:
+            if not batch.isEmpty():
+                write(batch, batch_id + 1)
+        finally:
+            batch.unpersist()
+
+    def write(batch: DataFrame, version: int) -> None:
         blobs = context_blobs(batch, insights(), stream(), as_of)
         fresh = blobs.select("customer", "context_type", "context_blob", bound(as_of).alias("updated_at"), F.lit(False).alias("is_stale"),
                              F.lit(1).cast("bigint").alias("refreshes"), _bucket(F.col("customer")).alias("bucket"))
         # one file a bucket
-        write_version(fresh.repartition("bucket"), cache_base, batch_id + 1, buckets="bucket")
+        write_version(fresh.repartition("bucket"), cache_base, version, buckets="bucket")
 
     return run
 
