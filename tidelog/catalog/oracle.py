@@ -31,6 +31,12 @@ def when(text: str) -> str:
     return f"TIMESTAMP '{text}'"
 
 
+def stable_id(at: str, *columns: str) -> str:
+    """The hash of an instant and values, as the text of a JSON object without its NULLs."""
+    parts = "".join(f" || COALESCE(',\"p{i}\":' || CAST(to_json({c}) AS VARCHAR), '')" for i, c in enumerate(columns, 1))
+    return f"md5('{{\"p0\":\"{at.replace(' ', 'T')}.000\"'{parts} || '}}')"
+
+
 def averages(sql: str) -> str:
     """``ROUND(AVG(x), d)`` by decimal arithmetic: a double on the edge, such as
     0.0635695, is rounded alike on both engines."""
@@ -443,7 +449,7 @@ TEAMS = "(SELECT * REPLACE (substr(customer, 1, 2) AS customer) FROM stream_v2)"
 BY_TEAM = f"{P95} UNION ALL {rate(10)}".replace("FROM stream_v2", f"FROM {TEAMS}")
 add("t6_run_rollups", "stream_v2", BY_TEAM)
 add("d8_record_insights", "stream_v2", f"""
-SELECT {when(HOUR)} AS ts, customer, subject, metric, value, grain, confidence, CAST(NULL AS VARCHAR) AS artifact_id, derivation_method,
+SELECT {stable_id(HOUR, 'customer', 'subject', 'metric', 'grain')} AS id, {when(HOUR)} AS ts, customer, subject, metric, value, grain, confidence, CAST(NULL AS VARCHAR) AS artifact_id, derivation_method,
  {when(HOUR)} AS valid_from, {when(HOUR)} + INTERVAL 1 DAY AS valid_until, FALSE AS is_stale, FALSE AS is_quarantined,
  CAST(NULL AS VARCHAR) AS quarantine_reason FROM ({BY_TEAM})""")
 
@@ -479,9 +485,9 @@ DRIFT = kinds(f"ts > {when(DAY)} - INTERVAL 24 HOUR AND ts <= {when(DAY)}") + ""
 add("a31_schema_drift", "stream_v2", DRIFT + "SELECT * FROM drift")
 add("a31b_payload_kinds", "stream_v2", kinds("TRUE") + "SELECT * FROM k")
 add("d7_drift_events", "stream_v2", DRIFT + f"""
-SELECT {when(DAY)} AS ts, 'schema_drift_detected' AS activity, 'SYSTEM' AS customer,
+SELECT {stable_id(DAY, 'feature_json')} AS activity_id, * FROM (SELECT {when(DAY)} AS ts, 'schema_drift_detected' AS activity, 'SYSTEM' AS customer,
  '{{"drift_type":"' || drift_status || '","column":"' || column_name || '"' || COALESCE(',"expected_type":"' || expected_type || '"', '')
- || ',"actual_type":"' || actual_type || '","action":"quarantine_insights","event_type":"schema_drift","severity":"warning"}}' AS feature_json FROM drift""")
+ || ',"actual_type":"' || actual_type || '","action":"quarantine_insights","event_type":"schema_drift","severity":"warning"}}' AS feature_json FROM drift)""")
 ENTRIES = f"""
 , act AS (SELECT customer, activity || ':' || strftime(date_trunc('hour', ts), '%Y-%m-%d %H:%M:%S') AS key, COUNT(*) AS n FROM stream_v2
   WHERE ts > {when(HOUR)} - INTERVAL 24 HOUR AND ts <= {when(HOUR)} GROUP BY 1, 2),
@@ -648,7 +654,7 @@ QUARANTINE = f"""SELECT {ATOM}, is_stale, is_quarantined OR COALESCE({HIT}, FALS
 add("d6_quarantine_insights", "insight_atoms stream_v2", QUARANTINE)
 add("d6b_quarantine_on_drift", "insight_atoms stream_v2", QUARANTINE)
 add("d9_log_queries", "knowledge_base", f"""
-SELECT {when(DAY)} AS created_ts, user_prompt, generated_query, query_success, result_count, execution_time_ms,
+SELECT {stable_id(DAY, 'user_prompt', 'generated_query', 'query_success', 'result_count', 'execution_time_ms')} AS kb_id, {when(DAY)} AS created_ts, user_prompt, generated_query, query_success, result_count, execution_time_ms,
  CAST(NULL AS VARCHAR) AS user_rating, {PATTERN} AS common_pattern FROM knowledge_base""")
 add("d10_valid_insights", "insight_atoms", f"""
 SELECT {ATOM}, is_stale, is_quarantined FROM insight_atoms WHERE valid_until > {when(HOUR)} AND NOT is_stale AND NOT is_quarantined""")

@@ -276,11 +276,11 @@ query("d6_quarantine_insights")(lambda t: quality.quarantine_insights(t.insight_
 query("d6b_quarantine_on_drift")(lambda t: quality.quarantine_insights(
     t.insight_atoms, t.stream_v2, DAY, drift=quality.schema_drift(t.stream_v2, DAY)))
 query("d7_drift_events")(
-    lambda t: quality.drift_events(quality.schema_drift(t.stream_v2, DAY), DAY).drop("activity_id"))
-query("d8_record_insights")(lambda t: state.record_insights(product.run_rollups(_teams(t), HOUR), HOUR).drop("id"))
+    lambda t: quality.drift_events(quality.schema_drift(t.stream_v2, DAY), DAY))
+query("d8_record_insights")(lambda t: state.record_insights(product.run_rollups(_teams(t), HOUR), HOUR))
 query("d9_log_queries")(lambda t: knowledge.log_queries(t.knowledge_base.selectExpr(
     "user_prompt AS prompt", "generated_query AS query", "query_success AS success", "result_count AS row_count",
-    "execution_time_ms AS exec_time"), DAY).drop("kb_id"))
+    "execution_time_ms AS exec_time"), DAY))
 query("d10_valid_insights")(lambda t: state.valid_insights(t.insight_atoms, HOUR))
 query("d11_seed_definitions")(lambda t: state.seed_definitions(
     t.activity_stream.select(F.col("activity").alias("activity_name")).distinct()).select("activity_name"))
