@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable
-
 from pyspark.sql import Column, DataFrame, functions as F
 
 
@@ -29,11 +27,6 @@ def n_distinct(column: Column | str, approx: bool = False) -> Column:
     return F.approx_count_distinct(column) if approx else F.countDistinct(column)
 
 
-def let(value: Column, body: Callable[[Column], Column]) -> Column:
-    """``body`` of ``value``, which is computed once for each row."""
-    return F.transform(F.array(value), body)[0]
-
-
 def opt(df: DataFrame, column: str, kind: str = "string") -> Column:
     """The column if the table has it, else a typed NULL."""
     return F.col(column) if column in df.columns else F.lit(None).cast(kind)

@@ -7,7 +7,7 @@ from collections.abc import Mapping
 from pyspark.sql import Column, DataFrame, functions as F, types as T
 
 from .. import vocab
-from ..functions import bound, let, since, span, stable_id
+from ..functions import bound, since, span, stable_id
 
 
 def json_kind(value: Column) -> Column:
@@ -146,37 +146,27 @@ def validate_events(stream: DataFrame, contracts: Mapping[str, tuple] = vocab.CO
     for name, activities in families.items():
         family = F.when(F.col("activity").isin(*activities), name).otherwise(family)
     rows = stream.select("activity_id", "activity", family.alias("family"), "feature_json").where(F.col("family").isNotNull())
+    # a column for each family, of which an event has one
+    parsed = rows.select("activity_id", "activity", "family", *[
+        F.when(F.col("family") == name, F.from_json("feature_json", T.StructType([T.StructField(f, T.VariantType()) for f in types]))).alias(f"p_{name}")
+        for name, (_, types, _) in contracts.items()])
+    typed = parsed.select("activity_id", "activity", "family", *[
+        F.when(F.col("family") == name, F.struct(
+            *[F.schema_of_variant(F.col(f"p_{name}.`{f}`")).alias(f) for f in types],
+            *[F.try_variant_get(F.col(f"p_{name}.`{f}`"), "$", "string").alias(f"text {f}") for f in allowed])).alias(f"t_{name}")
+        for name, (_, types, allowed) in contracts.items()])
     found = F.lit(None)
-    for name, contract in contracts.items():
-        found = F.when(F.col("family") == name, _violations(F.col("feature_json"), *contract)).otherwise(found)
+    for name, (required, types, allowed) in contracts.items():
+        checks = F.array(*[
+            F.struct(F.lit(f).alias("field"), _check(
+                F.col(f"t_{name}.`{f}`"), F.col(f"t_{name}.`text {f}`") if f in allowed else None, kind, f in required, allowed.get(f)).alias("violation"))
+            for f, kind in types.items()])
+        found = F.when(F.col("family") == name, checks).otherwise(found)
     # inline_outer: for a plain inline the optimizer adds a size filter, which would repeat the checks below it
-    return (
-        rows.select("activity_id", "activity", "family", F.inline_outer(found))
-        .where(F.col("violation").isNotNull())
-    )
-
-
-def _violations(payload: Column, required: tuple, types: Mapping[str, str], allowed: Mapping[str, tuple]) -> Column:
-    """The violations of one contract: (field, violation) structs."""
-    schema = T.StructType([T.StructField(f, T.VariantType()) for f in types])
-    parsed = F.from_json(payload, schema)
-
-    def kinds(p: Column) -> Column:
-        return F.array(*[
-            F.struct(F.lit(f).alias("field"), F.schema_of_variant(p[f]).alias("type"),
-                     (F.try_variant_get(p[f], "$", "string") if f in allowed else F.lit(None).cast("string")).alias("text"))
-            for f in types])
-
-    def checks(fields: Column) -> Column:
-        return F.array(*[
-            F.struct(F.lit(f).alias("field"), _check(fields[i]["type"], fields[i]["text"], kind, f in required, allowed.get(f)).alias("violation"))
-            for i, (f, kind) in enumerate(types.items())])
-
-    # a lambda's argument is computed once, however often it is used
-    return F.filter(let(let(parsed, kinds), checks), lambda x: x["violation"].isNotNull())
+    return typed.select("activity_id", "activity", "family", F.inline_outer(found)).where(F.col("violation").isNotNull())
 
 
-def _check(name: Column, text: Column, kind: str, required: bool, allowed: tuple | None) -> Column:
+def _check(name: Column, text: Column | None, kind: str, required: bool, allowed: tuple | None) -> Column:
     """The kind of violation, else NULL."""
     absent = name.isNull() | (name == "VOID")
     matches = {
