@@ -35,7 +35,7 @@ from .components import components
 from .naming import spread_join
 
 SHINGLE, SIMILARITY, TOKENS, RECALL = 5, Fraction(4, 5), 64, 0.997
-BLOCK, SPLIT, DEPTH = 512, 4096, 6
+BLOCK, WIDE, SPLIT, DEPTH = 512, 2048, 4096, 6  # WIDE: of signatures, which are small
 _PIECE = 1 << 14
 _SEEDS = mix(np.arange(1, 2 * TOKENS + 1, dtype=np.uint64) * np.uint64(0x9E3779B97F4A7C15))
 
@@ -201,7 +201,7 @@ def _union(parts: list[DataFrame]) -> DataFrame:
 def _labelled_tiles(members: DataFrame, tokens: DataFrame) -> DataFrame:
     """(path, i, j, root, rid, signature) in which a bucket's members share a tile of two blocks, but for two of label 1, which are
     connected by the pivot: it is their root."""
-    counts = members.groupBy("path", "label").agg(F.max("count").alias("count"), F.ceil(F.count("*") / F.lit(BLOCK)).cast("int").alias("blocks"))
+    counts = members.groupBy("path", "label").agg(F.max("count").alias("count"), F.ceil(F.count("*") / F.lit(WIDE)).cast("int").alias("blocks"))
     blocks = [F.coalesce(F.max(F.when(F.col("label") == k, F.col("blocks"))), F.lit(0)).alias(f"blocks_{k}") for k in (0, 1)]
     counts = counts.groupBy("path").agg(F.max("count").alias("count"), *blocks).filter("blocks_0 > 0")
     rows = _by_path(members, counts)
