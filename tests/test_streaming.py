@@ -179,6 +179,27 @@ def test_abandoned_sessions_need_little_state(spark, tmp_path):
     assert ("busy", busy[0], busy[-1], 1000) in seen[1] and len(seen[1]) == 2001
 
 
+def test_abandoned_sessions_without_python_for_each_customer(spark, tmp_path):
+    # a fifth of all rows is one customer's; steps of half a timeout, so that events come just a timeout after others
+    schema, r = "ts timestamp_ntz, customer string, activity string", random.Random(8)
+    rows = [(T0 + dt.timedelta(hours=r.randrange(200)), "busy" if i % 5 == 0 else f"c{r.randrange(400)}",
+             r.choice(("claude_session_start", "claude_session_end", "x", None))) for i in range(3000)]
+    spark.createDataFrame([*rows, (T0 + dt.timedelta(days=90), "clock", "x")], schema).repartition(4).write.parquet(str(tmp_path / "t"))
+    query = abandoned.abandoned_sessions_stream(
+        spark.readStream.schema(schema).option("maxFilesPerTrigger", 4).parquet(str(tmp_path / "t")), str(tmp_path / "o"), str(tmp_path / "m"))
+    query.awaitTermination()
+    plan = query._jsq.explainInternal(False)
+    assert "SessionWindowStateStoreSave" in plan and "Pandas" not in plan and "Python" not in plan
+    # sessions are merged before the rows of a customer meet
+    assert "MergingSessions" in plan.split("Exchange", 1)[1]
+    got = sorted((x.customer, x.first_event, x.last_event, x.activities) for x in spark.read.parquet(str(tmp_path / "o")).collect())
+    us, want = dt.timedelta(microseconds=1), []
+    for customer in {c for _, c, _ in rows}:
+        parts = np.array([((t - T0) // us, (t - T0) // us, a == "claude_session_start", a == "claude_session_end", 1) for t, c, a in rows if c == customer], np.int64)
+        want += [(customer, T0 + int(a) * us, T0 + int(b) * us, int(n)) for a, b, started, ended, n in abandoned.merge_sessions(parts, 7200 * 10**6) if started and not ended]
+    assert got == sorted(want) and len(got) > 100
+
+
 def test_merged_sessions_equal_brute_force():
     r = random.Random(5)
     for _ in range(300):
