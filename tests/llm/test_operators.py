@@ -222,6 +222,26 @@ def test_mixing(spark, texts):
     assert mix_sources(spark.createDataFrame([], DOCS)).count() == 0
 
 
+def test_mixing_places_every_copy(spark):
+    # the first source is small and has the most weight, so it is read three times; the others in part
+    docs = spark.createDataFrame([(i, "w " * (1 + i % 7), "en", "a" if i % 9 == 0 else "b" if i % 2 else "c", 1) for i in range(400)], DOCS)
+    schedules = ((1.5, 1.0, 0.5), (0.2, 2.0, 0.2, 1.0), (0.5, 1.5))
+    got = mix_sources(docs, schedules=schedules).collect()
+    for x in got:
+        assert len(x.positions or []) == -(-x.taken // x.size) and x.position == (x.positions or [None])[0]
+        rates = schedules[x.kind]
+        grid = np.linspace(0, 1, 200_001)
+        rate = np.interp(grid, np.linspace(0, 1, len(rates)), rates)
+        used = np.concatenate(([0], np.cumsum((rate[1:] + rate[:-1]) / 2)))
+        for k, at in enumerate(x.positions or []):
+            assert at == pytest.approx(np.interp((x.before + k * x.source_size) / x.target, used / used[-1], grid), abs=1e-4)
+    assert {len(x.positions or []) for x in got} >= {0, 1, 3}
+    copies = by_position(mix_sources(docs, schedules=schedules)).collect()
+    assert [x.position for x in copies] == sorted(x.position for x in copies)
+    places = {x.doc_id: x.positions for x in got}
+    assert all(x.position in places[x.doc_id] for x in copies) and len(copies) > 200
+
+
 def test_rules(spark, texts):
     docs, rows = frame(spark, [*texts, "x y\n\nx y\n x y", "the # of $ <a|b> & % *", "\x0b\x0c\r\t"])
     for x in quality_rules(docs.withColumn("kept", F.lit(3))).collect():
