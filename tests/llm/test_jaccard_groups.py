@@ -35,6 +35,18 @@ def test_buckets_of_several_groups_equal_all_pairs(spark, monkeypatch):
     assert sorted((x.doc_id, x.class_id, x.n_links) for x in got) == linked(rows)[0]
 
 
+def test_members_of_large_buckets_are_joined_with_them_once(spark, monkeypatch):
+    monkeypatch.setattr(jaccard, "BLOCK", 4)
+    plain, seen = jaccard._by_path, []
+    monkeypatch.setattr(jaccard, "_by_path", lambda rows, table: seen.append(plain(rows, table)) or seen[-1])
+    r = random.Random(3)
+    bases = [words(r, 120).split() for _ in range(3)]
+    rows = [(i, changed(r, bases[i % 3], r.randrange(4)), "en", "s", 1) for i in range(60)]
+    got = similarity_classes(spark.createDataFrame(rows, DOCS).repartition(3)).collect()
+    assert sorted((x.doc_id, x.class_id, x.n_links) for x in got) == linked(rows)[0]
+    assert len(seen) == 1  # for the tiles; the pivot came with the bucket's count
+
+
 def test_edges_are_in_proportion_to_members(spark):
     r = random.Random(5)
     base = words(r, 150).split()

@@ -177,11 +177,12 @@ def _by_path(rows: DataFrame, table: DataFrame) -> DataFrame:
 def _pivoted(large: DataFrame, tokens: DataFrame, similarity: Fraction) -> tuple[DataFrame, DataFrame]:
     """Members of large buckets (path, rid, count) with the bucket's pivot and label (1: agrees with it), and edges (pivot, rid) of those that agree.
 
-    The pivot is the member of least hash, whatever the path, so that a group that meets in path after path has the same one
-    there, and each of its members is compared with it once.
+    The pivot is the least member, whatever the path, so that a group that meets in path after path has the same one there, and
+    each of its members is compared with it once.  Where members come with it, they are not joined with their bucket once more.
     """
-    pivots = large.groupBy("path").agg(F.max("count").alias("count"), F.min(F.struct(F.xxhash64("rid").alias("h"), "rid"))["rid"].alias("pivot"))
-    rows = cut(_by_path(large, pivots), "pivots")
+    rows = large
+    if "pivot" not in large.columns:
+        rows = cut(_by_path(large, large.groupBy("path").agg(F.max("count").alias("count"), F.min("rid").alias("pivot"))), "pivots")
     pairs = rows.filter("rid != pivot").select("pivot", "rid").distinct()
     chosen = pairs.groupBy("pivot").agg(F.count("*").alias("count")).join(
         tokens.select(F.col("rid").alias("pivot"), F.col("signature").alias("pivot_signature")), "pivot")
@@ -332,7 +333,8 @@ def similarity_classes(docs: DataFrame, similarity: Fraction = SIMILARITY, recal
     paths = tokens.mapInArrow(_grow(n_runs(recall), similarity), "path long, rid long")
     while True:
         paths = paths.distinct() if depth > 1 else paths
-        sizes = paths.groupBy("path").agg(F.count("*").alias("count")).filter("count > 1")
+        # the pivot comes with the count: members of large buckets are joined with their bucket once
+        sizes = paths.groupBy("path").agg(F.count("*").alias("count"), F.min("rid").alias("pivot")).filter("count > 1")
         found = cut(paths.join(sizes, "path"), "buckets")
         large = found.filter(F.col("count") > SPLIT)
         if depth == DEPTH or large.isEmpty():
@@ -350,7 +352,7 @@ def similarity_classes(docs: DataFrame, similarity: Fraction = SIMILARITY, recal
     small = small.select("path", one.alias("i"), one.alias("j"), F.col("rid").alias("root"), "rid", "signature")
     small = small.repartition("path", "i", "j").sortWithinPartitions("path", "i", "j")
     near = small.mapInArrow(_agree(similarity), "a long, b long")
-    large = buckets.filter(F.col("count") > BLOCK).select("path", "rid", "count")
+    large = buckets.filter(F.col("count") > BLOCK)
     if not large.isEmpty():
         labelled, edges = _pivoted(large, tokens, similarity)
         near = near.unionByName(edges.select(F.col("pivot").alias("a"), F.col("rid").alias("b"))).unionByName(
