@@ -5,6 +5,7 @@ import hashlib
 import math
 import random
 import struct
+import tracemalloc
 from collections import Counter, defaultdict
 
 import numpy as np
@@ -14,7 +15,7 @@ import pytest
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
-from tidelog.llm import sharding
+from tidelog.llm import ordinal, sharding
 from tidelog.llm.bpe import bpe_round_trip
 from tidelog.llm.components import components
 from tidelog.llm.jaccard import DEPTH, RECALL, keep_first, n_runs, shingle_sets, similarity_classes
@@ -197,6 +198,30 @@ def test_components(spark):
     assert got == {**{i: 0 for i in range(41)}, 60: 60, 61: 60}
 
 
+def test_scoring_holds_few_texts(spark):
+    r = random.Random(4)
+    batch = pa.RecordBatch.from_pylist([{"c0": i, "c1": " ".join(str(r.randrange(10**6)) for _ in range(800))} for i in range(2000)])
+    model = ordinal.Model(np.full(ordinal.WIDTH, -0.01, np.float32), np.array([-9.0, -8.0]))
+    run = ordinal._scores(model, 2, 0.8, "c1")
+    next(run(iter([batch.slice(0, 10)])))  # tables that a process makes once
+    tracemalloc.start()
+    parts = list(run(iter([batch])))
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert sum(x.num_rows for x in parts) == 2000 and max(x.num_rows for x in parts) < 500
+    assert peak < 80 << 20
+    # a text that is asked for goes to the tasks once, and whole
+    rows = [(i, "good words " * 9 if i % 2 else "bad stuff " * 9, "en", "s", 1) for i in range(200)]
+    docs = spark.createDataFrame(rows, DOCS)
+    ratings = spark.createDataFrame([(i, 2 if i % 2 else 0) for i in range(200)], "doc_id long, grade int")
+    got = classify(docs, ratings, ("doc_id", "text"))
+    plan = got._jdf.queryExecution().analyzed().toString()
+    assert "_text" not in plan
+    assert {(x.doc_id, x.text, x.kept) for x in got.collect()} == {(i, t, i % 2 == 1) for i, t, *_ in rows}
+    alone = {x.doc_id: (x.expected_grade, x.tail) for x in classify(docs, ratings).collect()}
+    assert alone == {x.doc_id: (x.expected_grade, x.tail) for x in got.collect()}
+
+
 def test_mixing(spark, texts):
     docs, rows = frame(spark, texts)
     got = mix_sources(docs.withColumn("size", F.lit("clash"))).collect()

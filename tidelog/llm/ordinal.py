@@ -27,6 +27,7 @@ from .common import batches, mix, span_hashes, text_buffer, words
 
 SAMPLE, BITS, REPEATS, HEADS = 6000, 18, 16, (4, 5)
 WIDTH = (1 << BITS) + REPEATS
+BATCH = 1 << 20  # bytes whose features are in memory at once, if no text is longer
 GRADES, SELECT, TAIL, EVIDENCE = 3, 2, 0.8, 35.0
 
 
@@ -110,7 +111,7 @@ def fit(grades: np.ndarray, lists: list[np.ndarray], levels: int = GRADES, round
 
 
 def _lists(it: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for batch in batches(it):
+    for batch in batches(it, size=BATCH):
         text, feature = features(batch.column("text"))
         at = np.searchsorted(text, np.arange(batch.num_rows + 1)).astype(np.int32)
         yield pa.RecordBatch.from_arrays([batch.column("grade"), pa.ListArray.from_arrays(pa.array(at), pa.array(feature.astype(np.int32)))], ["grade", "features"])
@@ -130,10 +131,10 @@ def train(docs: DataFrame, ratings: DataFrame, sample: int = SAMPLE, levels: int
     return fit(found["grade"].to_numpy().astype(np.int64), lists, levels)
 
 
-def _scores(model: Model, select: int, tail: float):
+def _scores(model: Model, select: int, tail: float, column: str = "_text"):
     def run(it: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches(it):
-            text, feature = features(batch.column("_text"))
+        for batch in batches(it, size=BATCH):
+            text, feature = features(batch.column(column))
             score = np.bincount(text, model.weights[feature], batch.num_rows)
             tails = model.tails(score)
             own = [c for c in batch.schema.names if c != "_text"]
@@ -153,7 +154,9 @@ def classify(docs: DataFrame, ratings: DataFrame, columns: tuple[str, ...] = ("d
         none = F.lit(None).cast("double")
         return docs.select(*columns, none.alias("expected_grade"), none.alias("tail"), F.lit(True).alias("kept"))
     names = {f"c{i}": c for i, c in enumerate(columns)}
-    rows = docs.select(*(docs[c].alias(n) for n, c in names.items()), docs["text"].alias("_text"))
+    # a text that is asked for goes to the tasks once
+    text = next((n for n, c in names.items() if c == "text"), "_text")
+    rows = docs.select(*(docs[c].alias(n) for n, c in names.items()), *([docs["text"].alias("_text")] if text == "_text" else []))
     kinds = dict(rows.dtypes)
     schema = "".join(f"{n} {kinds[n]}, " for n in names) + "expected_grade double, tail double, kept boolean"
-    return rows.mapInArrow(_scores(model, select, tail), schema).withColumnsRenamed(names)
+    return rows.mapInArrow(_scores(model, select, tail, text), schema).withColumnsRenamed(names)
