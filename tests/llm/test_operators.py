@@ -15,7 +15,7 @@ import pytest
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
-from tidelog.llm import ordinal, sharding
+from tidelog.llm import bpe, ordinal, sharding
 from tidelog.llm.bpe import bpe_round_trip
 from tidelog.llm.components import components
 from tidelog.llm.jaccard import DEPTH, RECALL, keep_first, n_runs, shingle_sets, similarity_classes
@@ -222,6 +222,21 @@ def test_scoring_holds_few_texts(spark):
     assert alone == {x.doc_id: (x.expected_grade, x.tail) for x in got.collect()}
 
 
+def test_encoding_holds_the_words_of_one_row():
+    run = bpe._encode(public_tokenizers.path("byte_bpe_50k.json"))
+    words = pa.array([f"w{i}" for i in range(5000)])
+    lists = pa.ListArray.from_arrays(pa.array(range(0, 5000 * 151, 5000), pa.int32()), pa.concat_arrays([words] * 150))
+    batch = pa.RecordBatch.from_arrays([pa.array(range(150), pa.int64()), pa.array([i // 50 for i in range(150)], pa.int32()), lists], schema=bpe._WORDS)
+    list(run(iter([batch.slice(0, 1)])))
+    tracemalloc.start()
+    seen = [(x["block"][0].as_py(), x["part"][0].as_py(), len(bpe._unpacked(pa.Codec("zstd").decompress(x["ids"][0].as_py(), x["size"][0].as_py(), asbytes=True))))
+            for x in run(iter([batch]))]
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert seen == [(i, i // 50, 5000) for i in range(150)]
+    assert peak < 10 << 20
+
+
 def test_mixing(spark, texts):
     docs, rows = frame(spark, texts)
     got = mix_sources(docs.withColumn("size", F.lit("clash"))).collect()

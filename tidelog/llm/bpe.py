@@ -130,15 +130,16 @@ def _encode(path: str):
         vocabulary = _vocabulary(path)
         part, table = None, {}
         for batch in it:
-            for row in batch.to_pylist():  # in order of part
-                if row["part"] != part:
-                    part, table = row["part"], {}
-                new = [w for w in row["words"] if w not in table]
+            # in order of part; a batch may hold the words of a whole part, so one row at a time becomes strings
+            for block, own, words in (tuple(c[i].as_py() for c in batch.columns) for i in range(batch.num_rows)):
+                if own != part:
+                    part, table = own, {}
+                new = [w for w in words if w not in table]
                 table.update(zip(new, vocabulary.encode(new)))
-                found = [table[w] for w in row["words"]]
+                found = [table[w] for w in words]
                 sent = np.array([len(found), *map(len, found)], "<u4").tobytes() + b"".join(found)
                 yield pa.RecordBatch.from_arrays([
-                    pa.array([row["block"]], pa.int64()), pa.array([part], pa.int32()), pa.array([len(sent)], pa.int64()),
+                    pa.array([block], pa.int64()), pa.array([part], pa.int32()), pa.array([len(sent)], pa.int64()),
                     pa.array([pa.Codec("zstd").compress(sent, asbytes=True)], pa.binary())], schema=_IDS)
 
     return run
