@@ -82,3 +82,21 @@ def test_signature_of_a_long_text_in_pieces():
     assert peak < 100 << 20
     parts = [np.frombuffer(jaccard.signature(p), "<u4") for p in np.array_split(shingles, 7)]
     assert (np.frombuffer(whole, "<u4") == np.min(parts, axis=0)).all()
+
+
+def test_shingles_of_few_texts_are_in_memory_at_once():
+    r = random.Random(9)
+    texts = pa.array([words(r, 700) for _ in range(2000)])
+    ids = pa.array(range(2000), pa.int64())
+    batch = pa.RecordBatch.from_arrays([ids, ids, ids, texts], ["doc_id", "k1", "k2", "text"])
+    list(jaccard._sets(iter([batch.slice(0, 10)])))
+    tracemalloc.start()
+    parts = list(jaccard._sets(iter([batch])))
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert len(parts) > 4 and sum(x.num_rows for x in parts) == 2000
+    # eight bytes a word and array; all words at once are 11 MB an array
+    assert peak < 60 << 20
+    whole = list(jaccard.shingle_sets(texts))
+    assert [x for p in parts for x in p.column("n").to_pylist()] == [len(s) for s in whole]
+    assert [x for p in parts for x in p.column("signature").to_pylist()] == [jaccard.signature(s) for s in whole]

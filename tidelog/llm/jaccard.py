@@ -37,6 +37,7 @@ from .naming import spread_join
 SHINGLE, SIMILARITY, TOKENS, RECALL = 5, Fraction(4, 5), 64, 0.997
 BLOCK, WIDE, SPLIT, DEPTH = 512, 2048, 4096, 6  # WIDE: of signatures, which are small
 _PIECE = 1 << 14
+_BYTES = 1 << 20  # of texts whose words are in memory at once, if no text is longer
 _SEEDS = mix(np.arange(1, 2 * TOKENS + 1, dtype=np.uint64) * np.uint64(0x9E3779B97F4A7C15))
 
 
@@ -81,7 +82,7 @@ def signature(shingles: np.ndarray) -> bytes:
 
 
 def _sets(it: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for batch in batches(it):
+    for batch in batches(it, size=_BYTES):
         size, s1, s2, signatures = [], [], [], []
         for shingles in shingle_sets(batch.column("text")):
             size.append(len(shingles))
@@ -312,7 +313,7 @@ def _tiles(rows: DataFrame, group: str, member: str, count: Column, *rest: str)
 
 
 def _texts(it: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for batch in batches(it):
+    for batch in batches(it, size=_BYTES):
         sets = pa.array([s.tobytes() for s in shingle_sets(batch.column("text"))], pa.binary())
         yield pa.RecordBatch.from_arrays([batch.column(c) for c in ("root", "rid", "mult", "count")] + [sets], ["root", "rid", "mult", "count", "shingles"])
 
