@@ -14,9 +14,11 @@ from __future__ import annotations
 import hashlib
 import json
 import re
+from array import array
 from collections import defaultdict
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
 from functools import lru_cache
+from itertools import count
 
 import numpy as np
 import pyarrow as pa
@@ -93,15 +95,21 @@ def _blocks(it: Iterator[pa.RecordBatch]) -> Iterator[tuple[int, pa.RecordBatch]
                 yield digest.intdigest() - (1 << 63), block
 
 
-def _numbered(vocabulary: Vocabulary, texts: list[str | None]) -> tuple[list[str], list[np.ndarray]]:
-    """Distinct words in the order in which they occur, and each text as word numbers."""
-    numbers: defaultdict[str, int] = defaultdict()
-    numbers.default_factory = numbers.__len__
-    out = []
+def _texts(batch: pa.RecordBatch) -> Iterator[str | None]:
+    """One text at a time as a string, which may take four times its bytes."""
+    return (x.as_py() for x in batch.column("text"))
+
+
+def _numbered(vocabulary: Vocabulary, texts: Iterable[str | None]) -> tuple[list[str], list[int], np.ndarray]:
+    """Distinct words in the order in which they occur, the number of words of each text, and all texts as word numbers."""
+    # a factory bound to the dictionary itself would keep it until Python looks for cycles
+    numbers: defaultdict[str, int] = defaultdict(count().__next__)
+    lengths, flat = [], array("I")
     for text in texts:
         found = vocabulary.of_text(text or "")
-        out.append(np.fromiter(map(numbers.__getitem__, found), np.uint32, len(found)))
-    return list(numbers), out
+        flat.extend(map(numbers.__getitem__, found))
+        lengths.append(len(found))
+    return list(numbers), lengths, np.array(flat, np.uint32)
 
 
 def _part(words: list[str], parts: int) -> np.ndarray:
@@ -109,18 +117,22 @@ def _part(words: list[str], parts: int) -> np.ndarray:
 
 
 def _split(path: str, parts: int):
+    def words_of(block: int, batch: pa.RecordBatch) -> pa.RecordBatch:
+        distinct: dict[str, None] = {}  # in the order of _numbered
+        for text in _texts(batch):
+            distinct.update(dict.fromkeys(_vocabulary(path).of_text(text or "")))
+        words = list(distinct)
+        del distinct
+        part = _part(words, parts)
+        order = np.argsort(part, kind="stable")
+        some, begin = np.unique(part[order], return_index=True)
+        taken = pa.array(words, pa.string()).take(pa.array(order))
+        lists = pa.ListArray.from_arrays(pa.array([*begin, len(words)], pa.int32()), taken)
+        return pa.RecordBatch.from_arrays([pa.array([block] * len(some), pa.int64()), pa.array(some, pa.int32()), lists], schema=_WORDS)
+
     def run(it: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for block, batch in _blocks(it):
-            distinct: dict[str, None] = {}  # in the order of _numbered
-            for text in batch.column("text").to_pylist():
-                distinct.update(dict.fromkeys(_vocabulary(path).of_text(text or "")))
-            words = list(distinct)
-            part = _part(words, parts)
-            order = np.argsort(part, kind="stable")
-            some, begin = np.unique(part[order], return_index=True)
-            taken = pa.array(words, pa.string()).take(pa.array(order))
-            lists = pa.ListArray.from_arrays(pa.array([*begin, len(words)], pa.int32()), taken)
-            yield pa.RecordBatch.from_arrays([pa.array([block] * len(some), pa.int64()), pa.array(some, pa.int32()), lists], schema=_WORDS)
+        # nothing of a block stays while the next one is split
+        return (words_of(*block) for block in _blocks(it))
 
     return run
 
@@ -146,24 +158,30 @@ def _encode(path: str):
 
 
 def _pack(path: str, parts: int, carry: list[str]):
+    def packed(block: int, batch: pa.RecordBatch) -> pa.RecordBatch:
+        codec, sent = pa.Codec("zstd"), {}
+
+        def send(name: str, value: bytes) -> None:
+            sent[name] = len(value), codec.compress(value, asbytes=True)
+
+        rest = pa.table([batch.column(c) for c in carry], names=carry)
+        sink = pa.BufferOutputStream()
+        with pa.ipc.new_stream(sink, rest.schema) as out:
+            out.write_table(rest)
+        send("rest", sink.getvalue().to_pybytes())
+        words, lengths, flat = _numbered(_vocabulary(path), _texts(batch))
+        part = _part(words, parts).tobytes()
+        del words
+        send("lengths", np.array(lengths, "<i8").tobytes())
+        # the low, middle and high bytes apart compress better
+        send("numbers", b"".join((flat >> s & 255).astype(np.uint8).tobytes() for s in (0, 8, 16, 24)))
+        send("parts", part)
+        return pa.RecordBatch.from_arrays(
+            [pa.array([block], pa.int64()), *(pa.array([n], pa.int64()) for n, _ in sent.values()), *(pa.array([v], pa.binary()) for _, v in sent.values())],
+            ["block", *(f"{k}_n" for k in sent), *sent])
+
     def run(it: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for block, batch in _blocks(it):
-            words, numbers = _numbered(_vocabulary(path), batch.column("text").to_pylist())
-            rest = pa.table([batch.column(c) for c in carry], names=carry)
-            sink = pa.BufferOutputStream()
-            with pa.ipc.new_stream(sink, rest.schema) as out:
-                out.write_table(rest)
-            flat = np.concatenate([np.empty(0, np.uint32), *numbers])
-            sent = {
-                "rest": sink.getvalue().to_pybytes(), "lengths": np.array([len(x) for x in numbers], "<i8").tobytes(),
-                # the low, middle and high bytes apart compress better
-                "numbers": b"".join((flat >> s & 255).astype(np.uint8).tobytes() for s in (0, 8, 16, 24)), "parts": _part(words, parts).tobytes(),
-            }
-            codec = pa.Codec("zstd")
-            yield pa.RecordBatch.from_arrays(
-                [pa.array([block], pa.int64()), *(pa.array([len(v)], pa.int64()) for v in sent.values()),
-                 *(pa.array([codec.compress(v, asbytes=True)], pa.binary()) for v in sent.values())],
-                ["block", *(f"{k}_n" for k in sent), *sent])
+        return (packed(*block) for block in _blocks(it))
 
     return run
 

@@ -37,6 +37,7 @@ from .naming import spread_join
 
 WINDOW, CORE, HOT = 200, 50, 20_000
 PART_BYTES, _AT_ONCE = 16 << 20, 512
+_BYTES = 1 << 20  # of texts whose anchors are in memory at once, if no text is longer
 _FIELDS = "part int, k1 long, k2 long, spans array<int>, lcp array<int>, tail array<binary>, left array<binary>, " \
           "d1 array<long>, d2 array<long>, pos array<int>"
 _ARROW = pa.schema([
@@ -82,7 +83,7 @@ def anchors(data: np.ndarray, at: np.ndarray, window: int = WINDOW, core: int =
 
 
 def _anchor_counts(it: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for batch in it:
+    for batch in batches(it, size=_BYTES):
         h, *_ = anchors(*text_buffer(batch.column("text")))
         values, counts = np.unique(h, return_counts=True)
         yield pa.RecordBatch.from_arrays([pa.array(values), pa.array(counts)], ["h", "n"])
@@ -90,7 +91,7 @@ def _anchor_counts(it: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 def _anchor_rows(it: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """A row for each text and hash: a text that repeats a short string has the same anchor over and over."""
-    for batch in it:
+    for batch in batches(it, size=_BYTES):
         h, text, place, first, last = anchors(*text_buffer(batch.column("text")))
         packed = place << 16 | (place - first) << 8 | (last - first)  # the last two are below 256
         order = np.lexsort((packed, h, text))
