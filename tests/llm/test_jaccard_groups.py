@@ -64,6 +64,36 @@ def test_edges_are_in_proportion_to_members(spark):
     assert (tiles.groupBy("path", "i", "j").count().agg({"count": "max"}).first()[0] or 0) <= 2 * jaccard.WIDE
 
 
+def test_members_are_compared_once_for_all_paths_of_a_pivot(spark):
+    r = random.Random(9)
+    base = words(r, 150).split()
+    # more than half of them do not agree with the first, but with each other in part
+    texts = [" ".join(base)] + [changed(r, base, 3 + i % 30) for i in range(599)]
+    sets = spark.createDataFrame([(i, bytearray(jaccard.signature(s))) for i, s in enumerate(
+        jaccard.shingle_sets(pa.array(texts)))], "rid long, signature binary").repartition(4)
+    large = sets.select(F.explode(F.sequence(F.lit(1000).cast("long"), F.lit(1029).cast("long"))).alias("path"), "rid", F.lit(600).cast("long").alias("count"))
+    # a path without the first, whose pivot is another
+    large = large.unionByName(sets.filter("rid > 0").select(F.lit(2000).cast("long").alias("path"), "rid", F.lit(599).cast("long").alias("count")))
+    labelled, edges = jaccard._pivoted(large, sets, SIMILARITY)
+    tiles = jaccard._labelled_tiles(jaccard.cut(labelled, "labelled"), sets).cache()
+    # before, two rows or more for each of 31 paths and each member
+    assert tiles.count() <= 2 * 2 * 1200
+    found = {(min(x), max(x)) for x in edges.collect()} | {(min(x), max(x)) for x in tiles.mapInArrow(jaccard._agree(SIMILARITY), "a long, b long").collect()}
+    tokens = jaccard._tokens(pa.array([bytes(x.signature) for x in sets.orderBy("rid").collect()]))
+    agree = (tokens[:, None] == tokens[None, :]).sum(2) >= jaccard._least(SIMILARITY)
+    linked_now = np.eye(600, dtype=bool)
+    for a, b in found:
+        linked_now[a, b] = linked_now[b, a] = True
+    assert (jaccard._stars(linked_now) == jaccard._stars(agree)).all()
+
+
+def test_others_of_paths_that_share_few_are_compared_path_by_path(spark):
+    rows = [(p, 0, 200, 0, 1) for p in range(1000, 1004)] + [(p, 1 + 199 * (p - 1000) + i, 200, 0, 0) for p in range(1000, 1004) for i in range(199)]
+    members = spark.createDataFrame(rows, "path long, rid long, count long, pivot long, label int")
+    got = jaccard._compared(members).groupBy("path").agg(F.count("*").alias("n"), F.max("count").alias("count"), F.min("meets").alias("meets"))
+    assert sorted(map(tuple, got.collect())) == [(p, 199, 199, True) for p in range(1000, 1004)]
+
+
 def test_group_of_near_copies(spark):
     r = random.Random(6)
     base = words(r, 120).split()

@@ -10,7 +10,8 @@ coordinate, the same choice for all sets on the path; sets go to the bucket of e
 with chance 0.63 a run and one of depth 6 with 0.24, and the number of runs is taken so that the target recall holds there.
 *Brute force.*  Small buckets (each membership once) are compared pair by pair on all tokens.  In buckets that do not get small,
 groups of mutual near copies, all members are compared with a pivot first and get one edge to it where they agree.  Members that
-do not agree with the pivot are then compared with all members, in tiles of two blocks, so that none is dropped, no task holds a whole bucket, and edges are in proportion to members.  Pairs that agree on three quarters of the threshold connect to candidate clusters.
+do not agree with the pivot are then compared with all members, those that do once for all buckets of one pivot, in tiles of two blocks, so that none is dropped, no task holds a
+whole bucket, and edges are in proportion to members.  Pairs that agree on three quarters of the threshold connect to candidate clusters.
 *Exact check.*  All pairs inside a cluster are compared on the full sets, again in tiles, which gives links, their number
 for each set, and edges that span them; pairs themselves are never written.  Classes are the components of links.
 
@@ -200,13 +201,38 @@ def _union(parts: list[DataFrame]) -> DataFrame:
     return out
 
 
+def _compared(members: DataFrame) -> DataFrame:
+    """(path, rid, count, pivot, label, meets) of the members of large buckets that are compared with others; ``count`` is that of rows with the path.
+
+    A group meets in path after path with one pivot.  Members that agree with it are there once a pivot, under the pivot in place of
+    the path, and so are the others, which meet them there.  The others are compared with each other there too (``meets``) if that
+    takes no more pairs than path by path.  The pivot itself has been compared with all.
+    """
+    pairs = cut(members.filter("rid != pivot").groupBy("pivot", "rid").agg(F.max("label").alias("label")), "pivot-pairs")
+    n = [F.count(F.when(F.col("label") == k, 1)).alias(f"n_{k}") for k in (0, 1)]
+    others = members.filter("label = 0").select("pivot", "path", "rid")
+    of_path = others.groupBy("pivot", "path").agg(F.count("*").alias("n")).groupBy("pivot").agg(
+        F.sum("n").alias("members"), F.sum(F.col("n").cast("double") * F.col("n")).alias("apart"))
+    pivots = pairs.groupBy("pivot").agg(F.count("*").alias("count"), *n).join(of_path, "pivot")
+    pivots = cut(pivots.withColumn("meets", F.col("n_0").cast("double") * F.col("n_0") <= F.col("apart")), "pivot-counts")
+    once = spread_join(pairs, pivots.select("pivot", "count", "n_1", "meets"), ["pivot"]).filter("meets OR n_1 > 0")
+    once = once.select(F.col("pivot").alias("path"), "rid", "count", "pivot", "label", "meets")
+    split = pivots.filter("NOT meets").select("pivot", F.col("members").alias("count"))
+    paths = spread_join(others, split, ["pivot"]).select("path", "rid", "pivot")
+    sizes = paths.groupBy("path").agg(F.count("*").alias("count"))
+    paths = spread_join(paths, sizes, ["path"]).select("path", "rid", "count", "pivot", F.lit(0).alias("label"), F.lit(True).alias("meets"))
+    return cut(once.unionByName(paths), "compared")
+
+
 def _labelled_tiles(members: DataFrame, tokens: DataFrame) -> DataFrame:
     """(path, i, j, root, rid, signature) in which a bucket's members share a tile of two blocks, but for two of label 1, which are
     connected by the pivot: it is their root."""
-    counts = members.groupBy("path", "label").agg(F.max("count").alias("count"), F.ceil(F.count("*") / F.lit(WIDE)).cast("int").alias("blocks"))
+    members = _compared(members)
+    counts = members.groupBy("path", "label").agg(
+        F.max("count").alias("count"), F.max("meets").alias("meets"), F.ceil(F.count("*") / F.lit(WIDE)).cast("int").alias("blocks"))
     blocks = [F.coalesce(F.max(F.when(F.col("label") == k, F.col("blocks"))), F.lit(0)).alias(f"blocks_{k}") for k in (0, 1)]
-    counts = counts.groupBy("path").agg(F.max("count").alias("count"), *blocks).filter("blocks_0 > 0")
-    rows = _by_path(members, counts)
+    counts = counts.groupBy("path").agg(F.max("count").alias("count"), F.max("meets").alias("meets"), *blocks).filter("blocks_0 > 0")
+    rows = _by_path(members.drop("meets"), counts)
     own = F.when(F.col("label") == 0, F.col("blocks_0")).otherwise(F.col("blocks_1"))
     rows = rows.withColumn("_own", F.struct("label", F.pmod(F.xxhash64("rid", F.lit(1)), own).cast("int").alias("block")))
 
@@ -214,8 +240,8 @@ def _labelled_tiles(members: DataFrame, tokens: DataFrame) -> DataFrame:
         n = F.col(f"blocks_{label}")
         return F.when(n > 0, F.transform(F.sequence(F.lit(0), F.greatest(n, F.lit(1)) - 1), lambda k: F.struct(F.lit(label).alias("label"), k.alias("block"))))
 
-    # a member without the label meets all blocks, one with it those without
-    others = F.when((F.col("label") == 0) & (F.col("blocks_1") > 0), F.concat(of(0), of(1))).otherwise(of(0))
+    # a member without the label meets all blocks, or those with it alone; one with it meets those without
+    others = F.when((F.col("label") == 1) | (F.col("blocks_1") == 0), of(0)).when(F.col("meets"), F.concat(of(0), of(1))).otherwise(of(1))
     root = F.when(F.col("label") == 1, F.col("pivot")).otherwise(F.col("rid"))
     rows = rows.withColumn("_other", F.explode(others))
     rows = rows.select("path", F.least("_own", "_other").alias("i"), F.greatest("_own", "_other").alias("j"), root.alias("root"), "rid")
