@@ -202,7 +202,7 @@ def _union(parts: list[DataFrame]) -> DataFrame:
 
 
 def _compared(members: DataFrame) -> DataFrame:
-    """(path, rid, count, pivot, label, meets) of the members of large buckets that are compared with others; ``count`` is that of rows with the path.
+    """(path, rid, count, pivot, label, meets) of the members of large buckets that are compared with others; rows with the path are ``count`` at most.
 
     A group meets in path after path with one pivot.  Members that agree with it are there once a pivot, under the pivot in place of
     the path, and so are the others, which meet them there.  The others are compared with each other there too (``meets``) if that
@@ -210,17 +210,15 @@ def _compared(members: DataFrame) -> DataFrame:
     """
     pairs = cut(members.filter("rid != pivot").groupBy("pivot", "rid").agg(F.max("label").alias("label")), "pivot-pairs")
     n = [F.count(F.when(F.col("label") == k, 1)).alias(f"n_{k}") for k in (0, 1)]
-    others = members.filter("label = 0").select("pivot", "path", "rid")
+    others = members.filter("label = 0").select("path", "rid", "count", "pivot", "label")
     of_path = others.groupBy("pivot", "path").agg(F.count("*").alias("n")).groupBy("pivot").agg(
-        F.sum("n").alias("members"), F.sum(F.col("n").cast("double") * F.col("n")).alias("apart"))
+        F.sum(F.col("n").cast("double") * F.col("n")).alias("apart"))
     pivots = pairs.groupBy("pivot").agg(F.count("*").alias("count"), *n).join(of_path, "pivot")
     pivots = cut(pivots.withColumn("meets", F.col("n_0").cast("double") * F.col("n_0") <= F.col("apart")), "pivot-counts")
     once = spread_join(pairs, pivots.select("pivot", "count", "n_1", "meets"), ["pivot"]).filter("meets OR n_1 > 0")
     once = once.select(F.col("pivot").alias("path"), "rid", "count", "pivot", "label", "meets")
-    split = pivots.filter("NOT meets").select("pivot", F.col("members").alias("count"))
-    paths = spread_join(others, split, ["pivot"]).select("path", "rid", "pivot")
-    sizes = paths.groupBy("path").agg(F.count("*").alias("count"))
-    paths = spread_join(paths, sizes, ["path"]).select("path", "rid", "count", "pivot", F.lit(0).alias("label"), F.lit(True).alias("meets"))
+    # the bucket's count serves for the rows that stay in their path
+    paths = others.join(pivots.filter("NOT meets").select("pivot"), "pivot").withColumn("meets", F.lit(True))
     return cut(once.unionByName(paths), "compared")
 
 
