@@ -9,8 +9,9 @@
 3. *Merge.*  A loser tree merges the runs.  It keeps for every player the prefix shared with the last winner: the longer
    one wins without a look at the bytes, and equal ones are compared behind the shared prefix.  The merged order gives
    each suffix with the prefix it shares with its neighbour: an anchor's suffixes stand together, whole copies
-   are recognised by the shared length, and only entries that differ have their windows compared.
-4. *Spans.*  Starts of repeated windows go back to their document and are joined to spans.
+   are recognised by the shared length, and only entries that differ have their windows compared, those with the anchor in
+   the same place and in so far as the shared prefix allows.
+4. *Spans.*  Stretches of repeated windows go back to their document and are joined to spans.
 
 An anchor with more than ``hot`` occurrences is expanded into single windows, which are dealt by all their bytes; equal
 ones are merged in the run before, so however common a passage is, a task receives one entry per run.
@@ -23,12 +24,13 @@ from __future__ import annotations
 
 import hashlib
 import zlib
+from array import array
 from collections import defaultdict
 from collections.abc import Iterator
+from itertools import batched
 
 import numpy as np
 import pyarrow as pa
-import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -38,6 +40,9 @@ from .naming import spread_join
 WINDOW, CORE, HOT = 200, 50, 20_000
 PART_BYTES, _AT_ONCE = 16 << 20, 512
 _BYTES = 1 << 20  # of texts whose anchors are in memory at once, if no text is longer
+_TEXTS = 8 << 20  # of texts that are cut into runs or freed from repeats at once, if no text is longer
+_WINDOWS, _PLACES = 16_384, 256  # windows of a group compared at once; more than the starts a block can have
+_ROWS = 4_000
 _FIELDS = "part int, k1 long, k2 long, spans array<int>, lcp array<int>, tail array<binary>, left array<binary>, " \
           "d1 array<long>, d2 array<long>, pos array<int>"
 _ARROW = pa.schema([
@@ -171,7 +176,7 @@ def merge_runs(runs: list[Iterator[tuple]]) -> Iterator[tuple]:
 
 def _runs(parts: int, hot: int):
     def run(it: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches(it):
+        for batch in batches(it, size=_TEXTS):
             data, at = text_buffer(batch.column("text"))
             k1, k2 = batch.column("k1").to_pylist(), batch.column("k2").to_pylist()
             entries: dict[tuple[int, bytes, bytes], list] = {}  # (hot, right, left): first owner, more
@@ -205,42 +210,70 @@ def _runs(parts: int, hot: int):
     return run
 
 
-def repeated(merged: Iterator[tuple], least: int) -> Iterator[tuple[int, int, int]]:
-    """(k1, k2, start) of windows that occur twice or more, of suffixes in order; groups share ``least`` bytes."""
-    group: list[list] = []
+def repeated(merged: Iterator[tuple], least: int) -> Iterator[tuple[int, int, int, int]]:
+    """(k1, k2, first start, last start) of windows that occur twice or more, of suffixes in order; groups share ``least`` bytes."""
+    group: list[tuple] = []
 
-    def solve() -> Iterator[tuple[int, int, int]]:
+    def solve() -> Iterator[tuple[int, int, int, int]]:
         blocks: dict[tuple[bytes, bytes], list] = {}
-        for right, left, k1, k2, low in group:
-            blocks.setdefault((right, left), []).append((k1, k2, low))
-        apart = defaultdict(list)
+        near, lowest = [], 0  # prefix that a block shares with the one before
+        for right, shared, left, k1, k2, low in group:
+            lowest = min(lowest, shared)
+            if (owners := blocks.get((right, left))) is None:
+                owners = blocks[right, left] = []
+                near.append(lowest)
+                lowest = WINDOW
+            owners.append((k1, k2, low))
         for (right, left), owners in blocks.items():
-            count = len(left) + len(right) - WINDOW + 1
             if len(owners) > 1 or owners[0][0] is None:
-                for k1, k2, low in owners:
-                    if k1 is not None:
-                        yield from ((k1, k2, s) for s in range(low, low + count))
-            if len(blocks) > 1:
-                whole = left + right
-                # a window is told by its digest of 128 bits
-                for s in range(count):
-                    apart[xxhash.xxh3_128_digest(whole[s:s + WINDOW])].append((*owners[0], s) if len(owners) == 1 else None)
-        for found in apart.values():
-            if len(found) > 1:
-                for x in found:
-                    if x is not None and x[0] is not None:
-                        yield x[0], x[1], x[2] + x[3]
+                last = len(left) + len(right) - WINDOW
+                yield from ((k1, k2, low, low + last) for k1, k2, low in owners if k1 is not None)
+        if len(blocks) > 1:
+            yield from apart(blocks, near)
 
     for right, shared, *others in merged:
         if shared < least and group:
             if len(group) > 1:
                 yield from solve()
             group = []
-        group.append([right, *others])
+        group.append((right, shared, *others))
     if len(group) > 1:
         yield from solve()
 
 
+def apart(blocks: dict[tuple[bytes, bytes], list], near: list[int]) -> Iterator[tuple[int, int, int, int]]:
+    """Windows that blocks of one owner share with other blocks of their group.
+
+    Equal windows have their anchor in one place, so those with as many bytes before it are compared, some places at a time.
+    A block's neighbours in order tell how much from the anchor on it shares with any other.
+    """
+    whole, ranges = [], []
+    for (right, left), ahead, behind in zip(blocks, near, [*near[1:], 0]):
+        whole.append(left + right)
+        ranges.append((len(left), WINDOW - max(ahead, behind)))
+    step = max(1, _WINDOWS // len(whole))
+    hits = None  # by block and start
+    for top in range(max(x for x, _ in ranges), min(x for _, x in ranges) - 1, -step):
+        found: dict[bytes, int] = {}
+        for i, (text, (most, fewest)) in enumerate(zip(whole, ranges)):
+            for s in range(most - min(most, top), most - max(fewest, top - step + 1) + 1):
+                here = i * _PLACES + s
+                if (first := found.setdefault(text[s:s + WINDOW], here)) != here:
+                    if hits is None:
+                        hits = bytearray(len(whole) * _PLACES)
+                    hits[first] = hits[here] = 1
+    if hits is None:
+        return
+    at = np.flatnonzero(np.frombuffer(hits, np.uint8))
+    breaks = np.flatnonzero(np.diff(at) > 1)
+    owners = list(blocks.values())
+    for first, last in zip(at[np.concatenate(([0], breaks + 1))].tolist(), at[np.concatenate((breaks, [len(at) - 1]))].tolist()):
+        i, s = divmod(first, _PLACES)
+        if len(owners[i]) == 1 and owners[i][0][0] is not None:
+            k1, k2, low = owners[i][0]
+            yield k1, k2, low + s, low + s + last - first
+
+
 def _entries(columns: list[pa.Array]) -> Iterator[tuple]:
     """Entries of a run, some at a time as Python values; the run itself stays an Arrow buffer."""
     for low in range(0, len(columns[0]), _AT_ONCE):
@@ -252,13 +285,15 @@ def _merge(it: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         return pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(zip(*rows), _SPANS)], schema=_SPANS)
 
     def solved(part: int, runs: list) -> Iterator[tuple]:
-        starts = defaultdict(list)
-        for k1, k2, s in repeated(merge_runs([decode_run(_entries(r)) for r in runs]), WINDOW if part % 2 else CORE):
-            starts[k1, k2].append(s)
+        starts = defaultdict(lambda: array("i"))  # first and last, in turn
+        for k1, k2, first, last in repeated(merge_runs([decode_run(_entries(r)) for r in runs]), WINDOW if part % 2 else CORE):
+            starts[k1, k2].extend((first, last))
         for (k1, k2), found in starts.items():
-            s = np.unique(np.array(found))
-            breaks = np.flatnonzero(np.diff(s) > WINDOW)
-            low, high = s[np.concatenate(([0], breaks + 1))], s[np.concatenate((breaks, [len(s) - 1]))] + WINDOW
+            low, high = np.array(found).reshape(-1, 2).T
+            order = np.argsort(low)
+            low, high = low[order], np.maximum.accumulate(high[order])
+            breaks = np.flatnonzero(low[1:] - high[:-1] > WINDOW)
+            low, high = low[np.concatenate(([0], breaks + 1))], high[np.concatenate((breaks, [len(high) - 1]))] + WINDOW
             yield k1, k2, np.stack((low, high), 1).ravel().tolist()
 
     part, runs = None, []
@@ -269,18 +304,20 @@ def _merge(it: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                 rows.append(tuple(c[i].as_py() for c in columns[1:4]))
                 continue
             if of != part:
-                rows += solved(part, runs) if runs else []
+                if runs:
+                    yield from map(out, batched(solved(part, runs), _ROWS))
                 part, runs = of, []
             runs.append([c[i].values for c in columns[4:]])
         if rows:
             yield out(rows)
-    if runs and (rows := list(solved(part, runs))):
-        yield out(rows)
+        del batch, columns  # what the part still needs is in its runs
+    if runs:
+        yield from map(out, batched(solved(part, runs), _ROWS))
 
 
 def _remove(texts: bool):
     def run(it: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches(it):
+        for batch in batches(it, size=_TEXTS):
             yield _rest(batch, texts)
 
     return run
