@@ -26,7 +26,7 @@ import pyarrow.compute as pc
 import xxhash
 from pyspark.sql import DataFrame
 
-from .common import text_buffer
+from .common import give_back, lean, text_buffer
 
 # White space as the tokenizer's expressions have it: the Unicode property, without the separators 0x1C to 0x1F.
 _WHITE = r"\t-\r \x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000"
@@ -130,6 +130,7 @@ def _split(path: str, parts: int):
         lists = pa.ListArray.from_arrays(pa.array([*begin, len(words)], pa.int32()), taken)
         return pa.RecordBatch.from_arrays([pa.array([block] * len(some), pa.int64()), pa.array(some, pa.int32()), lists], schema=_WORDS)
 
+    @lean
     def run(it: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         # nothing of a block stays while the next one is split
         return (words_of(*block) for block in _blocks(it))
@@ -138,6 +139,7 @@ def _split(path: str, parts: int):
 
 
 def _encode(path: str):
+    @lean
     def run(it: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         vocabulary = _vocabulary(path)
         part, table = None, {}
@@ -180,6 +182,7 @@ def _pack(path: str, parts: int, carry: list[str]):
             [pa.array([block], pa.int64()), *(pa.array([n], pa.int64()) for n, _ in sent.values()), *(pa.array([v], pa.binary()) for _, v in sent.values())],
             ["block", *(f"{k}_n" for k in sent), *sent])
 
+    @lean
     def run(it: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         return (packed(*block) for block in _blocks(it))
 
@@ -198,7 +201,10 @@ def _join(path: str, names: list[str], texts: bool):
         pieces = np.array(_vocabulary(path).pieces, object)
         ids = {p: _unpacked(pa.Codec("zstd").decompress(x, n, asbytes=True)) for p, n, x in zip(*(right[c].to_pylist() for c in ("part", "size", "ids")))}
         # blocks with equal rows have one number: several rows on the left, and as many equal ones on the right
-        return pa.concat_tables(_placed(left.slice(i, 1), ids, pieces, names, texts) for i in range(left.num_rows))
+        out = pa.concat_tables(_placed(left.slice(i, 1), ids, pieces, names, texts) for i in range(left.num_rows))
+        ids.clear()
+        give_back()
+        return out
 
     return run
 

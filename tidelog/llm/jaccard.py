@@ -31,7 +31,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import batches, cut, mix, row_key, text_buffer, words
+from .common import batches, cut, lean, mix, row_key, text_buffer, words
 from .components import components
 from .naming import spread_join
 
@@ -82,6 +82,7 @@ def signature(shingles: np.ndarray) -> bytes:
     return (least >> np.uint64(32)).astype("<u4").tobytes()
 
 
+@lean
 def _sets(it: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches(it, size=_BYTES):
         size, s1, s2, signatures = [], [], [], []
@@ -104,6 +105,7 @@ def _chosen(paths: np.ndarray, limit: float) -> np.ndarray:
 def _grow(runs: int, similarity: Fraction):
     limit = 1 / (float(similarity) * TOKENS)
 
+    @lean
     def run(it: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         roots = mix(np.arange(1, runs + 1, dtype=np.uint64))
         first, coordinate = np.nonzero(_chosen(roots, limit))
@@ -161,6 +163,7 @@ def _tokens(column: pa.Array) -> np.ndarray:
 
 
 def _with_pivot(similarity: Fraction):
+    @lean
     def run(it: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in it:
             agree = (_tokens(batch.column("signature")) == _tokens(batch.column("pivot_signature"))).sum(1) >= _least(similarity)
@@ -247,6 +250,7 @@ def _labelled_tiles(members: DataFrame, tokens: DataFrame) -> DataFrame:
 
 
 def _agree(similarity: Fraction):
+    @lean
     def run(it: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         a, b = [], []
         above: dict[int, int] = {}  # a forest of the sets that the task has connected: an edge inside a tree says nothing new
@@ -308,6 +312,7 @@ def _shared(sets: list[np.ndarray]) -> np.ndarray:
 def _links(similarity: Fraction):
     p, q = similarity.numerator, similarity.denominator
 
+    @lean
     def run(it: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for group in _groups(it, 3):
             # a set whose text comes in several rows is there once
@@ -336,6 +341,7 @@ def _tiles(rows: DataFrame, group: str, member: str, count: Column, *rest: str)
     return rows.repartition(group, "i", "j").sortWithinPartitions(group, "i", "j")
 
 
+@lean
 def _texts(it: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches(it, size=_BYTES):
         sets = pa.array([s.tobytes() for s in shingle_sets(batch.column("text"))], pa.binary())

@@ -23,7 +23,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import batches, mix, span_hashes, text_buffer, words
+from .common import batches, lean, mix, span_hashes, text_buffer, words
 
 SAMPLE, BITS, REPEATS, HEADS = 6000, 18, 16, (4, 5)
 WIDTH = (1 << BITS) + REPEATS
@@ -110,6 +110,7 @@ def fit(grades: np.ndarray, lists: list[np.ndarray], levels: int = GRADES, round
     return Model(weights.astype(np.float32), free[0] + np.concatenate(([0.0], np.cumsum(np.exp(free[1:])))))
 
 
+@lean
 def _lists(it: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches(it, size=BATCH):
         text, feature = features(batch.column("text"))
@@ -132,6 +133,7 @@ def train(docs: DataFrame, ratings: DataFrame, sample: int = SAMPLE, levels: int
 
 
 def _scores(model: Model, select: int, tail: float, column: str = "_text"):
+    @lean
     def run(it: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches(it, size=BATCH):
             text, feature = features(batch.column(column))

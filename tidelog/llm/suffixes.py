@@ -34,7 +34,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import _SPAN, batches, cut, mix, powers, prefix_sums, row_key, text_buffer
+from .common import _SPAN, batches, cut, lean, mix, powers, prefix_sums, row_key, text_buffer
 from .naming import spread_join
 
 WINDOW, CORE, HOT = 200, 50, 20_000
@@ -87,6 +87,7 @@ def anchors(data: np.ndarray, at: np.ndarray, window: int = WINDOW, core: int =
     return tuple(np.concatenate(x) for x in zip(*found))
 
 
+@lean
 def _anchor_counts(it: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches(it, size=_BYTES):
         h, *_ = anchors(*text_buffer(batch.column("text")))
@@ -94,6 +95,7 @@ def _anchor_counts(it: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield pa.RecordBatch.from_arrays([pa.array(values), pa.array(counts)], ["h", "n"])
 
 
+@lean
 def _anchor_rows(it: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """A row for each text and hash: a text that repeats a short string has the same anchor over and over."""
     for batch in batches(it, size=_BYTES):
@@ -175,6 +177,7 @@ def merge_runs(runs: list[Iterator[tuple]]) -> Iterator[tuple]:
 
 
 def _runs(parts: int, hot: int):
+    @lean
     def run(it: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches(it, size=_TEXTS):
             data, at = text_buffer(batch.column("text"))
@@ -280,6 +283,7 @@ def _entries(columns: list[pa.Array]) -> Iterator[tuple]:
         yield from zip(*(c.slice(low, _AT_ONCE).to_pylist() for c in columns))
 
 
+@lean
 def _merge(it: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     def out(rows: list[tuple]) -> pa.RecordBatch:
         return pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(zip(*rows), _SPANS)], schema=_SPANS)
@@ -316,6 +320,7 @@ def _merge(it: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def _remove(texts: bool):
+    @lean
     def run(it: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches(it, size=_TEXTS):
             yield _rest(batch, texts)
